@@ -7,11 +7,10 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from variantloom.functions import tails
-
 # Normal quantile of 0.975 and the median of chi-square with 1 df.
 Z_975 = 1.959963984540054
 MEDIAN_CHI2_1DF = 0.454936423119572
+LN10 = math.log(10.0)
 
 
 def _col(value: Column | str) -> Column:
@@ -44,16 +43,14 @@ def z_score(beta: Column, se: Column, given: Column) -> Column:
     return F.coalesce(F.when(se > 0, beta / se), given)
 
 
-def p_value(given: Column, neg_log10: Column, z: Column) -> Column:
-    """Reported P, else from -log10 P, else from Z."""
-    return F.coalesce(given, F.pow(F.lit(10.0), -neg_log10), tails.two_sided_p(z))
+def p_value(given: Column, neg_log10: Column, log_tail: Column) -> Column:
+    """Reported P, else from -log10 P, else from the log tail of Z."""
+    return F.coalesce(given, F.pow(F.lit(10.0), -neg_log10), F.exp(log_tail))
 
 
-def neg_log10_p(given: Column, p: Column, z: Column) -> Column:
+def neg_log10_p(given: Column, p: Column, log_tail: Column) -> Column:
     """Reported, else -log10 P, else the log tail of Z where P has underflowed."""
-    return F.when(given.isNotNull(), given).when(p > 1e-300, -F.log10(p)).otherwise(
-        tails.neg_log10_two_sided_p(z)
-    )
+    return F.when(given.isNotNull(), given).when(p > 1e-300, -F.log10(p)).otherwise(log_tail * (-1.0 / LN10))
 
 
 def sample_size_score(n: Column | str) -> Column:
@@ -95,5 +92,3 @@ def any_of(probability: Column) -> Column:
         F.coalesce(-F.expm1(F.sum(F.log1p(-clipped))), F.lit(0.0))
     )
 
-
-LN10 = math.log(10.0)

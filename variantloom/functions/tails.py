@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Published coefficients of the three ranges.
@@ -40,58 +40,70 @@ def _ratio(leading: float, numer: tuple[float, ...], denom: tuple[float, ...], x
     return (top + F.lit(numer[-1])) / (bottom + F.lit(denom[-1]))
 
 
-def _erfc_near(t: Column) -> Column:
-    return F.lit(1.0) - t * _ratio(CODY_A[4], CODY_A[:4], CODY_B, t * t)
+def _log_erfc(u: Column, square: Column, inverse: Column) -> Column:
+    """ln erfc(u) from a non-null u >= 0, its square and, beyond FAR, 1 / square."""
+    near = 1.0 - u * _ratio(CODY_A[4], CODY_A[:4], CODY_B, square)
+    middle = _ratio(CODY_C[8], CODY_C[:8], CODY_D, u)
+    far = (F.lit(1.0 / math.sqrt(math.pi)) - inverse * _ratio(CODY_P[5], CODY_P[:5], CODY_Q, inverse)) / u
+    return (
+        F.when(u <= NEAR, F.ln(near)).when(u <= FAR, F.ln(middle) - square).otherwise(F.ln(far) - square)
+    )
 
 
-def _scaled_middle(t: Column) -> Column:
-    """erfc(t) * exp(t^2) between the near and far limits."""
-    return _ratio(CODY_C[8], CODY_C[:8], CODY_D, t)
+def log_erfc(t: Column) -> Column:
+    """ln erfc(t) for t >= 0; null for null."""
+    u = F.coalesce(t, F.lit(0.0))
+    return F.when(t.isNotNull(), _log_erfc(u, u * u, 1.0 / (u * u)))
 
 
-def _scaled_far(t: Column) -> Column:
-    """erfc(t) * exp(t^2) beyond the far limit."""
-    y = F.lit(1.0) / (t * t)
-    return (F.lit(1.0 / math.sqrt(math.pi)) - y * _ratio(CODY_P[5], CODY_P[:5], CODY_Q, y)) / t
+def erfc(t: Column) -> Column:
+    """Complementary error function for t >= 0, through its logarithm."""
+    return F.exp(log_erfc(t))
 
 
-def erfc(t: Column) -> Column:
-    """Complementary error function for t >= 0."""
-    return (
-        F.when(t <= NEAR, _erfc_near(t))
-        .when(t <= FAR, F.exp(-t * t) * _scaled_middle(t))
-        .when(t.isNotNull(), F.exp(-t * t) * _scaled_far(t))
-    )
+def log_two_sided_p(z: Column) -> Column:
+    """ln of 2 * P(X > |z|) for a standard normal X."""
+    return log_erfc(F.abs(z) * math.sqrt(0.5))
 
 
-def log_erfc(t: Column) -> Column:
-    return (
-        F.when(t <= NEAR, F.ln(_erfc_near(t)))
-        .when(t <= FAR, -t * t + F.ln(_scaled_middle(t)))
-        .when(t.isNotNull(), -t * t + F.ln(_scaled_far(t)))
+def with_log_tail(df: DataFrame, z: str, out: str) -> DataFrame:
+    """Add ln of the two-sided P of column ``z``.
+
+    The argument and its powers are columns of their own, so the row's generated
+    code holds each once instead of once per polynomial term and stays within
+    the size of one compiled method.
+    """
+    u, square, inverse = f"_{out}_U", f"_{out}_S", f"_{out}_I"
+    staged = (
+        df.withColumn(u, F.coalesce(F.abs(z) * math.sqrt(0.5), F.lit(0.0)))
+        .withColumn(square, F.col(u) * F.col(u))
+        .withColumn(inverse, 1.0 / F.greatest(F.col(square), F.lit(1.0)))
     )
+    value = F.when(F.col(z).isNotNull(), _log_erfc(F.col(u), F.col(square), F.col(inverse)))
+    return staged.withColumn(out, value).drop(u, square, inverse)
 
 
 def two_sided_p(z: Column) -> Column:
-    """2 * P(X > |z|) for a standard normal X."""
-    return erfc(F.abs(z) / math.sqrt(2.0))
+    """2 * P(X > |z|); zero once it underflows."""
+    return F.exp(log_two_sided_p(z))
 
 
 def neg_log10_two_sided_p(z: Column) -> Column:
-    return -log_erfc(F.abs(z) / math.sqrt(2.0)) / math.log(10.0)
+    """-log10 of the two-sided P, finite where P itself underflows."""
+    return log_two_sided_p(z) * (-1.0 / math.log(10.0))
 
 
 def chi_square_tail(q: Column, df: Column, max_df: int) -> Column:
     """P(X > q) for integer degrees of freedom 1..max_df; null outside.
 
-    Exact recurrence Q(a + 1, x) = Q(a, x) + x^a e^-x / Gamma(a + 1).
+    Exact recurrence Q(a + 1, x) = Q(a, x) + x^a e^-x / Gamma(a + 1), started
+    from erfc(sqrt x) for odd and e^-x for even degrees of freedom.
     """
-    x = q / 2.0
-    tail = {1: erfc(F.sqrt(x)), 2: F.exp(-x)}
+    x = q * 0.5
+    odd = F.pmod(df.cast("int"), F.lit(2)) == 1
+    tail = F.when(odd, erfc(F.sqrt(x))).otherwise(F.exp(-x))
     for k in range(3, max_df + 1):
         a = (k - 2) / 2.0
-        tail[k] = tail[k - 2] + F.pow(x, F.lit(a)) * F.exp(-x) / F.lit(math.gamma(a + 1.0))
-    out = F.lit(None).cast("double")
-    for k in range(min(max_df, max(tail)), 0, -1):
-        out = F.when(df == k, tail[k]).otherwise(out)
-    return out
+        term = F.pow(x, F.lit(a)) * F.exp(-x) * (1.0 / math.gamma(a + 1.0))
+        tail = tail + F.when((df >= k) & (odd == F.lit(k % 2 == 1)), term).otherwise(0.0)
+    return F.when((df >= 1) & (df <= max_df), tail)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from variantloom.functions import statistics as S
+from variantloom.functions import tails
 from variantloom.functions import variants as V
 from variantloom.plans.ordered import exact_median
 from variantloom.schema import (
@@ -125,12 +126,11 @@ def derive_statistics(
     scored = effects.withColumn("Z", S.z_score(F.col("BETA"), F.col("SE"), F.col("Z_IN")))
     # A tail of Z always lies in [0, 1]; only reported values can be out of range.
     in_range = F.coalesce(F.col("P_IN").between(0.0, 1.0), F.col("NLP_IN") >= 0, F.col("Z").isNotNull() & ~F.isnan("Z"))
-    with_p = scored.withColumns(
-        {"P": S.p_value(F.col("P_IN"), F.col("NLP_IN"), F.col("Z")), "P_IN_RANGE": in_range}
-    )
+    tailed = tails.with_log_tail(scored.withColumn("P_IN_RANGE", in_range), "Z", "LOG_TAIL")
+    with_p = tailed.withColumn("P", S.p_value(F.col("P_IN"), F.col("NLP_IN"), F.col("LOG_TAIL")))
     return with_p.withColumn(
-        "NEG_LOG10_P", S.neg_log10_p(F.col("NLP_IN"), F.col("P"), F.col("Z"))
-    ).drop("BETA_IN", "SE_IN", "N_IN", "P_IN", "NLP_IN", "Z_IN", "OR_L95", "OR_U95")
+        "NEG_LOG10_P", S.neg_log10_p(F.col("NLP_IN"), F.col("P"), F.col("LOG_TAIL"))
+    ).drop("BETA_IN", "SE_IN", "N_IN", "P_IN", "NLP_IN", "Z_IN", "LOG_TAIL", "OR_L95", "OR_U95")
 
 
 def qc_condition(

@@ -103,14 +103,14 @@ def inverse_variance_meta(aligned: DataFrame, populations: Sequence[str]) -> Dat
     ).withColumn("Z", F.col("BETA") / F.col("SE"))
     q, k = F.col("Q"), F.col("Q_DF")
     i2 = F.when(q > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (q - k) / q))).otherwise(0.0)
-    return pooled.withColumns(
+    return tails.with_log_tail(pooled, "Z", "_LOG_P").withColumns(
         {
-            "P": tails.two_sided_p(F.col("Z")),
-            "NEG_LOG10_P": tails.neg_log10_two_sided_p(F.col("Z")),
+            "P": F.exp("_LOG_P"),
+            "NEG_LOG10_P": F.col("_LOG_P") * (-1.0 / S.LN10),
             "Q_P": tails.chi_square_tail(q, k, max(1, len(populations) - 1)),
             "I2": F.when(k > 0, i2),
         }
-    ).drop("_W", "_WB", "_WB2", "_WF", "_W_OBS")
+    ).drop("_W", "_WB", "_WB2", "_WF", "_W_OBS", "_LOG_P")
 
 
 def check_meta_inputs(trait_types: Mapping[str, str | None]) -> None:
