@@ -40,20 +40,32 @@ def _ratio(leading: float, numer: tuple[float, ...], denom: tuple[float, ...], x
     return (top + F.lit(numer[-1])) / (bottom + F.lit(denom[-1]))
 
 
-def _log_erfc(u: Column, square: Column, inverse: Column) -> Column:
-    """ln erfc(u) from a non-null u >= 0, its square and, beyond FAR, 1 / square."""
+def _log_erfc(u: Column) -> Column:
+    """ln erfc(u) from a non-null u >= 0.
+
+    The far range is written in powers of u^2 instead of 1 / u^2 (numerator and
+    denominator multiplied through), so that u is all the expression refers to.
+    """
+    square = u * u
     near = 1.0 - u * _ratio(CODY_A[4], CODY_A[:4], CODY_B, square)
     middle = _ratio(CODY_C[8], CODY_C[:8], CODY_D, u)
-    far = (F.lit(1.0 / math.sqrt(math.pi)) - inverse * _ratio(CODY_P[5], CODY_P[:5], CODY_Q, inverse)) / u
+    top, bottom = F.lit(CODY_P[4]), F.lit(CODY_Q[4])
+    for p, q in zip((*CODY_P[3::-1], CODY_P[5]), (*CODY_Q[3::-1], 1.0), strict=True):
+        top, bottom = top * square + F.lit(p), bottom * square + F.lit(q)
+    far = (F.lit(1.0 / math.sqrt(math.pi)) - top / (bottom * square)) / u
     return (
         F.when(u <= NEAR, F.ln(near)).when(u <= FAR, F.ln(middle) - square).otherwise(F.ln(far) - square)
     )
 
 
+def tail_argument(z: Column) -> Column:
+    """|z| / sqrt 2, never null."""
+    return F.coalesce(F.abs(z) * math.sqrt(0.5), F.lit(0.0))
+
+
 def log_erfc(t: Column) -> Column:
     """ln erfc(t) for t >= 0; null for null."""
-    u = F.coalesce(t, F.lit(0.0))
-    return F.when(t.isNotNull(), _log_erfc(u, u * u, 1.0 / (u * u)))
+    return F.when(t.isNotNull(), _log_erfc(F.coalesce(t, F.lit(0.0))))
 
 
 def erfc(t: Column) -> Column:
@@ -66,21 +78,19 @@ def log_two_sided_p(z: Column) -> Column:
     return log_erfc(F.abs(z) * math.sqrt(0.5))
 
 
-def with_log_tail(df: DataFrame, z: str, out: str) -> DataFrame:
-    """Add ln of the two-sided P of column ``z``.
+def log_tail_of(argument: str, z: str) -> Column:
+    """ln of the two-sided P of column ``z`` from its stored ``tail_argument``.
 
-    The argument and its powers are columns of their own, so the row's generated
-    code holds each once instead of once per polynomial term and stays within
-    the size of one compiled method.
+    With the argument in a column of its own the row's generated code holds it
+    once instead of once per polynomial term.
     """
-    u, square, inverse = f"_{out}_U", f"_{out}_S", f"_{out}_I"
-    staged = (
-        df.withColumn(u, F.coalesce(F.abs(z) * math.sqrt(0.5), F.lit(0.0)))
-        .withColumn(square, F.col(u) * F.col(u))
-        .withColumn(inverse, 1.0 / F.greatest(F.col(square), F.lit(1.0)))
-    )
-    value = F.when(F.col(z).isNotNull(), _log_erfc(F.col(u), F.col(square), F.col(inverse)))
-    return staged.withColumn(out, value).drop(u, square, inverse)
+    return F.when(F.col(z).isNotNull(), _log_erfc(F.col(argument)))
+
+
+def with_log_tail(df: DataFrame, z: str, out: str) -> DataFrame:
+    """Add ln of the two-sided P of column ``z``."""
+    staged = df.withColumn("_TAIL_AT", tail_argument(F.col(z)))
+    return staged.withColumn(out, log_tail_of("_TAIL_AT", z)).drop("_TAIL_AT")
 
 
 def two_sided_p(z: Column) -> Column:

@@ -15,18 +15,27 @@ def _col(value: Column | str) -> Column:
 def number(value: Column | str) -> Column:
     """Text to double, null when it is not a number.
 
-    Java also reads a trailing d or f as a type suffix; that is not a number here.
+    Java also reads a trailing d or f as a type suffix; that is not a number
+    here, while ``inf`` is.
     """
     text = _col(value).cast("string")
-    return F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text.try_cast("double"))
+    parsed = text.try_cast("double")
+    suffix_d = text.endswith("d") | text.endswith("D")
+    suffix_f = text.endswith("f") | text.endswith("F")
+    infinite = F.lower(text).isin("inf", "+inf", "-inf")
+    return F.when(suffix_d, None).when(suffix_f, F.when(infinite, parsed)).otherwise(parsed)
+
+
+# Numeric and short chromosome codes.
+CHROMOSOME_NAMES = {"23": "X", "24": "Y", "25": "MT", "M": "MT"}
 
 
 def norm_chr(value: Column | str) -> Column:
     """Trimmed, without ``chr``, sex and mitochondrial codes spelt out, upper case."""
-    base = F.upper(F.regexp_replace(F.btrim(_col(value).cast("string"), F.lit(BLANKS)), "(?i)^chr", ""))
-    return (
-        F.when(base == "23", "X").when(base == "24", "Y").when(base.isin("25", "M", "MT"), "MT").otherwise(base)
-    )
+    raw = F.upper(F.btrim(_col(value).cast("string"), F.lit(BLANKS)))
+    base = F.when(raw.startswith("CHR"), F.substring(raw, 4, 1_000_000)).otherwise(raw)
+    names = F.create_map(*[F.lit(part) for pair in CHROMOSOME_NAMES.items() for part in pair])
+    return F.coalesce(F.element_at(names, base), base)
 
 
 def norm_allele(value: Column | str) -> Column:

@@ -16,7 +16,7 @@ from variantloom.functions import statistics as S
 from variantloom.operators.ld import both_ways, dot, min_abs_r
 from variantloom.plans.ordered import prefix_scan
 from variantloom.operators.region import locus_sample_size
-from variantloom.session import checkpointed
+from variantloom.session import checkpointed, small_side
 
 LOCUS = ["LOCUS_ID", "POPULATION"]
 PRIOR_VARIANCE = 0.2
@@ -102,7 +102,7 @@ def multi_effect_posteriors(
             F.min(F.struct((-F.abs("_RES")).alias("A"), F.col("VARIANT_ID"), F.col("_RES"))).alias("_LEAD"),
             F.count("*").alias("_M"),
         )
-        leads = checkpointed(
+        leads = small_side(
             leads.select(
                 *LOCUS, F.lit(effect).alias("EFFECT"), F.col("_LEAD.VARIANT_ID").alias("LEAD"),
                 F.col("_LEAD._RES").alias("LEAD_RESIDUAL"), "_M",

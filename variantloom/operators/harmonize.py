@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from variantloom.functions import statistics as S
 from variantloom.functions import tails
 from variantloom.functions import variants as V
-from variantloom.plans.ordered import exact_median
+from variantloom.plans.ordered import ONCE, bind, exact_median, filter_bound
 from variantloom.schema import (
     AUTOSOMES,
     COMBINED_PUBLISHED,
@@ -82,55 +82,60 @@ def derive_statistics(
     A confidence interval gives SE only where the odds ratio is the effect,
     unless ``ci_only_with_odds`` is off.
     """
-    present = set(raw.columns)
+    types = dict(raw.dtypes)
 
     def num(name: str) -> Column:
-        return V.number(name) if name in present else F.lit(None).cast("double")
+        if types.get(name) == "string":
+            return V.number(name)
+        return (F.col(name) if name in types else F.lit(None)).cast("double")
 
     def text(name: str) -> Column:
-        return F.col(name).cast("string") if name in present else F.lit(None).cast("string")
-
-    cast = raw.withColumns(
-        {
-            "CHR": V.norm_chr(text("CHR")),
-            "POS": num("POS").try_cast("bigint"),
-            "RSID": F.when(text("RSID").rlike(r"^rs\d+$"), text("RSID")),
-            "EA": V.norm_allele(text("EA")),
-            "NEA": V.norm_allele(text("NEA")),
-            "BETA_IN": num("BETA"),
-            "SE_IN": num("SE"),
-            "OR": num("OR"),
-            "OR_L95": num("OR_L95"),
-            "OR_U95": num("OR_U95"),
-            "EAF": num("EAF"),
-            "N_IN": num("N"),
-            "N_CASES": F.coalesce(num("N_CASES"), _optional(n_cases)),
-            "N_CONTROLS": F.coalesce(num("N_CONTROLS"), _optional(n_controls)),
-            "P_IN": num("P"),
-            "NLP_IN": num("NEG_LOG10_P"),
-            "Z_IN": num("Z"),
-            "INFO": num("INFO"),
-        }
-    )
+        return F.col(name).cast("string") if name in types else F.lit(None).cast("string")
+
+    made = {
+        "CHR": V.norm_chr(text("CHR")),
+        "POS": num("POS").try_cast("bigint"),
+        "RSID": F.when(text("RSID").rlike(r"^rs\d+$"), text("RSID")),
+        "EA": V.norm_allele(text("EA")),
+        "NEA": V.norm_allele(text("NEA")),
+        "BETA_IN": num("BETA"),
+        "SE_IN": num("SE"),
+        "OR": num("OR"),
+        "OR_L95": num("OR_L95"),
+        "OR_U95": num("OR_U95"),
+        "EAF": num("EAF"),
+        "N_IN": num("N"),
+        "N_CASES": F.coalesce(num("N_CASES"), _optional(n_cases)),
+        "N_CONTROLS": F.coalesce(num("N_CONTROLS"), _optional(n_controls)),
+        "N_TOTAL": _optional(n_total),
+        "P_IN": num("P"),
+        "NLP_IN": num("NEG_LOG10_P"),
+        "Z_IN": num("Z"),
+        "INFO": num("INFO"),
+    }
+    replaced = {*made, "BETA", "SE", "N", "P", "NEG_LOG10_P", "Z", "N_EFF"}
+    carried = [name for name in raw.columns if name not in replaced]
+    cast = bind(raw.select("*"), made)
     ci = S.se_from_ci(F.col("OR_L95"), F.col("OR_U95"))
     if ci_only_with_odds:
         ci = F.when(F.col("BETA_IN").isNull(), ci)
-    effects = cast.withColumns(
-        {
-            "BETA": F.coalesce("BETA_IN", S.log_odds(F.col("OR"))),
-            "SE": F.coalesce("SE_IN", ci),
-            "N": F.coalesce("N_IN", F.col("N_CASES") + F.col("N_CONTROLS"), _optional(n_total)),
-            "N_EFF": S.effective_n("N_CASES", "N_CONTROLS"),
-        }
-    )
-    scored = effects.withColumn("Z", S.z_score(F.col("BETA"), F.col("SE"), F.col("Z_IN")))
+    beta, se = F.coalesce("BETA_IN", S.log_odds(F.col("OR"))), F.coalesce("SE_IN", ci)
+    z = S.z_score(beta, se, F.col("Z_IN"))
     # A tail of Z always lies in [0, 1]; only reported values can be out of range.
-    in_range = F.coalesce(F.col("P_IN").between(0.0, 1.0), F.col("NLP_IN") >= 0, F.col("Z").isNotNull() & ~F.isnan("Z"))
-    tailed = tails.with_log_tail(scored.withColumn("P_IN_RANGE", in_range), "Z", "LOG_TAIL")
-    with_p = tailed.withColumn("P", S.p_value(F.col("P_IN"), F.col("NLP_IN"), F.col("LOG_TAIL")))
-    return with_p.withColumn(
-        "NEG_LOG10_P", S.neg_log10_p(F.col("NLP_IN"), F.col("P"), F.col("LOG_TAIL"))
-    ).drop("BETA_IN", "SE_IN", "N_IN", "P_IN", "NLP_IN", "Z_IN", "LOG_TAIL", "OR_L95", "OR_U95")
+    in_range = F.coalesce(F.col("P_IN").between(0.0, 1.0), F.col("NLP_IN") >= 0, z.isNotNull() & ~F.isnan(z))
+    same = ["CHR", "POS", "RSID", "EA", "NEA"]
+    effects = cast.select(
+        *carried, *same, ONCE, beta.alias("BETA"), se.alias("SE"), "OR", z.alias("Z"), "EAF",
+        F.coalesce("N_IN", F.col("N_CASES") + F.col("N_CONTROLS"), "N_TOTAL").alias("N"), "N_CASES", "N_CONTROLS",
+        S.effective_n("N_CASES", "N_CONTROLS").alias("N_EFF"), "INFO", "P_IN", "NLP_IN",
+        in_range.alias("P_IN_RANGE"), tails.tail_argument(z).alias("_TAIL_AT"),
+    )
+    kept = [name for name in effects.columns if name not in {"P_IN", "NLP_IN", "_TAIL_AT"}]
+    tailed = effects.select(*kept, "P_IN", "NLP_IN", tails.log_tail_of("_TAIL_AT", "Z").alias("_LOG_TAIL"))
+    p = S.p_value(F.col("P_IN"), F.col("NLP_IN"), F.col("_LOG_TAIL"))
+    return tailed.select(
+        *kept, p.alias("P"), S.neg_log10_p(F.col("NLP_IN"), p, F.col("_LOG_TAIL")).alias("NEG_LOG10_P")
+    )
 
 
 def qc_condition(
@@ -161,7 +166,7 @@ def qc_condition(
 
 def apply_qc(df: DataFrame, chromosomes: Sequence[str] = AUTOSOMES, min_info: float | None = None) -> DataFrame:
     if "P_IN_RANGE" in df.columns:
-        return df.filter(qc_condition(chromosomes, min_info, F.col("P_IN_RANGE"))).drop("P_IN_RANGE")
+        return filter_bound(df, qc_condition(chromosomes, min_info, F.col("P_IN_RANGE"))).drop("P_IN_RANGE")
     return df.filter(qc_condition(chromosomes, min_info))
 
 

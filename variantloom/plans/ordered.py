@@ -18,7 +18,30 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from variantloom.session import checkpointed
+from variantloom.session import checkpointed, small_side
+
+ONCE = "_ONCE"
+
+
+def bind(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add (or replace) columns that a later ``filter_bound`` reads without recomputing.
+
+    The optimizer pushes a filter below a projection by copying the projected
+    expressions into the condition, which repeats parsing and casting for every
+    mention.  A projection that also numbers its rows is not copied.
+    """
+    kept = [F.col(f"`{name}`") for name in df.columns if name not in columns]
+    return df.select(
+        *kept, *[expr.alias(name) for name, expr in columns.items()], F.monotonically_increasing_id().alias(ONCE)
+    )
+
+
+def filter_bound(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter that stays above the ``bind`` it depends on."""
+    if ONCE not in df.columns:
+        return df.filter(condition)
+    return df.filter(condition & (F.col(ONCE) >= 0)).drop(ONCE)
+
 
 _FINE = 2048.0
 _FINER = 1048576.0
@@ -40,10 +63,7 @@ def _coarse_bucket(value: Column) -> tuple[Column, Column]:
 
 
 def _narrow(histogram: DataFrame, keys: list[str], bucket: str) -> DataFrame:
-    """Buckets that hold the wanted ranks, with the rank inside the bucket.
-
-    ``histogram`` has keys, bucket, COUNT and WANTED, an array of (slot, rank).
-    """
+    """Bucket that holds the wanted RANK of each key, and the rank inside it."""
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     return (
         histogram.withColumn("BEFORE", F.coalesce(F.sum("COUNT").over(before), F.lit(0)))
@@ -55,9 +75,10 @@ def _narrow(histogram: DataFrame, keys: list[str], bucket: str) -> DataFrame:
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "MEDIAN") -> DataFrame:
     """Exact median of the non-null, non-NaN values per key.
 
-    Three passes over (keys, value), each a map-side combined count.  The
-    windows run over histograms whose size is bounded by the bucket grid, not
-    by the data.
+    Three passes over (keys, value), each a map-side combined count; the first
+    two fix their small result, so the data itself is never shuffled.  The
+    windows run over histograms whose size is bounded by the bucket grid.  Give
+    it a stored table (or a checkpoint): it is read three times.
     """
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias("V")).filter(
@@ -67,32 +88,19 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "MED
         return exact_median(base.withColumn("ALL", F.lit(1)), ["ALL"], "V", out).drop("ALL")
     b1, b2 = _coarse_bucket(F.col("V"))
     rows = base.withColumns({"B1": b1, "B2": b2})
-
-    counts = rows.groupBy(*keys, "B1").agg(F.count("*").alias("COUNT"))
-    totals = counts.groupBy(*keys).agg(F.sum("COUNT").alias("TOTAL"))
-    ranks = totals.select(
-        *keys,
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("SLOT"), F.floor((F.col("TOTAL") + 1) / 2).alias("RANK")),
-                F.struct(F.lit(1).alias("SLOT"), F.floor((F.col("TOTAL") + 2) / 2).alias("RANK")),
-            )
-        ).alias("WANT"),
-    ).select(*keys, "WANT.SLOT", "WANT.RANK")
     slot_keys = [*keys, "SLOT"]
 
-    level1 = _narrow(counts.join(ranks, keys), slot_keys, "B1")
-    counts2 = (
-        rows.join(level1, [*keys, "B1"])
-        .groupBy(*slot_keys, "RANK", "B1", "B2")
-        .agg(F.count("*").alias("COUNT"))
-    )
-    level2 = _narrow(counts2, [*slot_keys, "B1"], "B2")
-    counts3 = (
-        rows.join(level2, [*keys, "B1", "B2"])
-        .groupBy(*slot_keys, "RANK", "V")
-        .agg(F.count("*").alias("COUNT"))
+    counts = rows.groupBy(*keys, "B1").agg(F.count("*").alias("COUNT"))
+    total = F.sum("COUNT").over(Window.partitionBy(*keys))
+    halves = F.array(
+        F.struct(F.lit(0).alias("SLOT"), F.floor((F.col("TOTAL") + 1) / 2).alias("RANK")),
+        F.struct(F.lit(1).alias("SLOT"), F.floor((F.col("TOTAL") + 2) / 2).alias("RANK")),
     )
+    wanted = counts.withColumn("TOTAL", total).select(*keys, "B1", "COUNT", F.inline(halves))
+    level1 = small_side(_narrow(wanted, slot_keys, "B1"))
+    counts2 = rows.join(level1, [*keys, "B1"]).groupBy(*slot_keys, "RANK", "B1", "B2").agg(F.count("*").alias("COUNT"))
+    level2 = small_side(_narrow(counts2, [*slot_keys, "B1"], "B2"))
+    counts3 = rows.join(level2, [*keys, "B1", "B2"]).groupBy(*slot_keys, "RANK", "V").agg(F.count("*").alias("COUNT"))
     return _narrow(counts3, slot_keys, "V").groupBy(*keys).agg(F.avg("V").alias(out))
 
 

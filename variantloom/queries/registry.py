@@ -34,6 +34,7 @@ from variantloom.operators import (
 )
 from variantloom.queries import views
 from variantloom.queries.sql import neg_log10_p, r6, two_sided_p, with_
+from variantloom.session import checkpointed, tune
 from variantloom.sinks import export, manifest
 from variantloom.sources import catalog, tables
 
@@ -52,7 +53,7 @@ def rounded(df: DataFrame) -> DataFrame:
 
 def query(name: str, sql: str | None = None):
     def register(function: Query) -> Query:
-        QUERIES[name] = lambda spark, sf_dir: rounded(function(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: rounded(function(tune(spark), sf_dir))
         if sql is not None:
             ORACLES[name] = sql
         return function
@@ -281,7 +282,7 @@ def harmonised(spark, sf_dir):
 )
 def qc_summary(spark, sf_dir):
     derived = _derived(spark, sf_dir)
-    kept = harmonize.apply_qc(derived).select("POPULATION", "P", "Z", "EAF", "N", "RSID")
+    kept = checkpointed(harmonize.apply_qc(derived).select("POPULATION", "P", "Z", "EAF", "N", "RSID"))
     return harmonize.qc_summary(derived, kept)
 
 
@@ -292,7 +293,7 @@ def qc_summary(spark, sf_dir):
 )
 def odds_ratio_guard(spark, sf_dir):
     """The guard's two statistics for effects mistakenly given as odds ratios."""
-    rows = _derived(spark, sf_dir).select("POPULATION", F.exp("BETA").alias("B"))
+    rows = checkpointed(_derived(spark, sf_dir).select("POPULATION", F.exp("BETA").alias("B")))
     low = rows.groupBy("POPULATION").agg(F.min("B").alias("LOWEST"))
     return low.join(harmonize.exact_median(rows, ["POPULATION"], "B"), "POPULATION").withColumn(
         "LOOKS_LIKE_ODDS", (F.col("LOWEST") > 0) & (F.col("MEDIAN") > 0.5) & (F.col("MEDIAN") < 2)

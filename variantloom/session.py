@@ -6,6 +6,18 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+# HotSpot does not compile methods above 8000 bytes of bytecode; a longer fused
+# stage would run interpreted, so Spark is told to split it instead.
+JIT_METHOD_LIMIT = "8000"
+
+
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings every query of this library wants."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", JIT_METHOD_LIMIT)
+    return spark
 
 
 def build_session(master: str | None = None, app: str = "variantloom", **conf: str) -> SparkSession:
@@ -22,7 +34,7 @@ def build_session(master: str | None = None, app: str = "variantloom", **conf: s
     }
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return tune(builder.getOrCreate())
 
 
 def local_session(cpus: int | str = 8, app: str = "variantloom-local") -> SparkSession:
@@ -59,3 +71,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint that survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Fix a per-key summary and broadcast it only if its row count allows.
+
+    For narrow tables (keys and a few numbers), so the row limit bounds the
+    bytes.  Above the limit the table joins by shuffle under adaptive execution.
+    """
+    fixed = checkpointed(df)
+    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed
