@@ -28,13 +28,13 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, "variantloom-bench")
     ensure_checkpoint_dir(spark)
-    registry.QUERIES["dedupe_best_p"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    registry.OPERATORS["dedupe_best_p"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds: dict[str, float] = {}
     for name in names:
         best = float("inf")
         for _ in range(repeats):
             start = time.perf_counter()
-            registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            registry.OPERATORS[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             best = min(best, time.perf_counter() - start)
         seconds[name] = round(best, 3)
     print(

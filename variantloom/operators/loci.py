@@ -132,13 +132,10 @@ def _locus_id():
 
 def _merged(intervals: DataFrame, gap: int, bin_bp: int) -> tuple[DataFrame, DataFrame]:
     """Loci, and the START -> LOCUS_ID map of the intervals that formed them."""
-    islands = merge_intervals(intervals, LOCUS_KEYS, gap, bin_bp)
-    facts = intervals.groupBy(*LOCUS_KEYS, "START").agg(
-        F.min("LEAD_P").alias("LEAD_P"), F.sum("_LEADS").alias("_LEADS")
-    )
+    facts = {"LEAD_P": F.min("LEAD_P"), "_LEADS": F.sum("_LEADS")}
+    islands = merge_intervals(intervals, LOCUS_KEYS, gap, bin_bp, facts)
     loci = (
-        islands.join(facts, [*LOCUS_KEYS, "START"])
-        .groupBy(*LOCUS_KEYS, "ISLAND_START")
+        islands.groupBy(*LOCUS_KEYS, "ISLAND_START")
         .agg(F.max("END").alias("END"), F.sum("_LEADS").alias("N_LEADS"), F.min("LEAD_P").alias("LEAD_P"))
         .withColumnRenamed("ISLAND_START", "START")
         .select(_locus_id().alias("LOCUS_ID"), *LOCUS_KEYS, "START", "END", "N_LEADS", "LEAD_P")

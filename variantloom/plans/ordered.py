@@ -152,18 +152,21 @@ def merge_intervals(
     keys: Sequence[str],
     gap: int = 0,
     bin_bp: int = 1_000_000,
+    facts: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """Merge overlapping (or nearly touching) START..END intervals within keys.
 
     Returns one row per distinct (keys, START) with ISLAND_START, the start of
-    the merged interval it belongs to, and END, its furthest end.  Starts are
-    binned by coordinate: the windows see at most ``bin_bp`` distinct starts,
-    and the carry over bins sees one row per bin.
+    the merged interval it belongs to, END, its furthest end, and ``facts``,
+    further aggregates of the intervals with that start.  Starts are binned by
+    coordinate: the windows see at most ``bin_bp`` distinct starts, and the
+    carry over bins sees one row per bin.
     """
     keys = list(keys)
+    facts = dict(facts or {})
     starts = (
         intervals.groupBy(*keys, "START")
-        .agg(F.max("END").alias("END"))
+        .agg(F.max("END").alias("END"), *[expr.alias(name) for name, expr in facts.items()])
         .withColumn("_BIN", F.floor(F.col("START") / bin_bp))
     )
     over_bins = Window.partitionBy(*keys).orderBy("_BIN").rowsBetween(Window.unboundedPreceding, -1)
@@ -191,5 +194,5 @@ def merge_intervals(
         .select(*keys, "_BIN", F.max("_BIN_OPEN").over(over_bins).alias("_CARRY_OPEN"))
     )
     return flagged.join(carried, [*keys, "_BIN"]).select(
-        *keys, "START", "END", F.coalesce("_LOCAL", "_CARRY_OPEN").alias("ISLAND_START")
+        *keys, "START", "END", *facts, F.coalesce("_LOCAL", "_CARRY_OPEN").alias("ISLAND_START")
     )

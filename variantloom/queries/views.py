@@ -17,6 +17,7 @@ from variantloom.operators.ld import standardise
 from variantloom.operators.qtl import normalise_qtl
 from variantloom.operators.region import match_to_reference
 from variantloom.schema import SUPERPOPULATIONS
+from variantloom.session import checkpointed
 
 FIRST_ALLELES, SECOND_ALLELES = "ACAGAC", "GTCTTG"
 TIES = ("EA", "BETA", "SE", "EAF", "N", "N_CASES", "N_CONTROLS")
@@ -133,8 +134,9 @@ def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def finemapped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Single-effect posteriors as a stored stage: later steps read it several times."""
     rows = single_effect_posterior(matched(spark, sf_dir).select("LOCUS_ID", "POPULATION", "VARIANT_ID", "CHR", "POS", "REF", "ALT", "Z"))
-    return rows.withColumnRenamed("ALPHA", "PIP")
+    return checkpointed(rows.withColumnRenamed("ALPHA", "PIP"))
 
 
 def dosage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,7 +155,8 @@ def dosage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standardise(dosage(spark, sf_dir), max_missing=None)
+    """Unit dosage vectors as a stored stage."""
+    return checkpointed(standardise(dosage(spark, sf_dir), max_missing=None))
 
 
 def qtl_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
