@@ -80,14 +80,17 @@ def test_ld_equals_corrcoef(spark):
     filled = np.where(np.isnan(g), np.nanmean(g, axis=1, keepdims=True), g)
     want = np.corrcoef(filled)
     units = ld.standardise(units_of(spark, g, ids))
-    got = {(r["ID_A"], r["ID_B"]): r["R"] for r in ld.ld_edges(units, min_r2=0.0, tile=7).collect()}
+    got = {(r["ID_A"], r["ID_B"]): r["R"] for r in ld.ld_edges(units, min_r2=0.0, tile=7, spread=2).collect()}
     assert len(got) == 30 * 29 // 2
     for (a, b), value in got.items():
         assert value == pytest.approx(want[ids.index(a), ids.index(b)], abs=1e-12)
     narrow = ld.ld_edges(units, min_r2=0.0, window_bp=3000, tile=5).count()
     assert narrow == 29 + 28 + 27
     index = units.filter(F.col("VARIANT_ID").isin("v03", "v10")).select("POPULATION", "VARIANT_ID")
-    assert ld.ld_edges(units, index, min_r2=0.0, tile=9).count() == 2 * 29
+    assert ld.ld_edges(units, index, min_r2=0.0, tile=4, spread=1).count() == 2 * 29
+    members = units.select(F.lit("S").alias("SET_ID"), "POPULATION", "VARIANT_ID")
+    low = ld.min_abs_r(members, units, tile=5, spread=2).first()["MIN_ABS_R"]
+    assert low == pytest.approx(np.abs(want).min(), abs=1e-12)
 
 
 def test_panel_quality_filter(spark):

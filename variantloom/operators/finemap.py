@@ -35,12 +35,17 @@ def log_bayes_factor(z: Column, prior_variance: float = PRIOR_VARIANCE) -> Colum
 def single_effect_posterior(
     rows: DataFrame, keys: Sequence[str] = tuple(LOCUS), z: str = "Z", prior_variance: float = PRIOR_VARIANCE
 ) -> DataFrame:
-    """ALPHA, the softmax of the log Bayes factor over each locus."""
+    """ALPHA, the softmax of the log Bayes factor over each locus.
+
+    The two per-locus sums are fixed and, when few enough, broadcast, so the
+    rows themselves are not shuffled.  Give it a stored table: it is read three
+    times.
+    """
     keys = list(keys)
     scored = rows.withColumn("_L", log_bayes_factor(F.col(z), prior_variance))
-    top = scored.groupBy(*keys).agg(F.max("_L").alias("_TOP"))
+    top = small_side(scored.groupBy(*keys).agg(F.max("_L").alias("_TOP")))
     weighted = scored.join(top, keys).withColumn("_W", F.exp(F.col("_L") - F.col("_TOP")))
-    total = weighted.groupBy(*keys).agg(F.sum("_W").alias("_TOTAL"))
+    total = small_side(weighted.groupBy(*keys).agg(F.sum("_W").alias("_TOTAL")))
     return weighted.join(total, keys).withColumn("ALPHA", F.col("_W") / F.col("_TOTAL")).drop("_L", "_TOP", "_W", "_TOTAL")
 
 

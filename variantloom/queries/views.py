@@ -135,7 +135,8 @@ def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def finemapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Single-effect posteriors as a stored stage: later steps read it several times."""
-    rows = single_effect_posterior(matched(spark, sf_dir).select("LOCUS_ID", "POPULATION", "VARIANT_ID", "CHR", "POS", "REF", "ALT", "Z"))
+    stage = checkpointed(matched(spark, sf_dir).select("LOCUS_ID", "POPULATION", "VARIANT_ID", "CHR", "POS", "REF", "ALT", "Z"))
+    rows = single_effect_posterior(stage)
     return checkpointed(rows.withColumnRenamed("ALPHA", "PIP"))
 
 
