@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from variantloom.functions import statistics as S
@@ -176,8 +176,7 @@ def union_loci(loci: DataFrame, merge_gap_bp: int = 0, mode: str = "interval", b
     """Loci of all populations merged into population ``combined``.
 
     ``interval`` merges the real intervals.  ``midpoint`` first shrinks each
-    locus to its midpoint, which reproduces the zero-width combined loci of the
-    pipeline this follows.
+    locus to its midpoint, which gives zero-width combined loci.
     """
     if mode == "interval":
         bounds = {"START": F.col("START"), "END": F.col("END")}
@@ -191,9 +190,3 @@ def union_loci(loci: DataFrame, merge_gap_bp: int = 0, mode: str = "interval", b
         "LEAD_P", F.col("N_LEADS").alias("_LEADS"),
     )
     return _merged(pooled, merge_gap_bp, bin_bp)[0]
-
-
-def best_lead(members: DataFrame) -> DataFrame:
-    """Strongest lead per locus."""
-    order = Window.partitionBy("LOCUS_ID").orderBy("LEAD_P", "LEAD_POS", "LEAD_VARIANT")
-    return members.withColumn("_R", F.row_number().over(order)).filter("_R = 1").drop("_R")
