@@ -28,6 +28,14 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, LOWER.upper(), LOWER)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once a row.
 

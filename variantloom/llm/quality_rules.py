@@ -2,8 +2,8 @@
 
 Every measure is a built-in expression over the whole text, so a document is
 judged where it lies: no shuffle, no Python.  A null text has no words; an empty
-text fails the length rules; repeated rows are judged alike.  Columns of the
-input are kept and may have any names, because the measures sit in one struct.
+text fails the length rules; repeated rows are judged alike.  The verdict is one
+struct column, so only its name must be free (``free_name`` finds one).
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import quality_rules
+from variantloom.llm import chat_format, license_scan, quality_rules
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,23 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recognised licence sentences and the licences they make up, for every document."""
+    found = license_scan.scan(table(spark, sf_dir, "documents"), "text").select("doc_id", "license.*")
+    listed = [F.concat_ws(",", c).alias(c) for c in ("sentences", "licenses", "unresolved")]
+    return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), *listed)
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation and one made of control strings, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
+    return chat_format.digests(chat_format.format_conversations(rows.unionByName(probe)))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
+    "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
 }

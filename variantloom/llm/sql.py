@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from variantloom.llm.license_scan import RULES, SENTENCES, normal_text
+
 OP9_QUALITY_RULES = """
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -47,6 +49,45 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_st
 FROM f
 """
 
+
+
+def op1_license_scan() -> str:
+    """The two licence tables are parameters; the matching is written out by joins and windows."""
+    known = ", ".join(f"('{name}', '{norm}')" for norm, name in {normal_text(s): n for n, s in SENTENCES}.items())
+    rewritten = "marks"
+    for name, sequence in RULES:
+        rewritten = f"replace({rewritten}, '{''.join(f'<{x}>' for x in sequence)}', '{{{name}}}')"
+    return f"""
+WITH known(name, norm) AS (VALUES {known}),
+seg AS (
+  SELECT doc_id, list_filter(list_transform(
+    string_split(regexp_replace(coalesce(text, ''), '([.!?:;])[ \\t]+', '\\1' || chr(10), 'g'), chr(10)),
+    x -> trim(replace(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'), 'licence', 'license'))), x -> x <> '') AS s
+  FROM documents
+), pos AS (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM seg),
+cand AS (
+  SELECT doc_id, i, k, array_to_string(s[i:i + k - 1], ' ') AS norm
+  FROM pos, (SELECT unnest(range(1, 7)) AS k) WHERE i + k - 1 <= len(s)
+), best AS (SELECT doc_id, i, max(k) AS k, arg_max(name, k) AS name FROM cand JOIN known USING (norm) GROUP BY doc_id, i),
+marked AS (
+  SELECT pos.doc_id, pos.i, name,
+         max(pos.i + best.k) OVER (PARTITION BY pos.doc_id ORDER BY pos.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach
+  FROM pos LEFT JOIN best ON pos.doc_id = best.doc_id AND pos.i = best.i
+), lines AS (
+  SELECT doc_id, string_agg(CASE WHEN coalesce(reach, 0) > i THEN '' WHEN name IS NULL THEN '|' ELSE '<' || name || '>' END, '' ORDER BY i) AS marks
+  FROM marked GROUP BY doc_id
+), done AS (SELECT doc_id, marks, {rewritten} AS out FROM lines)
+SELECT d.doc_id,
+       CAST(coalesce(len(regexp_extract_all(marks, '<([^>]*)>', 1)), 0) AS BIGINT) AS n_sentences,
+       coalesce(array_to_string(regexp_extract_all(marks, '<([^>]*)>', 1), ','), '') AS sentences,
+       coalesce((SELECT string_agg(x, ',' ORDER BY p) FROM (
+          SELECT x, min(p) AS p FROM (SELECT unnest(regexp_extract_all(out, '\\{{([^}}]*)\\}}', 1)) AS x, generate_subscripts(regexp_extract_all(out, '\\{{([^}}]*)\\}}', 1), 1) AS p) GROUP BY x)), '') AS licenses,
+       coalesce(array_to_string(regexp_extract_all(out, '<([^>]*)>', 1), ','), '') AS unresolved
+FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op1_license_scan": op1_license_scan(),
     "op9_quality_rules": OP9_QUALITY_RULES,
 }
