@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from variantloom.llm import quality_rules
-from variantloom.llm.common import Stored, table
+from variantloom.llm.common import Stored, free_name, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    return quality_rules.judge(docs, "text", column="quality").filter("quality.kept").select(*docs.columns)
+    verdict = free_name(docs, "quality")
+    return quality_rules.judge(docs, "text", column=verdict).filter(F.col(verdict).getField("kept")).select(*docs.columns)
 
 
 STAGES: list[tuple[str, Stage]] = [
