@@ -7,8 +7,8 @@ from variantloom.llm.license_scan import RULES, SENTENCES, normal_text
 OP9_QUALITY_RULES = """
 WITH w AS (
   SELECT doc_id, coalesce(text, '') AS text,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), x -> x <> '') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) AS lines
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \\t\\n\\x0B\\f\\r]')) AS lines
   FROM documents
 ), grams AS (
   SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
@@ -20,12 +20,12 @@ WITH w AS (
   FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
 ), m AS (
   SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words,
-         CAST(coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
          CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(len(lines) AS BIGINT) AS n_lines,
          CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
-         CAST(len(list_filter(words, x -> lower(x) IN (
+         CAST(len(list_filter(words, lambda x: lower(x) IN (
            'the','of','and','to','in','is','that','for','it','with','as','was','on','be','by','this','are','from','or',
            'de','la','que','el','en','y','los','se','las','un','por','con','para','una','su','no','es',
            'le','les','et','des','est','une','du','dans','qui','pour','pas','sur','avec','ce','il','au',
@@ -41,7 +41,7 @@ WITH w AS (
       CASE WHEN 100 * n_symbols > 15 * n_words THEN 'symbols' END,
       CASE WHEN 100 * n_stop_words < 2 * n_words THEN 'few_stop_words' END,
       CASE WHEN 10 * n_upper > 4 * word_chars THEN 'upper_case' END,
-      CASE WHEN 2 * n_dup_lines > n_lines THEN 'repeated_lines' END], x -> x IS NOT NULL) AS failed
+      CASE WHEN 2 * n_dup_lines > n_lines THEN 'repeated_lines' END], lambda x: x IS NOT NULL) AS failed
   FROM m
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_stop_words, n_upper, base_failed,
@@ -62,7 +62,7 @@ WITH known(name, norm) AS (VALUES {known}),
 seg AS (
   SELECT doc_id, list_filter(list_transform(
     string_split(regexp_replace(coalesce(text, ''), '([.!?:;])[ \\t]+', '\\1' || chr(10), 'g'), chr(10)),
-    x -> trim(replace(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'), 'licence', 'license'))), x -> x <> '') AS s
+    lambda x: trim(replace(regexp_replace(lower(x), '[^a-z0-9]+', ' ', 'g'), 'licence', 'license'))), lambda x: x <> '') AS s
   FROM documents
 ), pos AS (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM seg),
 cand AS (
