@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, license_scan, quality_rules
+from variantloom.llm import chat_format, license_scan, line_dedup, quality_rules
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), *listed)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier line repeats within one word edit."""
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return done.select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one made of control strings, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -39,6 +45,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op3_line_dedup": op3_line_dedup,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -50,6 +50,34 @@ FROM f
 """
 
 
+# Variants are written out as words here, not hashed, and every pair is compared.
+OP3_LINE_DEDUP = """
+WITH raw AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents
+), lines AS (
+  SELECT doc_id, i, w, array_to_string(w, ' ') AS norm FROM (
+    SELECT doc_id, i, list_filter(regexp_split_to_array(line, '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM raw)
+  WHERE len(w) > 0
+), first_of AS (
+  SELECT norm, min(row(doc_id, i)) AS ord, any_value(w) AS w FROM lines GROUP BY norm
+), long_lines AS (SELECT * FROM first_of WHERE len(w) >= 8),
+cut AS (
+  SELECT ord, p, array_to_string(w[1:p - 1] || w[p + 1:], ' ') AS v FROM (SELECT ord, w, unnest(range(1, len(w) + 1)) AS p FROM long_lines)
+), near AS (
+  SELECT a.ord FROM cut a JOIN cut b ON a.v = b.v AND a.p = b.p AND b.ord < a.ord
+  UNION SELECT a.ord FROM cut a JOIN long_lines b ON a.v = b.norm AND b.ord < a.ord
+  UNION SELECT a.ord FROM long_lines a JOIN cut b ON a.norm = b.v AND b.ord < a.ord
+), kept AS (SELECT ord FROM first_of WHERE ord NOT IN (SELECT ord FROM near)),
+flagged AS (
+  SELECT raw.doc_id, raw.i, raw.line, lines.norm IS NOT NULL AS has_word, kept.ord IS NOT NULL AS stays
+  FROM raw LEFT JOIN lines ON raw.doc_id = lines.doc_id AND raw.i = lines.i LEFT JOIN kept ON kept.ord = row(raw.doc_id, raw.i)
+)
+SELECT doc_id, CAST(count(*) FILTER (has_word) AS BIGINT) AS n_lines, CAST(count(*) FILTER (has_word AND NOT stays) AS BIGINT) AS n_removed,
+       coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (stays OR NOT has_word), '') AS text
+FROM flagged GROUP BY doc_id
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
+"""
+
 
 def op1_license_scan() -> str:
     """The two licence tables are parameters; the matching is written out by joins and windows."""
@@ -89,5 +117,6 @@ FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id
 
 ORACLES: dict[str, str] = {
     "op1_license_scan": op1_license_scan(),
+    "op3_line_dedup": OP3_LINE_DEDUP,
     "op9_quality_rules": OP9_QUALITY_RULES,
 }
