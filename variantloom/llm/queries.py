@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, license_scan, line_dedup, quality_rules
+from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, quality_rules
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that overlap, with the best window and the number of places."""
+    found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "best_words", "n_places")
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one made of control strings, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -46,6 +52,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op3_line_dedup": op3_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -78,6 +78,27 @@ FROM flagged GROUP BY doc_id
 UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """
 
+# Eleven of thirteen aligned words leave four in a row unchanged: those find the shifts to count along.
+OP5_DECONTAMINATION = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ',.;:!?"''()[]{}', ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
+), b AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ',.;:!?"''()[]{}', ''), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM benchmark
+), dg AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM d)),
+bg AS (SELECT item_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS i FROM b)),
+shifts AS (SELECT DISTINCT doc_id, item_id, dg.i - bg.i AS shift FROM dg JOIN bg ON dg.g = bg.g),
+wins AS (
+  SELECT doc_id, item_id, shift, d.w AS dw, b.w AS bw, unnest(range(1, greatest(len(b.w) - 11, 2))) AS s FROM shifts JOIN d USING (doc_id) JOIN b USING (item_id)
+), counted AS (
+  SELECT doc_id, item_id, shift, least(13, len(bw)) AS size,
+         list_sum(list_transform(range(s, s + least(13, len(bw))), lambda j: CASE WHEN j + shift >= 1 AND j <= len(bw) AND dw[j + shift] = bw[j] THEN 1 ELSE 0 END)) AS n
+  FROM wins
+), good AS (
+  SELECT doc_id, item_id, shift, max(n) AS n FROM counted WHERE n >= CASE WHEN size = 13 THEN 11 ELSE size END AND size >= 5 GROUP BY doc_id, item_id, shift
+)
+SELECT doc_id, item_id, CAST(max(n) AS BIGINT) AS best_words, CAST(count(*) AS BIGINT) AS n_places FROM good GROUP BY doc_id, item_id
+"""
+
 
 def op1_license_scan() -> str:
     """The two licence tables are parameters; the matching is written out by joins and windows."""
@@ -118,5 +139,6 @@ FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id
 ORACLES: dict[str, str] = {
     "op1_license_scan": op1_license_scan(),
     "op3_line_dedup": OP3_LINE_DEDUP,
+    "op5_decontamination": OP5_DECONTAMINATION,
     "op9_quality_rules": OP9_QUALITY_RULES,
 }
