@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, quality_rules
+from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, pii, quality_rules
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"), *listed)
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans and all spans of personal data of every document."""
+    spans = pii.span_texts(pii.detect(table(spark, sf_dir, "documents")))
+    return spans.select(F.col("id").alias("doc_id"), "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that an earlier line repeats within one word edit."""
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"), "doc_id", "text")
@@ -51,6 +57,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op8_chat_format": op8_chat_format,
