@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, pii, quality_rules
+from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, ngram_jaccard, pii, quality_rules
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "best_words", "n_places")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under 85 per cent similarity of its four-word shingles."""
+    found = ngram_jaccard.join_similar(table(spark, sf_dir, "documents"), "doc_id", "text", width=4, percent=85)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation and one made of control strings, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -60,6 +66,7 @@ QUERIES: dict[str, Query] = {
     "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
     "op5_decontamination": op5_decontamination,
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
 }

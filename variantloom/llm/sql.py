@@ -99,6 +99,20 @@ wins AS (
 SELECT doc_id, item_id, CAST(max(n) AS BIGINT) AS best_words, CAST(count(*) AS BIGINT) AS n_places FROM good GROUP BY doc_id, item_id
 """
 
+# All pairs that share a shingle are counted.
+OP7_NGRAM_JACCARD = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents
+), sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 85 * (p.n + q.n - o)),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(m.low, d.doc_id)) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT x, min(y) AS low FROM reach GROUP BY x) m ON m.x = d.doc_id
+"""
+
 
 def op1_license_scan() -> str:
     """The two licence tables are parameters; the matching is written out by joins and windows."""
@@ -140,5 +154,6 @@ ORACLES: dict[str, str] = {
     "op1_license_scan": op1_license_scan(),
     "op3_line_dedup": OP3_LINE_DEDUP,
     "op5_decontamination": OP5_DECONTAMINATION,
+    "op7_ngram_jaccard": OP7_NGRAM_JACCARD,
     "op9_quality_rules": OP9_QUALITY_RULES,
 }
