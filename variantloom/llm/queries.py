@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, ngram_jaccard, pii, quality_rules
+from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, ngram_jaccard, piece_sampling, pii, quality_rules
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, and whether they decode to its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = piece_sampling.decode_column(piece_sampling.encode_column(docs, "doc_id", "text"))
+    return pieces.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that overlap, with the best window and the number of places."""
     found = decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -65,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_pii": op2_pii,
     "op3_line_dedup": op3_line_dedup,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_decontamination": op5_decontamination,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_chat_format": op8_chat_format,
