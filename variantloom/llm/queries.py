@@ -7,12 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, decontaminate, license_scan, line_dedup, ngram_jaccard, piece_sampling, pii, quality_rules
+from variantloom.llm import chat_format, decontaminate, language_id, license_scan, line_dedup, ngram_jaccard, piece_sampling, pii, quality_rules, toxicity
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(docs["doc_id"].cast("string")) % 4
+    network = language_id.train(docs, fold != 2)
+    named = language_id.identify(docs.select("doc_id", "text"), network)
+    return named.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for every document."""
     judged = quality_rules.judge(table(spark, sf_dir, "documents"), "text").select("doc_id", "quality.*")
@@ -54,6 +63,15 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "best_words", "n_places")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labelled rows that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = lambda df: F.crc32(df["doc_id"].cast("string")) % 5
+    model = toxicity.train(docs, labels, fold(labels) != 0)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(fold(docs) == 0, F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under 85 per cent similarity of its four-word shingles."""
     found = ngram_jaccard.join_similar(table(spark, sf_dir, "documents"), "doc_id", "text", width=4, percent=85)
@@ -74,7 +92,9 @@ QUERIES: dict[str, Query] = {
     "op3_line_dedup": op3_line_dedup,
     "op4_sentencepiece": op4_sentencepiece,
     "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
+    "op10_language_id": op10_language_id,
 }
