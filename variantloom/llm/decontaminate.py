@@ -71,9 +71,9 @@ def benchmark_seeds(items: DataFrame, item_id: str, text: str) -> tuple[DataFram
     return found.filter(F.col("key").isNotNull()), masks
 
 
-def _best(hashes: Column, at: Column, before: Column, context: Column, window: Column) -> Column:
-    """Most equal words in a window of the context that holds the hit."""
-    same = F.transform(context, lambda x, j: F.coalesce(F.get(hashes, at - before + j) == x, F.lit(False)))
+def _best(around: Column, skipped: Column, context: Column, window: Column) -> Column:
+    """Most equal words in a window of the context; ``around`` starts ``skipped`` words into it."""
+    same = F.transform(context, lambda x, j: F.coalesce(F.get(around, j - skipped) == x, F.lit(False)))
     count = lambda flags, s: F.size(F.filter(F.slice(flags, s + 1, window), lambda x: x))
     return let(same, lambda flags: F.array_max(F.transform(indexes(F.size(flags) - window + 1), lambda s: count(flags, s))))
 
@@ -88,11 +88,17 @@ def overlaps(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: st
     placed = hashed.select("id", "th", "h", F.explode(indexes(F.size("h"))).alias("at"))
     keys = F.array(*(_seed(F.col("h"), F.col("at"), number, mask) for number, mask in enumerate(masks)))
     keyed = placed.select("id", "th", "h", "at", F.explode(keys).alias("key")).filter(F.col("key").isNotNull())
+    # Up to here nothing but generated code, which neither copies nor keeps the words of a document
+    # for its places; a hit takes along only the words around it.
+    begin = F.col("at") - F.col("before")
+    skipped = F.greatest(-begin, F.lit(0))
     hits = keyed.join(seeds, "key").select(
-        "id", "th", "item", (F.col("at") - F.col("p")).alias("shift"), "need",
-        _best(F.col("h"), F.col("at"), F.col("before"), F.col("context"), F.col("window")).alias("best"),
+        "id", "th", "item", (F.col("at") - F.col("p")).alias("shift"), "need", "window", "context", skipped.alias("skipped"),
+        F.slice("h", F.greatest(begin, F.lit(0)) + 1, F.size("context") - skipped).alias("around"),
     )
-    places = hits.filter("best >= need").groupBy("id", "th", "item", "shift").agg(F.max("best").alias("best"))
+    judged = hits.repartition("id", "th").select("id", "th", "item", "shift", "need", _best(F.col("around"), F.col("skipped"), F.col("context"), F.col("window")).alias("best"))
+    # The bound comes after the aggregate: as a condition of the join it would be tried inside it, word by word.
+    places = judged.groupBy("id", "th", "item", "shift", "need").agg(F.max("best").alias("best")).filter("best >= need")
     return places.groupBy("id", "th", "item").agg(F.max("best").cast("long").alias("best_words"), F.count(F.lit(1)).alias("n_places"))
 
 
