@@ -274,5 +274,6 @@ def span_texts(found: DataFrame) -> DataFrame:
     names = F.array(*(F.lit(k) for k in KINDS))
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
     base = F.filter("found", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(base) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:4])]
     return found.select("id", *counts, text(base).alias("base"), text(F.col("found")).alias("spans"))
