@@ -99,7 +99,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable: Column, most: in
     own = labels.filter(usable & labels[label].isNotNull()).groupBy(labels[doc_id].alias("_id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     sample = own.orderBy(F.xxhash64("_id"), "_id").limit(most)
     # The sample has at most ``most`` rows of two numbers.
-    found = docs.join(F.broadcast(sample), docs[doc_id] == sample["_id"]).select(docs[doc_id].alias("id"), F.coalesce(docs[text], F.lit("")).alias("body"), "toxic")
+    bodies = docs.select(docs[doc_id].alias("id"), F.coalesce(docs[text], F.lit("")).alias("body"))
+    found = bodies.join(F.broadcast(sample), F.col("id") == F.col("_id"))
     # Copies count once, with the label that most of them have.
     return found.groupBy("body").agg(F.min("id").alias("id"), F.round(F.avg("toxic")).cast("int").alias("toxic"))
 
