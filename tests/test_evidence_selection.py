@@ -122,21 +122,21 @@ def test_resolution_and_matching(spark):
     assert {k: v["match_type"] for k, v in got.items()} == {
         "S1": "exact_mapped_trait", "S2": "none", "S3": "exact_reported_trait", "S4": "synonym_mapped_trait", "S5": "fuzzy_reported_trait", "S6": "none",
     }
-    assert got["S1"]["match_score"] == 1.0 and got["S5"]["match_reason"] == "reported trait fuzzy ratio 0.94"
+    assert got["S1"]["match_score"] == 1.0 and got["S5"]["match_reason"] == "reported trait is 0.94 alike"
 
 
 def test_fuzzy_ratio_equals_difflib(spark):
     import difflib
 
-    rows = {r["term_id"]: r["RATIO"] for r in registry.QUERIES["trait_fuzzy"](spark, SMOKE).collect()}
+    parts = views.table(spark, SMOKE, "part").select(F.col("p_partkey").cast("string").alias("term_id"), F.col("p_name").alias("label"), F.array("p_type").alias("synonyms"))
+    rows = {r["term_id"]: round(r["RATIO"], 6) for r in phenotype.fuzzy_candidates(parts, "small rings", 0.5).collect()}
     want = {}
     for part in views.table(spark, SMOKE, "part").collect():
         for text in (part["p_name"].lower(), part["p_type"].lower()):
-            if 2 * min(len(text), 11) >= 0.8 * (len(text) + 11):
-                ratio = difflib.SequenceMatcher(None, "small rings", text).ratio()
-                key = str(part["p_partkey"])
-                want[key] = max(want.get(key, 0), round(ratio, 6))
-    assert rows == want
+            ratio = difflib.SequenceMatcher(None, "small rings", text).ratio()
+            key = str(part["p_partkey"])
+            want[key] = max(want.get(key, 0), round(ratio, 6))
+    assert rows == {k: v for k, v in want.items() if v >= 0.5}
 
 
 def test_selection_prefers_larger_study(spark):
@@ -157,8 +157,8 @@ def test_selection_prefers_larger_study(spark):
     chosen = selection.select_studies(scored)
     rows = {r["study_accession"]: r for r in chosen.collect()}
     assert rows["B"]["selected"] and not rows["A"]["selected"]
-    assert rows["B"]["analysis_id"] == "EUR" and rows["A"]["selection_reason"] == "usable but ranked #2 for EUR"
-    assert rows["B"]["selection_reason"].startswith("highest selection score (")
+    assert rows["B"]["analysis_id"] == "EUR" and rows["A"]["selection_reason"].startswith("behind a better one; rank 2 of label EUR, score ")
+    assert rows["B"]["selection_reason"].startswith("primary; rank 1 of label EUR, score ")
     assert len(selection.selection_export(chosen).columns) == 33 and len(selection.selected_analyses(chosen).columns) == 17
     everything = {r["study_accession"]: r["analysis_id"] for r in selection.select_studies(scored, all_studies=True).collect()}
     assert everything == {"B": "EUR", "A": "EUR__A"}

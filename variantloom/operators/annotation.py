@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from variantloom.session import small_side
+from variantloom.session import checkpointed
 
 # Functional classes in order of precedence with their terms.
 CONSEQUENCE_CLASSES: dict[str, tuple[str, ...]] = {
@@ -67,7 +67,7 @@ def prioritised_rows(finemapped: DataFrame, min_pip: float = 0.01, pip: str = "P
     if not keep_top:
         return finemapped.filter(keep)
     keys = ["POPULATION", "LOCUS_ID"]
-    top = small_side(finemapped.groupBy(*keys).agg(F.max(pip).alias("_TOP")))
+    top = checkpointed(finemapped.groupBy(*keys).agg(F.max(pip).alias("_TOP")))
     return finemapped.join(top, keys).filter(keep | (F.col(pip) == F.col("_TOP"))).drop("_TOP")
 
 

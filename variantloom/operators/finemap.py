@@ -16,7 +16,7 @@ from variantloom.functions import statistics as S
 from variantloom.operators.ld import both_ways, dot, min_abs_r
 from variantloom.plans.ordered import prefix_scan
 from variantloom.operators.region import locus_sample_size
-from variantloom.session import checkpointed, small_side
+from variantloom.session import checkpointed
 
 LOCUS = ["LOCUS_ID", "POPULATION"]
 PRIOR_VARIANCE = 0.2
@@ -43,9 +43,9 @@ def single_effect_posterior(
     """
     keys = list(keys)
     scored = rows.withColumn("_L", log_bayes_factor(F.col(z), prior_variance))
-    top = small_side(scored.groupBy(*keys).agg(F.max("_L").alias("_TOP")))
+    top = checkpointed(scored.groupBy(*keys).agg(F.max("_L").alias("_TOP")))
     weighted = scored.join(top, keys).withColumn("_W", F.exp(F.col("_L") - F.col("_TOP")))
-    total = small_side(weighted.groupBy(*keys).agg(F.sum("_W").alias("_TOTAL")))
+    total = checkpointed(weighted.groupBy(*keys).agg(F.sum("_W").alias("_TOTAL")))
     return weighted.join(total, keys).withColumn("ALPHA", F.col("_W") / F.col("_TOTAL")).drop("_L", "_TOP", "_W", "_TOTAL")
 
 
@@ -107,7 +107,7 @@ def multi_effect_posteriors(
             F.min(F.struct((-F.abs("_RES")).alias("A"), F.col("VARIANT_ID"), F.col("_RES"))).alias("_LEAD"),
             F.count("*").alias("_M"),
         )
-        leads = small_side(
+        leads = checkpointed(
             leads.select(
                 *LOCUS, F.lit(effect).alias("EFFECT"), F.col("_LEAD.VARIANT_ID").alias("LEAD"),
                 F.col("_LEAD._RES").alias("LEAD_RESIDUAL"), "_M",

@@ -11,6 +11,7 @@ from variantloom.functions import statistics as S
 from variantloom.functions import tails
 from variantloom.functions import variants as V
 from variantloom.plans.ordered import ONCE, bind, exact_median, filter_bound
+from variantloom.session import checkpointed
 from variantloom.schema import (
     AUTOSOMES,
     COMBINED_PUBLISHED,
@@ -211,19 +212,26 @@ def in_genome_order(df: DataFrame) -> DataFrame:
     return df.orderBy("CHR", "POS", "VARIANT_ID")
 
 
-def refuse_odds_ratio_as_beta(derived: DataFrame) -> None:
-    """Stop when the BETA column is all positive with a median between 0.5 and 2.
+def odds_ratio_signs(rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Per key the smallest BETA, the median, and whether the column looks like odds ratios.
 
-    The minimum is one cheap aggregate and settles nearly every file; only an
-    all-positive column pays for the exact median.
+    It does when all values are positive and the median lies between 0.5 and 2.
+    Values that are no finite numbers say nothing about the scale and are left out.
+    The rows are stored once, because the exact median reads them several times.
     """
-    lowest = derived.agg(F.min("BETA").alias("low")).first()["low"]
-    if lowest is None or not lowest > 0:
-        return
-    middle = exact_median(derived, [], "BETA").first()["MEDIAN"]
-    if 0.5 < middle < 2:
+    keys = list(keys) or ["_ALL"]
+    finite = checkpointed(rows.withColumn("_ALL", F.lit(1)).filter(S.is_finite("BETA")).select(*keys, "BETA"))
+    low = finite.groupBy(*keys).agg(F.min("BETA").alias("LOWEST"))
+    both = low.join(exact_median(finite, keys, "BETA"), keys).drop("_ALL")
+    return both.withColumn("LOOKS_LIKE_ODDS", (F.col("LOWEST") > 0) & (F.col("MEDIAN") > 0.5) & (F.col("MEDIAN") < 2))
+
+
+def refuse_odds_ratio_as_beta(derived: DataFrame) -> None:
+    """Stop when the BETA column looks like odds ratios."""
+    found = odds_ratio_signs(derived).first()
+    if found is not None and found["LOOKS_LIKE_ODDS"]:
         raise OddsRatioAsBetaError(
-            f"the column mapped to BETA is strictly positive with median {middle:.3f}; it looks like an odds ratio"
+            f"the column mapped to BETA is strictly positive with median {found['MEDIAN']:.3f}; it looks like an odds ratio"
         )
 
 
@@ -259,16 +267,13 @@ def qc_summary(
 
 
 def build_concordance(
-    assoc: DataFrame, bases: DataFrame, keys: Sequence[str] = (), sample: int | None = 20_000
+    assoc: DataFrame, bases: DataFrame, keys: Sequence[str] = ()
 ) -> DataFrame:
-    """Share of sampled single-base variants whose reference base is one allele.
+    """Share of single-base variants, all of them, whose reference base is one allele.
 
-    ``bases`` is (CHR, POS, BASE).  The sample is the ``sample`` smallest
-    variant hashes, so it is the same on every run; ``None`` checks all rows.
+    ``bases`` is (CHR, POS, BASE); the check is one equi join.
     """
     snvs = assoc.filter((F.length("EA") == 1) & (F.length("NEA") == 1))
-    if sample is not None:
-        snvs = snvs.orderBy(F.xxhash64("CHR", "POS", "EA", "NEA"), "CHR", "POS", "EA", "NEA").limit(sample)
     checked = snvs.join(bases.select("CHR", "POS", "BASE"), ["CHR", "POS"])
     hit = (F.col("BASE") == F.col("EA")) | (F.col("BASE") == F.col("NEA"))
     return checked.groupBy(*keys).agg(
@@ -277,14 +282,14 @@ def build_concordance(
 
 
 def validate_build(
-    assoc: DataFrame, bases: DataFrame, sample: int = 20_000, min_concordance: float = 0.9
+    assoc: DataFrame, bases: DataFrame, min_concordance: float = 0.9
 ) -> dict[str, object]:
     """Fail a file whose alleles disagree with the reference sequence."""
-    row = build_concordance(assoc, bases, sample=sample).first()
+    row = build_concordance(assoc, bases).first()
     if not row["N_CHECKED"]:
         return {"status": "skipped", "reason": "no SNVs"}
     if row["REF_CONCORDANCE"] < min_concordance:
         raise BuildMismatchError(
-            f"only {row['REF_CONCORDANCE']:.1%} of sampled SNVs match the reference sequence"
+            f"only {row['REF_CONCORDANCE']:.1%} of SNVs match the reference sequence"
         )
     return {"status": "checked", "n_checked": row["N_CHECKED"], "ref_concordance": row["REF_CONCORDANCE"]}

@@ -28,16 +28,12 @@ MATCH_SCORES = {
     "none": 0.0,
 }
 FUZZY_MIN_RATIO = 0.92
-REJECTED = (
-    "related ontology term, not an exact label/synonym match; "
-    "pin via phenotype_resolution.efo_ids or enable include_descendants"
-)
-MAX_ACCEPTED_TERMS = 10_000
+REJECTED = "neither label nor synonym of the phenotype; name its id to accept it"
 
 
 @dataclass
 class Resolution:
-    """One phenotype's accepted terms; small by construction (see MAX_ACCEPTED_TERMS)."""
+    """One phenotype's accepted terms: those that bear its name, are named by id, or lie below them."""
 
     phenotype_input: str
     phenotype_canonical: str
@@ -90,7 +86,7 @@ def length_allows(text: Column, queries: Sequence[str], min_ratio: float) -> Col
 
 
 def fuzzy_candidates(terms: DataFrame, phenotype_normal: str, min_ratio: float = FUZZY_MIN_RATIO) -> DataFrame:
-    """Best ratio per term over its label and synonyms, for terms that can reach the minimum."""
+    """Best ratio per term over its label and synonyms, for the terms that reach the minimum."""
     texts = terms.select(
         "term_id", "label",
         F.explode(F.concat(F.array("label"), F.coalesce("synonyms", F.array().cast("array<string>")))).alias("_TEXT"),
@@ -98,15 +94,13 @@ def fuzzy_candidates(terms: DataFrame, phenotype_normal: str, min_ratio: float =
     near = texts.filter(length_allows(F.col("_TEXT"), [phenotype_normal], min_ratio))
     return (
         near.withColumn("RATIO", sequence_ratio(phenotype_normal)(F.col("_TEXT")))
-        .groupBy("term_id", "label").agg(F.max("RATIO").alias("RATIO"))
+        .groupBy("term_id", "label").agg(F.max("RATIO").alias("RATIO")).filter(F.col("RATIO") >= min_ratio)
     )
 
 
 def _accepted(df: DataFrame) -> list:
-    rows = df.orderBy(*(["ORD"] if "ORD" in df.columns else []), "term_id").limit(MAX_ACCEPTED_TERMS + 1).collect()
-    if len(rows) > MAX_ACCEPTED_TERMS:
-        raise ValueError(f"a phenotype resolves to more than {MAX_ACCEPTED_TERMS} ontology terms; pin term ids")
-    return rows
+    """Terms that bear the phenotype's very name: a handful, whatever the ontology's size."""
+    return df.orderBy(*(["ORD"] if "ORD" in df.columns else []), "term_id").collect()
 
 
 def resolve_phenotype(
@@ -121,8 +115,7 @@ def resolve_phenotype(
     """(resolution, rejected terms).
 
     Priority: pinned ids, exact label, exact synonym, optional fuzzy match, free
-    text.  Only the accepted terms of the winning tier come to the driver; an
-    error is raised rather than a list cut when they are implausibly many.
+    text.  Only the accepted terms of the winning tier come to the driver.
     ``descendants`` (term_id, descendant_id) broadens only when it is given.
     """
     spark = terms.sparkSession
@@ -164,9 +157,7 @@ def resolve_phenotype(
     below: list[str] = []
     if descendants is not None and ids:
         found = descendants.filter(F.col("term_id").isin(*ids)).select("descendant_id").distinct()
-        below = [r[0] for r in found.limit(MAX_ACCEPTED_TERMS + 1).collect()]
-        if len(below) > MAX_ACCEPTED_TERMS:
-            raise ValueError("too many descendant terms; pin term ids instead")
+        below = [r[0] for r in found.collect()]
     rejected = unique.filter(~F.col("term_id").isin(*ids)) if ids else unique
     return (
         Resolution(
@@ -216,17 +207,17 @@ def match_studies(studies: DataFrame, resolution: Resolution, fuzzy_min_ratio: f
     quoted = lambda before, value, after: F.concat(F.lit(before), value, F.lit(after))
     rules: list[tuple[str, Column, Column]] = [
         ("exact_mapped_trait", F.size("_SHARED") > 0,
-         quoted("mapped ontology term ", F.get("_SHARED", F.lit(0)), " is the resolved phenotype term")),
+         quoted("mapped to accepted term ", F.get("_SHARED", F.lit(0)), "")),
         ("exact_mapped_trait", F.array_contains("_NORMAL", canonical),
-         quoted("mapped trait '", _first_original(texts, F.lit(canonical)), "' equals canonical phenotype")),
+         quoted("mapped trait '", _first_original(texts, F.lit(canonical)), "' is the phenotype's label")),
         ("exact_reported_trait", (reported != "") & reported.isin(canonical, normals["i"]),
-         quoted("reported trait '", F.col("reported_trait"), "' equals phenotype")),
+         quoted("reported trait '", F.col("reported_trait"), "' is the phenotype")),
         ("synonym_mapped_trait", F.size("_SYN") > 0,
-         quoted("mapped trait '", _first_original(texts, F.get("_SYN", F.lit(0))), "' is a synonym")),
+         quoted("mapped trait '", _first_original(texts, F.get("_SYN", F.lit(0))), "' is among the synonyms")),
         ("synonym_reported_trait", (reported != "") & F.array_contains(_strings(synonyms), reported),
-         quoted("reported trait '", F.col("reported_trait"), "' is a synonym")),
+         quoted("reported trait '", F.col("reported_trait"), "' is among the synonyms")),
         ("descendant_term", F.size("_BELOW") > 0,
-         quoted("mapped term ", F.get("_BELOW", F.lit(0)), " is a descendant (include_descendants on)")),
+         quoted("mapped term ", F.get("_BELOW", F.lit(0)), " lies below an accepted term")),
     ]
     kind, reason = None, None
     for name, hit, why in rules:
@@ -246,8 +237,8 @@ def match_studies(studies: DataFrame, resolution: Resolution, fuzzy_min_ratio: f
             "match_score": F.element_at(scores, match_type),
             "match_reason": F.coalesce(
                 "_WHY",
-                F.when(F.col("_RATIO").isNotNull(), F.format_string("reported trait fuzzy ratio %.2f", F.col("_RATIO"))),
-                F.lit("no exact/synonym trait agreement"),
+                F.when(F.col("_RATIO").isNotNull(), F.format_string("reported trait is %.2f alike", F.col("_RATIO"))),
+                F.lit("no rule agrees"),
             ),
         }
     ).select(*studies.columns, "match_type", "match_score", "match_reason")

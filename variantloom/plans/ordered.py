@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from variantloom.session import checkpointed, small_side
+from variantloom.session import checkpointed
 
 ONCE = "_ONCE"
 
@@ -97,9 +97,9 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "MED
         F.struct(F.lit(1).alias("SLOT"), F.floor((F.col("TOTAL") + 2) / 2).alias("RANK")),
     )
     wanted = counts.withColumn("TOTAL", total).select(*keys, "B1", "COUNT", F.inline(halves))
-    level1 = small_side(_narrow(wanted, slot_keys, "B1"))
+    level1 = checkpointed(_narrow(wanted, slot_keys, "B1"))
     counts2 = rows.join(level1, [*keys, "B1"]).groupBy(*slot_keys, "RANK", "B1", "B2").agg(F.count("*").alias("COUNT"))
-    level2 = small_side(_narrow(counts2, [*slot_keys, "B1"], "B2"))
+    level2 = checkpointed(_narrow(counts2, [*slot_keys, "B1"], "B2"))
     counts3 = rows.join(level2, [*keys, "B1", "B2"]).groupBy(*slot_keys, "RANK", "V").agg(F.count("*").alias("COUNT"))
     return _narrow(counts3, slot_keys, "V").groupBy(*keys).agg(F.avg("V").alias(out))
 

@@ -280,12 +280,13 @@ def harmonised(spark, sf_dir):
       FROM (SELECT POPULATION, count(*) AS N_INPUT FROM derived GROUP BY 1) i JOIN (
         SELECT POPULATION, count(*) AS N_AFTER_QC, count(*) FILTER (P < 5e-8) AS N_SIGNIFICANT, median(Z * Z) AS MEDIAN_CHI2,
           avg((EAF IS NOT NULL)::INT) AS FRACTION_WITH_EAF, avg((N IS NOT NULL)::INT) AS FRACTION_WITH_N, avg((RSID IS NOT NULL)::INT) AS FRACTION_WITH_RSID
-        FROM kept GROUP BY 1) k USING (POPULATION)""",
+        FROM (SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY POPULATION, VARIANT_ID ORDER BY P NULLS LAST, EA NULLS LAST, NEA NULLS LAST,
+          BETA NULLS LAST, SE NULLS LAST, EAF NULLS LAST, N NULLS LAST, N_CASES NULLS LAST, N_CONTROLS NULLS LAST) = 1) GROUP BY 1) k USING (POPULATION)""",
 )
 def qc_summary(spark, sf_dir):
-    derived = _derived(spark, sf_dir)
-    kept = checkpointed(harmonize.apply_qc(derived).select("POPULATION", "P", "Z", "EAF", "N", "RSID"))
-    return harmonize.qc_summary(derived, kept)
+    """Counted after the strongest row of each variant is taken, as the stored table has it."""
+    final = checkpointed(_harmonised(spark, sf_dir).select("POPULATION", "P", "Z", "EAF", "N", "RSID"))
+    return harmonize.qc_summary(_derived(spark, sf_dir), final)
 
 
 @query(
@@ -294,12 +295,9 @@ def qc_summary(spark, sf_dir):
       FROM (SELECT POPULATION, exp(BETA) AS b FROM derived) GROUP BY 1""",
 )
 def odds_ratio_guard(spark, sf_dir):
-    """The guard's two statistics for effects mistakenly given as odds ratios."""
-    rows = checkpointed(_derived(spark, sf_dir).select("POPULATION", F.exp("BETA").alias("B")))
-    low = rows.groupBy("POPULATION").agg(F.min("B").alias("LOWEST"))
-    return low.join(harmonize.exact_median(rows, ["POPULATION"], "B"), "POPULATION").withColumn(
-        "LOOKS_LIKE_ODDS", (F.col("LOWEST") > 0) & (F.col("MEDIAN") > 0.5) & (F.col("MEDIAN") < 2)
-    )
+    """The guard over effects mistakenly given as odds ratios."""
+    rows = _derived(spark, sf_dir).select("POPULATION", F.exp("BETA").alias("BETA"))
+    return harmonize.odds_ratio_signs(rows, ["POPULATION"])
 
 
 @query(
@@ -330,7 +328,7 @@ def label_guard(spark, sf_dir):
 )
 def build_concordance(spark, sf_dir):
     bases = views.panel(spark, sf_dir).select("CHR", "POS", F.when(F.col("p_type") == "ECONOMY", "A").otherwise(F.col("REF")).alias("BASE"))
-    return harmonize.build_concordance(views.assoc(spark, sf_dir), bases, ["POPULATION"], sample=None)
+    return harmonize.build_concordance(views.assoc(spark, sf_dir), bases, ["POPULATION"])
 
 
 # -------------------------------------------------------------- meta-analysis
@@ -594,26 +592,37 @@ def _ld_rows(spark, sf_dir, units):
 
 def _finemap(spark, sf_dir):
     units = views.units(spark, sf_dir)
-    return finemap.finemap_from_units(_ld_rows(spark, sf_dir, units).drop("N", "N_EFF"), units, max_effects=2)
+    return finemap.finemap_from_units(_ld_rows(spark, sf_dir, units).drop("N", "N_EFF"), units)
 
 
 _LBF = "0.5::DOUBLE * ((0.2::DOUBLE / 1.2::DOUBLE) * {z} * {z} - ln(1.2::DOUBLE))"
-_EFFECTS = (
-    with_("matched", "correlations").rstrip()
-    + f""", corr AS MATERIALIZED (SELECT POPULATION, ID_A, ID_B, R FROM correlations),
-    pool AS MATERIALIZED (SELECT m.LOCUS_ID, m.POPULATION, m.VARIANT_ID, m.Z FROM matched m JOIN (SELECT DISTINCT POPULATION, VARIANT_ID FROM vectors) USING (POPULATION, VARIANT_ID)),
-    lead1 AS (SELECT LOCUS_ID, POPULATION, count(*) AS M, arg_min(VARIANT_ID, {{'a': -abs(Z), 'v': VARIANT_ID}}) AS LEAD, arg_min(Z, {{'a': -abs(Z), 'v': VARIANT_ID}}) AS LZ FROM pool GROUP BY 1, 2),
-    e1 AS (SELECT LOCUS_ID, POPULATION, VARIANT_ID, Z, 1 AS EFFECT, W / sum(W) OVER (PARTITION BY LOCUS_ID, POPULATION) AS ALPHA FROM (
-      SELECT *, exp(L - max(L) OVER (PARTITION BY LOCUS_ID, POPULATION)) AS W FROM (SELECT *, {_LBF.format(z='Z')} AS L FROM pool))),
-    res AS MATERIALIZED (SELECT p.*, p.Z - CASE WHEN p.VARIANT_ID = l.LEAD THEN 1.0 ELSE c.R END * l.LZ AS RES FROM pool p JOIN lead1 l ON p.LOCUS_ID = l.LOCUS_ID AND p.POPULATION = l.POPULATION
-      LEFT JOIN corr c ON c.POPULATION = p.POPULATION AND c.ID_A = l.LEAD AND c.ID_B = p.VARIANT_ID WHERE abs(l.LZ) >= 1 AND l.M > 1),
-    e2 AS (SELECT LOCUS_ID, POPULATION, VARIANT_ID, Z, 2 AS EFFECT, W / sum(W) OVER (PARTITION BY LOCUS_ID, POPULATION) AS ALPHA FROM (
-      SELECT *, exp(L - max(L) OVER (PARTITION BY LOCUS_ID, POPULATION)) AS W FROM (SELECT *, {_LBF.format(z='RES')} AS L FROM res))),
-    alphas AS MATERIALIZED (SELECT * FROM e1 UNION ALL SELECT * FROM e2),
-    members AS MATERIALIZED (SELECT * FROM (SELECT *, coalesce(sum(ALPHA) OVER (PARTITION BY LOCUS_ID, POPULATION, EFFECT ORDER BY ALPHA DESC, VARIANT_ID
-      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS B FROM alphas) WHERE B < 0.95)
-    """
-)
+
+
+def _effects_sql(n: int) -> str:
+    """One residual table, lead table and weight table for each effect, each from the one before."""
+    parts = [
+        "corr AS MATERIALIZED (SELECT POPULATION, ID_A, ID_B, R FROM correlations)",
+        "res1 AS MATERIALIZED (SELECT m.LOCUS_ID, m.POPULATION, m.VARIANT_ID, m.Z, m.Z AS RES FROM matched m JOIN (SELECT DISTINCT POPULATION, VARIANT_ID FROM vectors) USING (POPULATION, VARIANT_ID))",
+    ]
+    for k in range(1, n + 1):
+        if k > 1:
+            parts.append(f"""res{k} AS MATERIALIZED (SELECT p.LOCUS_ID, p.POPULATION, p.VARIANT_ID, p.Z,
+              p.RES - CASE WHEN p.VARIANT_ID = l.LEAD THEN 1.0 ELSE coalesce(c.R, 0) END * l.LZ AS RES
+              FROM res{k - 1} p JOIN lead{k - 1} l ON p.LOCUS_ID = l.LOCUS_ID AND p.POPULATION = l.POPULATION
+              LEFT JOIN corr c ON c.POPULATION = p.POPULATION AND c.ID_A = l.LEAD AND c.ID_B = p.VARIANT_ID WHERE NOT l.WEAK AND l.M > {k - 1})""")
+        first = "{'a': -abs(RES), 'v': VARIANT_ID}"
+        parts.append(f"""lead{k} AS MATERIALIZED (SELECT LOCUS_ID, POPULATION, {k} AS EFFECT, count(*) AS M, arg_min(VARIANT_ID, {first}) AS LEAD,
+          arg_min(RES, {first}) AS LZ, max(abs(RES)) < 1 AS WEAK FROM res{k} GROUP BY 1, 2)""")
+        parts.append(f"""e{k} AS MATERIALIZED (SELECT LOCUS_ID, POPULATION, VARIANT_ID, Z, {k} AS EFFECT, W / sum(W) OVER (PARTITION BY LOCUS_ID, POPULATION) AS ALPHA FROM (
+          SELECT *, exp(L - max(L) OVER (PARTITION BY LOCUS_ID, POPULATION)) AS W FROM (SELECT *, {_LBF.format(z="RES")} AS L FROM res{k})))""")
+    parts.append("alphas AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM e{k}" for k in range(1, n + 1)) + ")")
+    parts.append("leads AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM lead{k}" for k in range(1, n + 1)) + ")")
+    parts.append("""members AS MATERIALIZED (SELECT * FROM (SELECT *, coalesce(sum(ALPHA) OVER (PARTITION BY LOCUS_ID, POPULATION, EFFECT ORDER BY ALPHA DESC, VARIANT_ID
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS B FROM alphas) WHERE B < 0.95)""")
+    return with_("matched", "correlations").rstrip() + ",\n" + ",\n".join(parts) + "\n"
+
+
+_EFFECTS = _effects_sql(10)
 
 
 @query("finemap_multi", _EFFECTS + f"SELECT LOCUS_ID, POPULATION, VARIANT_ID, {r6('Z')} AS Z, {r6('1.0 - product(1.0 - ALPHA)')} AS PIP FROM alphas GROUP BY LOCUS_ID, POPULATION, VARIANT_ID, alphas.Z")
@@ -626,11 +635,11 @@ def finemap_multi(spark, sf_dir):
     _EFFECTS + f""", low AS (SELECT a.LOCUS_ID, a.POPULATION, a.EFFECT, min(abs(c.R)) AS LOW FROM members a JOIN members b ON a.LOCUS_ID = b.LOCUS_ID AND a.POPULATION = b.POPULATION
       AND a.EFFECT = b.EFFECT AND a.VARIANT_ID < b.VARIANT_ID JOIN corr c ON c.POPULATION = a.POPULATION AND c.ID_A = a.VARIANT_ID AND c.ID_B = b.VARIANT_ID GROUP BY 1, 2, 3)
     SELECT LOCUS_ID, POPULATION, LOCUS_ID || ':CS' || EFFECT AS CS_ID, EFFECT, {r6('sum(ALPHA)')} AS COVERAGE, {r6('coalesce(min(LOW), 1.0)')} AS PURITY_MIN_ABS_COR, count(*) AS N_VARIANTS,
-      coalesce(min(LOW), 1.0) < 0.5 AS LOW_PURITY
-    FROM members LEFT JOIN low USING (LOCUS_ID, POPULATION, EFFECT) GROUP BY LOCUS_ID, POPULATION, EFFECT""",
+      coalesce(min(LOW), 1.0) < 0.5 AS LOW_PURITY, any_value(WEAK) AS WEAK
+    FROM members LEFT JOIN low USING (LOCUS_ID, POPULATION, EFFECT) JOIN leads USING (LOCUS_ID, POPULATION, EFFECT) GROUP BY LOCUS_ID, POPULATION, EFFECT""",
 )
 def finemap_sets(spark, sf_dir):
-    return _finemap(spark, sf_dir)["credible_sets"].drop("WEAK")
+    return _finemap(spark, sf_dir)["credible_sets"]
 
 
 @query(
@@ -956,13 +965,6 @@ def trait_match(spark, sf_dir):
     return _matched_studies(spark, sf_dir).select("study_accession", "match_type", "match_score")
 
 
-@query("trait_fuzzy")
-def trait_fuzzy(spark, sf_dir):
-    """Best similarity of every part name to one trait text (matching blocks have no SQL form)."""
-    parts = views.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("term_id"), F.col("p_name").alias("label"), F.array(F.col("p_type")).alias("synonyms"))
-    return phenotype.fuzzy_candidates(parts, "small rings", 0.8)
-
-
 def _files(spark, sf_dir):
     files = schema.header_capabilities(views.file_inventory(spark, sf_dir))
     kind = catalog.file_kind("filename", "in_harmonised")
@@ -1020,9 +1022,9 @@ _SCORED = (
       + 3.0 * summary_stats_available::INT + 1.5 * harm::INT + 1.0 * b38::INT + 2.0 * CASE WHEN coalesce(n_eff, n_total) > 0 THEN greatest(0.0, least(1.0, log10(coalesce(n_eff, n_total)) / 7.0)) ELSE 0.0 END
       + 1.0 * coalesce(wide, false)::INT + 0.5 * coalesce(NOT wide, false)::INT + 0.25 * coalesce(wide, false)::INT
       + 0.5 * ((pubmed_id IS NOT NULL)::INT + 1 + 1 + (cohorts IS NOT NULL)::INT + 1) / 5.0 - 1.0 * stratified::INT - 0.5 * (len(ids) > 1)::INT AS score,
-      CASE WHEN NOT summary_stats_available THEN 'no full summary statistics' WHEN match_score < 0.8 THEN 'phenotype match below threshold'
-        WHEN label IS NULL THEN 'population UNKNOWN/UNMAPPED - no matching LD reference' WHEN gxe THEN 'GxE/GxG interaction study'
-        WHEN background_traits IS NOT NULL THEN 'conditional/background-trait analysis' WHEN NOT wide THEN 'summary statistics lack allele columns' END AS exclusion FROM base)
+      CASE WHEN NOT summary_stats_available THEN 'summary statistics not published' WHEN match_score < 0.8 THEN 'trait match too weak'
+        WHEN label IS NULL THEN 'no population with a reference panel' WHEN gxe THEN 'interaction study'
+        WHEN background_traits IS NOT NULL THEN 'adjusted for other traits' WHEN NOT wide THEN 'alleles missing' END AS exclusion FROM base)
 """
 )
 
@@ -1044,8 +1046,8 @@ def study_score(spark, sf_dir):
     _SCORED + """, ranked AS (SELECT *, row_number() OVER (PARTITION BY label, exclusion IS NULL ORDER BY round(score, 9) DESC, n_eff DESC NULLS LAST, n_total DESC NULLS LAST, study_accession) AS rk FROM scored)
     SELECT study_accession, rk AS rank_in_population, exclusion IS NULL AND label IS NOT NULL AND rk = 1 AS selected,
       CASE WHEN exclusion IS NULL AND rk = 1 THEN label END AS analysis_id,
-      CASE WHEN exclusion IS NOT NULL THEN 'excluded: ' || exclusion WHEN rk > 1 THEN 'usable but ranked #' || rk || ' for ' || label
-        ELSE 'highest selection score (' || CAST(round(score, 3) AS VARCHAR) || '/14.8) among usable ' || label || ' studies; match=' || match_type END AS selection_reason
+      CASE WHEN exclusion IS NOT NULL THEN 'ruled out: ' || exclusion ELSE CASE WHEN rk > 1 THEN 'behind a better one' ELSE 'primary' END
+        || '; rank ' || rk || ' of label ' || label || ', score ' || CAST(round(score, 3) AS VARCHAR) || '/14.8, trait by ' || match_type END AS selection_reason
     FROM ranked""",
 )
 def study_select(spark, sf_dir):

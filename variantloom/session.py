@@ -71,16 +71,3 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint that survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-BROADCAST_ROWS = 200_000
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Fix a per-key summary and broadcast it only if its row count allows.
-
-    For narrow tables (keys and a few numbers), so the row limit bounds the
-    bytes.  Above the limit the table joins by shuffle under adaptive execution.
-    """
-    fixed = checkpointed(df)
-    return F.broadcast(fixed) if fixed.count() <= max_rows else fixed

@@ -16,6 +16,14 @@ from variantloom.schema import REQUIRED_FIELDS, map_columns
 LINES_PER_BATCH = 50_000
 
 
+def _chunks(lines: Iterator[str]) -> Iterator[tuple[int, list[str]]]:
+    """(number of the first, lines) of bounded runs of lines."""
+    first = 0
+    while chunk := [line.rstrip("\r\n") for line in islice(lines, LINES_PER_BATCH)]:
+        yield first, chunk
+        first += len(chunk)
+
+
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Stream the lines of .bgz and .zip files; one task per archive, bounded batches out."""
     for batch in batches:
@@ -23,19 +31,13 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             raw = io.BytesIO(content)
             if path.lower().endswith(".zip"):
                 archive = zipfile.ZipFile(raw)
-                name = next(n for n in archive.namelist() if not n.endswith("/"))
-                stream = archive.open(name)
+                streams = (archive.open(name) for name in archive.namelist() if not name.endswith("/"))
             else:
-                stream = gzip.open(raw)
-            with io.TextIOWrapper(stream, encoding="utf-8", errors="replace") as lines:
-                chunk: list[str] = []
-                for number, line in enumerate(lines):
-                    chunk.append(line.rstrip("\r\n"))
-                    if len(chunk) == LINES_PER_BATCH:
-                        yield pd.DataFrame({"value": chunk, "AT": range(number + 1 - len(chunk), number + 1)})
-                        chunk = []
-                if chunk:
-                    yield pd.DataFrame({"value": chunk, "AT": range(number + 1 - len(chunk), number + 1)})
+                streams = iter([gzip.open(raw)])
+            for stream in streams:
+                with io.TextIOWrapper(stream, encoding="utf-8", errors="replace") as lines:
+                    for first, chunk in _chunks(lines):
+                        yield pd.DataFrame({"value": chunk, "AT": range(first, first + len(chunk))})
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
