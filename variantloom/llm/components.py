@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by minimum labels with pointer jumping."""
+"""Connected components of a table of links, by contraction to smallest neighbours."""
 
 from __future__ import annotations
 
@@ -11,23 +11,24 @@ from variantloom.llm.common import Stored
 def components(links: DataFrame) -> DataFrame:
     """(v, c) for every end of a link (u, v): the smallest vertex reachable from it.
 
-    Each round takes the smallest label among the neighbours and then the label of
-    that label, so long chains shrink by halves; rounds end when nothing changes.
-    Every round is a partial aggregate and joins over stored tables: nothing is
-    gathered, a vertex with very many links included.
+    In each round every vertex takes the name of its smallest neighbour, if that is
+    smaller, and links are rewritten between the new names.  The smallest vertex of a
+    component keeps its name, so it is what remains.  With names in no order along the
+    links, as hashes are, a round leaves about a third of the vertices.  All steps are
+    partial aggregates and joins over stored tables: nothing is gathered, whatever the
+    number of links of a vertex.
     """
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    edges = Stored(both.distinct())
-    labels = Stored(edges.frame.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("c")))
-    while True:
-        old = labels.frame
-        near = edges.frame.join(old.select(F.col("v").alias("u"), "c"), "u").groupBy("v").agg(F.min("c").alias("near"))
-        step = old.join(near, "v").select("v", F.least("c", "near").alias("c"), F.col("c").alias("before"))
-        jump = old.select(F.col("v").alias("c"), F.col("c").alias("further"))
-        new = Stored(step.join(jump, "c").select("v", F.least("c", "further").alias("c"), "before"))
-        changed = new.frame.filter("c <> before").limit(1).count()
-        labels.drop()
-        labels = new
-        if not changed:
-            edges.drop()
-            return labels.frame.select("v", "c")
+    edges = Stored(both.filter("u <> v").distinct())
+    labels = Stored(both.select("v", F.col("v").alias("c")).distinct())
+    while edges.frame.limit(1).count():
+        lower = edges.frame.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("to"))
+        of = lambda name, to: lower.select(F.col("v").alias(name), F.col("to").alias(to))
+        moved = edges.frame.join(of("u", "x"), "u").join(of("v", "y"), "v").filter("x <> y")
+        renamed = Stored(labels.frame.join(of("c", "to"), "c", "left").select("v", F.coalesce("to", "c").alias("c")))
+        contracted = Stored(moved.select(F.col("x").alias("u"), F.col("y").alias("v")).distinct())
+        for old in (labels, edges):
+            old.drop()
+        labels, edges = renamed, contracted
+    edges.drop()
+    return labels.frame

@@ -11,15 +11,15 @@ aside as many of its longest bottom lists as it must share at the least, less on
 and still meets every partner in one of the others: its short lists.  What many
 documents have in common is so laid aside, and n-grams of one set have no list.
 
-*Search.*  Every group of sets that meet in a short list is searched by
-:func:`divide_skip`, a T-occurrence search over inverted lists of the whole sets: it
-heap-merges the short lists of a query, probes the long ones by binary search and
-keeps the sets that reach the required overlap.  First one leader of each group is
-the query and the other members, in chunks of bounded size, are the index.  Links
-become components; members of one component need no further comparison, so a large
-group of near copies costs one probe for each member and no pairs.  After
-``LEADERS`` such rounds all members of what is left are queries against each other,
-in pairs of blocks of bounded size, so that the result is exact in every case.
+*Search.*  Sets that meet in short lists are searched by :func:`divide_skip`, a
+T-occurrence search over inverted lists of whole sets: it heap-merges the short lists
+of a query, probes the long ones by binary search and keeps the sets that reach the
+required overlap.  First one leader of each list is the query and the other members,
+in chunks of bounded size, are the index.  Links become components; a list within one
+component is done, so a large group of near copies costs one probe for each member and
+no pairs.  The lists that are left tie their sets into clusters.  In each cluster all
+sets but those of its largest component are queries against all sets of a fitting size,
+in blocks of bounded size, which makes the result exact in every case.
 
 Identity of sets is a 64-bit hash (expected number of chance collisions for k
 different sets: k**2 / 3.7e19).
@@ -33,8 +33,9 @@ a component while it has another.
 from __future__ import annotations
 
 import heapq
+import math
 from bisect import bisect_left
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from itertools import groupby
 
 import numpy as np
@@ -47,7 +48,6 @@ from variantloom.llm.common import Stored, indexes, let, lower_ascii, words
 from variantloom.llm.components import components
 
 MERGE_SHARE = 10  # per cent of a set that two linked sets share among their bottoms
-LEADERS = 2
 UNIT_TOKENS = 200_000  # of the sets in one task's index
 BROADCAST_IDS = 500_000  # of 8 bytes each; beyond that the documents are shuffled
 
@@ -81,12 +81,15 @@ def sketches(docs: DataFrame, doc_id: str, text: str, width: int, percent: int)
 
 
 def short_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """(h, a, n): the short lists of every set, without those of one set."""
+    """(h, a, n): the short lists of every set, without those of one set.
+
+    One shuffle by n-gram; a list has one row for each set at most, a task very many lists.
+    """
     postings = sets.select("a", "n", F.explode("bottom").alias("h"))
-    length = postings.groupBy("h").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    shared = postings.withColumn("m", F.count(F.lit(1)).over(W.partitionBy("h"))).filter("m > 1")
     longest = F.row_number().over(W.partitionBy("a").orderBy(F.desc("m"), F.desc("h")))
     aside = least_merged(least_overlap(F.col("n"), percent)) - 1
-    return postings.join(length, "h").withColumn("place", longest).filter(F.col("place") > aside).select("h", "a", "n")
+    return shared.withColumn("place", longest).filter(F.col("place") > aside).select("h", "a", "n")
 
 
 def divide_skip(query: np.ndarray, lists: dict[int, list[int]], least: int, accept: Callable[[int, int], bool]) -> list[int]:
@@ -112,13 +115,13 @@ def divide_skip(query: np.ndarray, lists: dict[int, list[int]], least: int, acce
     return found
 
 
-def search_unit(names: list[int], sets: list[np.ndarray], queries: Iterable[int], percent: int) -> list[tuple[int, int]]:
-    """Links between the queries and all members of a unit; only those that join two parts of it."""
+def search_unit(names: list[int], sets: list[np.ndarray], n_index: int, percent: int) -> list[tuple[int, int]]:
+    """Links between queries and the first ``n_index`` sets, the index; only those that join two parts of the unit."""
     lists: dict[int, list[int]] = {}
-    for member, tokens in enumerate(sets):
-        for t in tokens.tolist():
+    for member in range(n_index):
+        for t in sets[member].tolist():
             lists.setdefault(t, []).append(member)
-    part = list(range(len(sets)))
+    part = {name: name for name in names}
 
     def top(x: int) -> int:
         while part[x] != x:
@@ -127,11 +130,11 @@ def search_unit(names: list[int], sets: list[np.ndarray], queries: Iterable[int]
         return x
 
     links = []
-    for q in queries:
+    for q in range(n_index, len(sets)):
         n = len(sets[q])
         least = -(-n * percent // 100)
         for member in divide_skip(sets[q], lists, least, lambda m, o, n=n: 100 * o >= percent * (n + len(sets[m]) - o)):
-            x, y = top(q), top(member)
+            x, y = top(names[q]), top(names[member])
             if x != y:
                 part[max(x, y)] = min(x, y)
                 links.append((names[q], names[member]))
@@ -142,9 +145,9 @@ def search_units(members: DataFrame, tokens: DataFrame, keys: list[str], percent
     """Links (u, v) found in every unit of ``members`` (keys, a, query)."""
 
     def search(unit: pd.DataFrame) -> pd.DataFrame:
-        unit = unit.sort_values(["query", "a"], ascending=[False, True]).drop_duplicates("a")
+        unit = unit.sort_values(["query", "a"])
         names, sets = unit["a"].tolist(), [np.asarray(s, np.int64) for s in unit["s"]]
-        links = search_unit(names, sets, np.flatnonzero(unit["query"].to_numpy()).tolist(), percent)
+        links = search_unit(names, sets, int((~unit["query"]).sum()), percent)
         return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
 
     return members.join(tokens, "a").groupBy(*keys).applyInPandas(search, "u bigint, v bigint")
@@ -154,10 +157,9 @@ def _size_fits(x: Column, y: Column, percent: int) -> Column:
     return (x * 100 >= y * percent) & (y * 100 >= x * percent)
 
 
-def leader_links(groups: DataFrame, leaders: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """Each group's leader searched against its other members, in chunks of bounded size."""
-    pairs = groups.join(leaders, "h").filter((F.col("a") != F.col("lead")) & _size_fits(F.col("n"), F.col("lead_n"), percent))
-    pairs = pairs.filter(~F.col("c").eqNullSafe(F.col("lead_c"))) if "c" in groups.columns else pairs
+def leader_links(lists: DataFrame, leaders: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Each list's leader searched against its other members, in chunks of bounded size."""
+    pairs = lists.join(leaders, "h").filter((F.col("a") != F.col("lead")) & _size_fits(F.col("n"), F.col("lead_n"), percent))
     pairs = Stored(pairs.select("lead", "a", "n").distinct()).frame
     chunks = pairs.groupBy("lead").agg(F.ceil(F.sum("n") / UNIT_TOKENS).alias("k"))
     placed = pairs.join(chunks, "lead").select("lead", F.expr("pmod(xxhash64(a), k)").alias("chunk"), "a")
@@ -165,17 +167,23 @@ def leader_links(groups: DataFrame, leaders: DataFrame, tokens: DataFrame, perce
     return search_units(placed.withColumn("query", F.lit(False)).unionByName(asking), tokens, ["lead", "chunk"], percent)
 
 
-def block_links(groups: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
-    """All members of each group against each other, in pairs of blocks of bounded size."""
-    blocks = groups.groupBy("h").agg(F.ceil(F.sum("n") * 2 / UNIT_TOKENS).alias("k"))
-    placed = groups.join(blocks, "h").withColumn("own", F.expr("pmod(xxhash64(a), k)"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
-    units = spread.select("h", F.least("own", "other").alias("b1"), F.greatest("own", "other").alias("b2"), "a")
-    keys = ["h", "b1", "b2"]
-    # Many lists have the same members: the first of each such set of units is searched.
-    signed = units.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("a")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), F.col("a"))).alias("y"))
-    first = signed.filter("m > 1").groupBy("m", "x", "y").agg(F.min(F.struct(*keys)).alias("unit")).select("unit.*")
-    return search_units(units.join(first, keys, "left_semi").withColumn("query", F.lit(True)), tokens, keys, percent)
+def cluster_links(members: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
+    """Links within clusters; members: (cluster, a, n, c), c being the component known so far.
+
+    Sizes are laid out in bands as wide as the similarity allows, so a query meets the
+    sets of its own and the two neighbouring bands; both sides are cut into blocks.
+    """
+    sizes = members.groupBy("cluster", "c").agg(F.count(F.lit(1)).alias("m"))
+    main = sizes.groupBy("cluster").agg(F.max(F.struct("m", "c")).alias("top")).select("cluster", F.col("top.c").alias("main"))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(percent / 100)))
+    held = members.join(main, "cluster").withColumn("band", band)
+    asking = held.filter("c <> main").withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    key = ["cluster", "band"]
+    blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.sum("n") / UNIT_TOKENS).alias(name))
+    k = blocks(held, "ki").join(blocks(asking, "kq"), key)
+    index = held.join(k, key).select(*key, F.expr("pmod(xxhash64(a), ki)").alias("ib"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("kq") - 1)).alias("qb"), "a", F.lit(False).alias("query"))
+    query = asking.join(k, key).select(*key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("ki") - 1)).alias("ib"), F.expr("pmod(xxhash64(1, a), kq)").alias("qb"), "a", F.lit(True).alias("query"))
+    return search_units(index.unionByName(query), tokens, [*key, "ib", "qb"], percent)
 
 
 def whole_sets(docs: DataFrame, doc_id: str, text: str, width: int, holders: DataFrame) -> DataFrame:
@@ -190,25 +198,24 @@ def whole_sets(docs: DataFrame, doc_id: str, text: str, width: int, holders: Dat
 
 def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
     """(id, n, component): size of the n-gram set and smallest id of the component of every row."""
-    sketched = Stored(sketches(docs, doc_id, text, width, percent)).frame
-    sets = sketched.filter("n > 0").groupBy("a").agg(F.first("n").alias("n"), F.first("bottom").alias("bottom"))
+    wide = Stored(sketches(docs, doc_id, text, width, percent))
+    sketched = Stored(wide.frame.select("id", "n", "a")).frame
+    sets = wide.frame.filter("n > 0").groupBy("a").agg(F.first("n").alias("n"), F.first("bottom").alias("bottom"))
     lists = Stored(short_lists(sets, percent)).frame
+    wide.drop()
     names = Stored(sketched.filter("n > 0").groupBy("a").agg(F.min("id").alias("id"))).frame
     tokens = Stored(whole_sets(docs, doc_id, text, width, names.join(lists.select("a").distinct(), "a", "left_semi"))).frame
-    links, labels, groups = None, None, lists
-    for _ in range(LEADERS):
-        fields = ["a", "n"] + (["c"] if labels is not None else [])
-        leaders = groups.groupBy("h").agg(F.min(F.struct(*fields)).alias("l")).select("h", *(F.col(f"l.{x}").alias(y) for x, y in zip(fields, ("lead", "lead_n", "lead_c"), strict=False)))
-        found = Stored(leader_links(groups, leaders, tokens, percent)).frame
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        # A leader has met all members; a group within one component is done.
-        rest = groups.join(leaders.select("h", F.col("lead").alias("a")), ["h", "a"], "left_anti").select("h", "a", "n")
-        rest = rest.join(labels.select(F.col("v").alias("a"), "c"), "a", "left").withColumn("c", F.coalesce("c", "a"))
-        rest = Stored(rest).frame
-        open_groups = rest.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("h")
-        groups = Stored(rest.join(open_groups, "h")).frame
-    links = links.unionByName(Stored(block_links(groups, tokens, percent)).frame)
+    leaders = lists.groupBy("h").agg(F.min(F.struct("a", "n")).alias("l")).select("h", F.col("l.a").alias("lead"), F.col("l.n").alias("lead_n"))
+    links = Stored(leader_links(lists, leaders, tokens, percent)).frame
+    labels = components(links).select(F.col("v").alias("a"), "c")
+    # A leader has met all members; a list within one component is done.
+    rest = lists.join(leaders.select("h", F.col("lead").alias("a")), ["h", "a"], "left_anti")
+    rest = Stored(rest.join(labels, "a", "left").withColumn("c", F.coalesce("c", "a"))).frame
+    still = rest.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("a").alias("first")).filter("low <> high").select("h", "first")
+    rest = Stored(rest.join(still, "h")).frame
+    tied = components(rest.filter("a <> first").select(F.col("first").alias("u"), F.col("a").alias("v")).distinct())
+    members = rest.select("a", "n", "c").distinct().join(tied.select(F.col("v").alias("a"), F.col("c").alias("cluster")), "a")
+    links = links.unionByName(Stored(cluster_links(Stored(members).frame, tokens, percent)).frame)
     labels = components(links).select(F.col("v").alias("a"), "c")
     named = names.join(labels, "a", "left").withColumn("c", F.coalesce("c", "a"))
     smallest = named.groupBy("c").agg(F.min("id").alias("component"))
