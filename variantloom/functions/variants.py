@@ -20,10 +20,8 @@ def number(value: Column | str) -> Column:
     """
     text = _col(value).cast("string")
     parsed = text.try_cast("double")
-    suffix_d = text.endswith("d") | text.endswith("D")
-    suffix_f = text.endswith("f") | text.endswith("F")
     infinite = F.lower(text).isin("inf", "+inf", "-inf")
-    return F.when(suffix_d, None).when(suffix_f, F.when(infinite, parsed)).otherwise(parsed)
+    return F.when(F.substring(text, -1, 1).isin("d", "D", "f", "F"), F.when(infinite, parsed)).otherwise(parsed)
 
 
 # Numeric and short chromosome codes.

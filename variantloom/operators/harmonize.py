@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from variantloom.functions import statistics as S
 from variantloom.functions import tails
 from variantloom.functions import variants as V
-from variantloom.plans.ordered import ONCE, bind, exact_median, filter_bound
+from variantloom.plans.ordered import bind, exact_median
 from variantloom.session import checkpointed
 from variantloom.schema import (
     AUTOSOMES,
@@ -126,7 +126,7 @@ def derive_statistics(
     in_range = F.coalesce(F.col("P_IN").between(0.0, 1.0), F.col("NLP_IN") >= 0, z.isNotNull() & ~F.isnan(z))
     same = ["CHR", "POS", "RSID", "EA", "NEA"]
     effects = cast.select(
-        *carried, *same, ONCE, beta.alias("BETA"), se.alias("SE"), "OR", z.alias("Z"), "EAF",
+        *carried, *same, beta.alias("BETA"), se.alias("SE"), "OR", z.alias("Z"), "EAF",
         F.coalesce("N_IN", F.col("N_CASES") + F.col("N_CONTROLS"), "N_TOTAL").alias("N"), "N_CASES", "N_CONTROLS",
         S.effective_n("N_CASES", "N_CONTROLS").alias("N_EFF"), "INFO", "P_IN", "NLP_IN",
         in_range.alias("P_IN_RANGE"), tails.tail_argument(z).alias("_TAIL_AT"),
@@ -167,7 +167,7 @@ def qc_condition(
 
 def apply_qc(df: DataFrame, chromosomes: Sequence[str] = AUTOSOMES, min_info: float | None = None) -> DataFrame:
     if "P_IN_RANGE" in df.columns:
-        return filter_bound(df, qc_condition(chromosomes, min_info, F.col("P_IN_RANGE"))).drop("P_IN_RANGE")
+        return df.filter(qc_condition(chromosomes, min_info, F.col("P_IN_RANGE"))).drop("P_IN_RANGE")
     return df.filter(qc_condition(chromosomes, min_info))
 
 

@@ -20,27 +20,16 @@ from pyspark.sql import functions as F
 
 from variantloom.session import checkpointed
 
-ONCE = "_ONCE"
-
-
 def bind(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
-    """Add (or replace) columns that a later ``filter_bound`` reads without recomputing.
+    """Add (or replace) columns that later filters and projections read without recomputing.
 
     The optimizer pushes a filter below a projection by copying the projected
     expressions into the condition, which repeats parsing and casting for every
-    mention.  A projection that also numbers its rows is not copied.
+    mention.  What a generator makes is not copied, while filters on the other
+    columns still go through it to the scan.
     """
     kept = [F.col(f"`{name}`") for name in df.columns if name not in columns]
-    return df.select(
-        *kept, *[expr.alias(name) for name, expr in columns.items()], F.monotonically_increasing_id().alias(ONCE)
-    )
-
-
-def filter_bound(df: DataFrame, condition: Column) -> DataFrame:
-    """Filter that stays above the ``bind`` it depends on."""
-    if ONCE not in df.columns:
-        return df.filter(condition)
-    return df.filter(condition & (F.col(ONCE) >= 0)).drop(ONCE)
+    return df.select(*kept, F.inline(F.array(F.struct(*[expr.alias(name) for name, expr in columns.items()]))))
 
 
 _FINE = 2048.0
