@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in small batches: their arrays are many times the size of the text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def words(text: Column) -> Column:
     """Maximal runs of anything but space, tab and the line breaks; none for null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")

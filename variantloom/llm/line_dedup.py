@@ -9,10 +9,10 @@ depend on the order of the work.  Lines without a word always stay.
 1. Equal lines meet in one partial aggregate, which yields the earliest of each.
 2. Two different lines within one edit share the first or the last half of their
    words, for a half that follows from the longer length.  Lines none of whose
-   halves occurs in another line have no partner; the others are *active*.
+   halves occurs in another line have no partner; the others are *active*.  The
+   same is asked of three quarters, once the words of the active lines are at hand.
 3. Active lines emit themselves and every variant with one word left out, as
-   128-bit hashed keys.  A hash is the exclusive or of (word, position) hashes,
-   so running windows over the words give all variants in linear time.
+   128-bit hashed keys; keys that occur once go before anything is shuffled by them.
 4. Equal keys are joined by aggregates that carry only the earliest member:
    equal variants at one position are exchanges, a variant equal to a whole line
    is an insertion.  No pairs are made within a group.
@@ -28,19 +28,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from variantloom.llm.common import Stored, free_name, let, words
+from variantloom.llm.common import Stored, free_name, indexes, let, words
+
+
+BROADCAST_PLACES = 500_000  # of 24 bytes each; beyond that the documents are shuffled
 
 
 def _hash2(*parts: Column) -> tuple[Column, Column]:
     return F.xxhash64(*parts), F.xxhash64(F.lit(1), *parts)
 
 
+def has_word(line: Column) -> Column:
+    return F.trim(line, F.lit(" \t\n\x0b\f\r")) != ""
+
+
 def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, th, i, w): every line that has a word, with its words."""
+    """(id, th, i, line): every line that has a word."""
     base = docs.select(docs[doc_id].alias("id"), F.xxhash64(docs[text]).alias("th"), F.posexplode(F.split(docs[text], "\n")).alias("i", "line"))
-    return base.select("id", "th", "i", words(F.col("line")).alias("w")).filter(F.size("w") > 0)
+    return base.filter(has_word(F.col("line")))
 
 
 def half_keys(w: Column) -> Column:
@@ -59,7 +65,7 @@ def distinct_lines(lines: DataFrame, min_words: int) -> DataFrame:
     """(k1, k2, first, n, halves): each different line once, at its earliest place."""
     k1, k2 = _hash2(F.col("w"))
     n = F.size("w")
-    keyed = lines.select(
+    keyed = lines.select("id", "th", "i", words(F.col("line")).alias("w")).select(
         k1.alias("k1"), k2.alias("k2"), F.struct("id", "th", "i").alias("place"), n.alias("n"),
         F.when(n >= min_words, half_keys(F.col("w"))).alias("halves"),
     )
@@ -73,23 +79,82 @@ def active_lines(distinct: DataFrame) -> DataFrame:
     return halves.join(shared, "half").select("first.*").distinct()
 
 
+def quarter_keys(w: Column) -> Column:
+    """Keys of all but the quarter that holds the edit, for a partner as long as, or longer by one than, the line."""
+
+    def keys(longer: Column) -> list[Column]:
+        cut = [F.floor((longer - 1) * k / 4).cast("int") for k in (1, 2, 3)]
+        first = lambda n: F.slice(w, F.lit(1), n)
+        last = lambda n: F.slice(w, F.size(w) - n + 1, n)
+        parts = [
+            (first(cut[2]), F.lit(None)), (first(cut[1]), last(longer - cut[2])),
+            (first(cut[0]), last(longer - cut[1])), (F.lit(None), last(longer - cut[0])),
+        ]
+        return [F.xxhash64(F.lit(side), longer, *(p for p in pair)) for side, pair in enumerate(parts)]
+
+    return F.array(*keys(F.size(w)), *keys(F.size(w) + 1))
+
+
+def close_lines(active: DataFrame) -> DataFrame:
+    """The active lines that share three quarters with another one, which a partner within one edit does."""
+    keyed = active.select(F.struct("id", "th", "i").alias("place"), F.explode(quarter_keys(F.col("w"))).alias("key"))
+    shared = keyed.groupBy("key").agg(F.min("place").alias("low"), F.max("place").alias("high")).filter("low <> high").select("key")
+    return keyed.join(shared, "key").select("place.*").distinct()
+
+
+def prefix_xor(values: Column) -> Column:
+    """For every place the exclusive or of what stands before it.
+
+    Runs of about the square root of the length are summed first, so that a place
+    costs one run and not all that stands before it.
+    """
+    zero = F.lit(0).cast("long")
+    of = lambda part: F.aggregate(part, zero, lambda total, x: total.bitwiseXOR(x))
+    n, run = F.size(values), F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1))
+
+    def with_run(c: Column) -> Column:
+        runs = F.transform(indexes(F.ceil(n / c).cast("int")), lambda k: of(F.slice(values, k * c + 1, c)))
+        before = lambda sums: F.transform(sums, lambda _, k: of(F.slice(sums, F.lit(1), k)))
+        at = lambda i: F.floor(i / c).cast("int")
+        return let(let(runs, before), lambda upto: F.transform(values, lambda _, i: F.get(upto, at(i)).bitwiseXOR(of(F.slice(values, at(i) * c + 1, i % c)))))
+
+    return let(run, with_run)
+
+
+def variant_hashes(w: Column) -> Column:
+    """(len, v1, v2, at) of the line itself (at = -1) and of all its one-word deletions.
+
+    A hash is the exclusive or of (word, place) hashes.  Without word i it is that of the
+    words before i at their places and of the words behind it one place further left.
+    """
+
+    def one(seed: list[Column]) -> Column:
+        """Hashes of all deletions, then that of the whole line."""
+        own = F.transform(w, lambda x, i: F.xxhash64(*seed, x, i))
+        left = F.transform(w, lambda x, i: F.xxhash64(*seed, x, i - 1))
+        total = lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda t, x: t.bitwiseXOR(x))
+
+        def cut(o: Column, m: Column) -> Column:
+            change = F.zip_with(o, m, lambda x, y: x.bitwiseXOR(y))
+            without = let(total(m), lambda t: F.zip_with(let(change, prefix_xor), m, lambda before, x: before.bitwiseXOR(t).bitwiseXOR(x)))
+            return F.concat(without, F.array(total(o)))
+
+        return let(own, lambda o: let(left, lambda m: cut(o, m)))
+
+    n = F.size(w)
+    named = lambda v1: F.transform(v1, lambda x, i: F.struct(F.when(i < n, n - 1).otherwise(n).alias("len"), x.alias("v1"), F.when(i < n, i).otherwise(-1).alias("at")))
+    return F.zip_with(let(one([]), named), one([F.lit(1)]), lambda s, v2: F.struct(s["len"].alias("len"), s["v1"].alias("v1"), v2.alias("v2"), s["at"].alias("at")))
+
+
 def variants(active: DataFrame) -> DataFrame:
-    """(len, v1, v2, at, ord): the line itself (at = -1) and all its one-word deletions, hashed."""
-    place = F.struct("id", "th", "i")
-    each = active.select(place.alias("ord"), F.size("w").alias("n"), F.posexplode("w").alias("at", "word"))
-    hashed = each.select(
-        "ord", "n", "at",
-        *(h.alias(f"own{s}") for s, h in enumerate(_hash2(F.col("word"), F.col("at")))),
-        *(h.alias(f"left{s}") for s, h in enumerate(_hash2(F.col("word"), F.col("at") - 1))),
-    )
-    line = W.partitionBy("ord")
-    upto = line.orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)
-    run = hashed.select("ord", "n", "at", *(F.bit_xor(c).over(upto).alias(f"run_{c}") for c in ("own0", "own1", "left0", "left1")), "own0", "own1")
-    # The last row of a line holds its totals.
-    total = run.filter(F.col("at") == F.col("n") - 1).select("ord", F.col("run_own0").alias("f0"), F.col("run_own1").alias("f1"), F.col("run_left0").alias("t0"), F.col("run_left1").alias("t1"), "n")
-    without = [F.col(f"run_own{s}").bitwiseXOR(F.col(f"own{s}")).bitwiseXOR(F.col(f"t{s}")).bitwiseXOR(F.col(f"run_left{s}")) for s in (0, 1)]
-    cut = run.drop("n").join(total, "ord").select((F.col("n") - 1).alias("len"), without[0].alias("v1"), without[1].alias("v2"), "at", "ord")
-    return cut.unionByName(total.select(F.col("n").alias("len"), F.col("f0").alias("v1"), F.col("f1").alias("v2"), F.lit(-1).alias("at"), "ord"))
+    """(len, v1, v2, at, ord): the variants of the active lines that occur more than once.
+
+    What occurs once, nearly everything, is told by counts of single hashes, so that
+    only those and not the variants with their lines are shuffled.
+    """
+    each = active.select(F.struct("id", "th", "i").alias("ord"), F.explode(variant_hashes(F.col("w"))).alias("v")).select("v.*", "ord")
+    again = Stored(each.groupBy("v1").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("v1")).frame
+    return each.join(F.broadcast(again) if again.count() <= BROADCAST_PLACES else again, "v1")
 
 
 def earliest_partners(keyed: DataFrame) -> DataFrame:
@@ -118,11 +183,21 @@ def within_one_edit(a: Column, b: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = 8) -> DataFrame:
     """``docs`` with ``text`` rebuilt from its surviving lines, and ``n_lines`` and ``n_removed`` beside it."""
+    if min_words < 5:
+        raise ValueError("lines of fewer than five words have no quarters to compare")
     lines = occurrences(docs, doc_id, text)
     distinct = Stored(distinct_lines(lines, min_words)).frame
     places = Stored(active_lines(distinct.filter(F.col("halves").isNotNull()))).frame
     at = lambda a, b: (a["id"].eqNullSafe(b["id"])) & (a["th"] == b["th"]) & (a["i"] == b["i"])
-    active = Stored(lines.join(places, at(lines, places), "left_semi").dropDuplicates(["id", "th", "i"])).frame
+    if places.count() <= BROADCAST_PLACES:
+        fetched = lines.join(F.broadcast(places), at(lines, places), "left_semi")
+    else:  # only the documents that hold such a line are cut again
+        holding = docs.join(places, docs[doc_id].eqNullSafe(places["id"]) & (F.xxhash64(docs[text]) == places["th"]), "left_semi")
+        again = occurrences(holding, doc_id, text)
+        fetched = again.join(places, at(again, places), "left_semi")
+    active = Stored(fetched.dropDuplicates(["id", "th", "i"]).select("id", "th", "i", words(F.col("line")).alias("w"))).frame
+    close = close_lines(active)
+    active = Stored(active.join(close, at(active, close), "left_semi")).frame
     pairs = earliest_partners(Stored(variants(active)).frame)
     later, earlier = active.select(F.struct("id", "th", "i").alias("ord"), F.col("w").alias("a")), active.select(F.struct("id", "th", "i").alias("partner"), F.col("w").alias("b"))
     near = pairs.join(later, "ord").join(earlier, "partner").filter(within_one_edit(F.col("a"), F.col("b"))).select("ord.*")
@@ -135,14 +210,21 @@ def _rebuild(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFr
     held, n, removed = (free_name(docs, x) for x in ("kept_lines", "n_lines", "n_removed"))
     kept = kept.withColumnRenamed("kept", held).withColumnRenamed("id", "_dedup_id").withColumnRenamed("th", "_dedup_th")
     joined = docs.join(kept, docs[doc_id].eqNullSafe(kept["_dedup_id"]) & (F.xxhash64(docs[text]) == kept["_dedup_th"]), "left")
-    blank = lambda x: ~x.rlike("[^\\x20\\x09-\\x0D]")
-
     numbers = F.coalesce(F.col(held), F.array().cast("array<int>"))
 
     def rebuilt(lines: Column) -> Column:
-        blanks = F.array_compact(F.transform(lines, lambda x, i: F.when(blank(x), i)))
-        return let(F.sort_array(F.concat(numbers, blanks)), lambda order: F.array_join(F.transform(order, lambda i: F.get(lines, i)), "\n"))
-
-    with_word = F.size(F.filter(F.split(docs[text], "\n"), lambda x: ~blank(x)))
-    columns = [let(F.split(docs[text], "\n"), rebuilt).alias(c) if c == text else docs[c] for c in docs.columns]
-    return joined.select(*columns, F.coalesce(with_word, F.lit(0)).cast("long").alias(n), (F.coalesce(with_word, F.lit(0)) - F.size(numbers)).cast("long").alias(removed))
+        """Blank lines and surviving lines in their order, and the number of lines with a word."""
+        blanks = F.array_compact(F.transform(lines, lambda x, i: F.when(~has_word(x), i)))
+        return let(
+            blanks,
+            lambda b: F.struct(
+                let(F.sort_array(F.concat(numbers, b)), lambda order: F.array_join(F.transform(order, lambda i: F.get(lines, i)), "\n")).alias("text"),
+                (F.size(lines) - F.size(b)).cast("long").alias("n"),
+            ),
+        )
+
+    out = free_name(docs, "dedup_result")
+    joined = joined.withColumn(out, F.when(docs[text].isNotNull(), let(F.split(docs[text], "\n"), rebuilt)))
+    with_word = F.coalesce(F.col(out).getField("n"), F.lit(0))
+    columns = [F.col(out).getField("text").alias(c) if c == text else docs[c] for c in docs.columns]
+    return joined.select(*columns, with_word.alias(n), (with_word - F.size(numbers)).alias(removed))
