@@ -110,11 +110,14 @@ def compile_rules(rules: tuple[Rule, ...], value: dict[str, Column]) -> Column:
 
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, column: str = "quality") -> DataFrame:
     """``docs`` with one struct column: the counts, failed rules, base_failed and kept."""
-    measured = docs.withColumn(column, measures(docs[text]))
-    m = F.col(f"`{column}`")
     names = ("n_words", "word_chars", "n_symbols", "n_repeat_words", "n_stop_words", "n_upper")
-    value = {n: m.getField(n) for n in names} | {n: m.getField("lines").getField(n) for n in ("n_lines", "n_dup_lines")}
-    base, own = compile_rules(BASE_RULES, value), compile_rules(rules, value)
-    fields = [c.alias(n) for n, c in value.items()]
-    fields += [F.concat(base, own).alias("failed"), (F.size(base) > 0).alias("base_failed"), ((F.size(base) == 0) & (F.size(own) == 0)).alias("kept")]
-    return measured.withColumn(column, F.struct(*fields))
+
+    def verdict(m: Column) -> Column:
+        value = {n: m.getField(n) for n in names} | {n: m.getField("lines").getField(n) for n in ("n_lines", "n_dup_lines")}
+        base, own = compile_rules(BASE_RULES, value), compile_rules(rules, value)
+        fields = [c.alias(n) for n, c in value.items()]
+        fields += [F.concat(base, own).alias("failed"), (F.size(base) > 0).alias("base_failed"), ((F.size(base) == 0) & (F.size(own) == 0)).alias("kept")]
+        return F.struct(*fields)
+
+    # Bound, so that a filter on the verdict does not measure the text once for each rule.
+    return docs.withColumn(column, let(measures(docs[text]), verdict))
