@@ -30,13 +30,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from variantloom.llm.common import small_batches
+
 BLANK, MARK = "\u2581", "\ue000"  # MARK stands for a blank sign that is part of the text
 PRIVATE = 0x110000  # a number that is no code point
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SEED, ALPHA = 20240607, 1.0
 CHUNK_CHARS = 64  # a longer run without a blank is cut here, so that its filter stays short
 BATCH_CHARS = 400_000
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 150_000
 
 
 def model_file(name: str = "piece_bpe_32k.model") -> str:
@@ -176,7 +178,7 @@ class Sampler:
         place, length, unit = self._arcs(code, sizes[number] - local)
         unit = np.where(unit == len(self.vocabulary.of_id) + PRIVATE, len(self.vocabulary.of_id) + ord(MARK), unit)
         end = place + number[place] + length  # state numbers: one more state than characters in each chunk
-        order = np.lexsort((length, end))
+        order = np.argsort(end, kind="stable")  # merges runs: for each length the ends are in order
         place, length, unit, end = place[order], length[order], unit[order], end[order]
         n_states = len(code) + len(chunks)
         counts = np.bincount(end, minlength=n_states)
@@ -184,7 +186,7 @@ class Sampler:
         log_weight = np.where(unit < len(self.vocabulary.of_id), self.vocabulary.log_weight[np.minimum(unit, len(self.vocabulary.of_id) - 1)], self.vocabulary.log_byte * _utf8_length(unit - len(self.vocabulary.of_id)))
         total = np.zeros(n_states)
         part = np.zeros(len(end))
-        at_end = local[place] + length
+        at_end = (local[place] + length).astype(np.uint8)  # CHUNK_CHARS at most
         by_end = np.argsort(at_end, kind="stable")
         bounds = np.searchsorted(at_end[by_end], np.arange(1, int(sizes.max()) + 2))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -192,7 +194,9 @@ class Sampler:
             if not len(own):
                 continue
             value = total[end[own] - length[own]] + log_weight[own]
-            states, begin = np.unique(end[own], return_index=True)
+            ends = end[own]
+            begin = np.flatnonzero(np.diff(ends, prepend=-1))
+            states = ends[begin]
             high = np.maximum.reduceat(value, begin)
             reach = np.diff(np.append(begin, len(own)))
             raw = np.exp(value - np.repeat(high, reach))
@@ -238,8 +242,10 @@ class Sampler:
         while len(alive):
             now = state[alive]
             end = place[alive] + now - begin[alive]
-            arc = np.searchsorted(share, now + uniform(self.seed, key[alive], end), side="right")
-            arc = np.clip(arc, bounds[now], bounds[now + 1] - 1)
+            arc, last, drawn_share = bounds[now], bounds[now + 1] - 1, now + uniform(self.seed, key[alive], end)
+            on = np.arange(len(arc))  # a state has few arcs, side by side: step on until the share is reached
+            while len(on := on[(share[arc[on]] <= drawn_share[on]) & (arc[on] < last[on])]):
+                arc[on] += 1
             drawn.append(alive)
             arcs.append(arc)
             ends_at.append(end)
@@ -296,6 +302,7 @@ def _slices(texts: list[str | None]) -> Iterator[slice]:
 
 def encode_column(docs: DataFrame, key: str = "doc_id", text: str = "text", column: str = "piece_ids", model: str | None = None, seed: int = SEED, alpha: float = ALPHA) -> DataFrame:
     """``docs`` with the ids of a sampled segmentation of each text."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -313,6 +320,7 @@ def encode_column(docs: DataFrame, key: str = "doc_id", text: str = "text", colu
 
 def decode_column(pieces: DataFrame, ids: str = "piece_ids", column: str = "decoded", model: str | None = None) -> DataFrame:
     """``pieces`` with the text that the ids stand for."""
+    small_batches(pieces.sparkSession)
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
