@@ -118,6 +118,53 @@ def test_pieces_decode_and_depend_on_key_and_text_only():
         assert sampler.encode([k], [texts[k]])[0].tolist() == one[k].tolist()
 
 
+def _arc_shares(text, weight, longest):
+    """How often each piece stands at each place, by sums over the whole text from both ends."""
+    n = len(text)
+    arcs = [(i, j, *weight[text[i:j]]) for i in range(n) for j in range(i + 1, min(n, i + longest) + 1) if text[i:j] in weight]
+    ahead, behind = [1.0] + [0.0] * n, [0.0] * n + [1.0]
+    for i, j, _, w in arcs:
+        ahead[j] += ahead[i] * w
+    for i, j, _, w in reversed(arcs):
+        behind[i] += behind[j] * w
+    return {(i, piece): ahead[i] * w * behind[j] / ahead[n] for i, j, piece, w in arcs}
+
+
+def test_shares_of_long_runs_and_of_blanks():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_sampling.model_file())
+    vocabulary = piece_sampling.Vocabulary.load(piece_sampling.model_file(), 0.3)
+    names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+    usual = [i for i in range(len(names)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+    weight = {names[i]: (i, (i + 1.0) ** -0.3) for i in usual}
+    assert sum(set(names[i]) == {piece_sampling.BLANK} and len(names[i]) > 1 for i in usual) > 10
+    n = 4000
+    for text in ("therefore" * 12, "x" + " " * 20 + "if then", "  a" + " " * 70 + "the", "https://the.example.org/" + "information/" * 6):
+        want = _arc_shares(text.replace(" ", piece_sampling.BLANK), weight, vocabulary.longest)
+        counts = dict.fromkeys(want, 0)
+        for ids in piece_sampling.Sampler(vocabulary).encode(list(range(n)), [text] * n):
+            at = 0
+            for i in ids.tolist():
+                counts[at, i] += 1
+                at += len(names[i])
+            assert at == len(text)
+        for arc, p in want.items():
+            assert abs(counts[arc] / n - p) < 5.5 * (p * max(1 - p, 0) / n) ** 0.5 + 2e-3, (text, arc, p)
+
+
+def test_long_runs_are_cut_only_where_no_piece_crosses():
+    vocabulary = piece_sampling.Vocabulary.load(piece_sampling.model_file())
+    rng = random.Random(8)
+    for text in ("".join(rng.choice("日本語中文的是") for _ in range(500)), "".join(rng.choice("aZ9+/kQ=") for _ in range(3000)), "=" * 700, "  " * 90 + "a"):
+        parts = vocabulary.chunks_of(text)
+        assert "".join(parts) == text
+        for a, b in itertools.pairwise(parts):
+            near = (a[-vocabulary.longest :], b[: vocabulary.longest])
+            for i, j in itertools.product(range(1, len(near[0]) + 1), range(1, len(near[1]) + 1)):
+                assert (near[0][-i:] + near[1][:j]).encode() not in set(vocabulary.of_id)
+
+
 def test_piece_columns(spark):
     rows = [(1, None), (2, ""), (None, "a b"), (0, "a b"), (4, "the then there " * 40), (5, "the then there " * 40), (4, "the then there " * 40)]
     out = piece_sampling.decode_column(piece_sampling.encode_column(H.documents(spark, rows).withColumn("_body", F.lit(1))))

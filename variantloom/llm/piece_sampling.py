@@ -2,10 +2,11 @@
 
 A text is a lattice of vocabulary pieces.  Forward filtering sums the weights of all
 segmentations up to every place; backward sampling then draws the pieces from the
-end, each with its share of the sum.  No piece has a blank behind its first
-character but the pieces of blanks alone, which are not used, so the lattice falls
-apart into chunks (a blank and what follows up to the next): the filter runs once
-for each different chunk and the draws of all chunks of a batch run together.
+end, each with its share of the sum.  The lattice falls apart where no piece can
+cross: before a run of blanks, and in a long run without blanks between two
+characters that no piece holds side by side.  The filter runs once for each different
+chunk between such places and the draws of all chunks of a batch run together; a run
+that nothing divides is one chunk, however long it is.
 
 A draw is a hash of (seed, row key, place of the draw in the row), so a row's pieces
 depend on nothing but its key and text.  The vocabulary's ranks give the weights: the
@@ -21,6 +22,7 @@ and text get equal pieces; a null key draws like key 0; an unknown column is kep
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -36,9 +38,10 @@ BLANK, MARK = "\u2581", "\ue000"  # MARK stands for a blank sign that is part of
 PRIVATE = 0x110000  # a number that is no code point
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SEED, ALPHA = 20240607, 1.0
-CHUNK_CHARS = 64  # a longer run without a blank is cut here, so that its filter stays short
+CHUNK_CHARS = 64  # in a longer chunk places are sought that no piece can cross
 BATCH_CHARS = 400_000
-CACHE_CHUNKS = 150_000
+CACHE_CHUNKS, CACHE_STATES = 150_000, 2_000_000  # what is forgotten is filtered anew
+RUN = re.compile(" *[^ ]+| +")
 
 
 def model_file(name: str = "piece_bpe_32k.model") -> str:
@@ -57,6 +60,8 @@ class Vocabulary:
     byte_ids: list[int]
     of_id: list[bytes]
     longest: int
+    joins: set[str]  # every two characters that stand side by side in a piece, blanks as spaces
+    blank_inside: bool  # a piece holds a blank after another character
 
     @classmethod
     def load(cls, path: str, alpha: float = ALPHA) -> Vocabulary:
@@ -73,7 +78,7 @@ class Vocabulary:
                 byte_ids[value], of_id[i] = i, bytes([value])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 of_id[i] = piece.replace(BLANK, " ").encode()
-                if BLANK not in piece[1:] and MARK not in piece:
+                if MARK not in piece:
                     by_length.setdefault(len(piece), []).append((i, piece))
         tables = {}
         for length, pieces in by_length.items():
@@ -84,17 +89,20 @@ class Vocabulary:
             order = np.argsort(hashes)
             tables[length] = hashes[order], np.array([i for i, _ in pieces], np.int64)[order], letters[order]
         log_weight = -alpha * np.log(np.arange(size) + 1.0)
-        return cls(tables, log_weight, -alpha * float(np.log(size + 1.0)), byte_ids, of_id, max(tables))
-
-
-def chunks_of(text: str) -> list[str]:
-    """The text in pieces of one blank (as a space) and what follows; their sum is the text."""
-    parts = text.split(" ")
-    words = [parts[0]] if parts[0] else []
-    words += [" " + p for p in parts[1:]]
-    if max(map(len, words), default=0) <= CHUNK_CHARS:
-        return words
-    return [w[i : i + CHUNK_CHARS] for w in words for i in range(0, len(w), CHUNK_CHARS)]
+        joins = {p[j : j + 2].replace(BLANK, " ") for pieces in by_length.values() for _, p in pieces for j in range(len(p) - 1)}
+        blank_inside = any(j[1] == " " != j[0] for j in joins)
+        return cls(tables, log_weight, -alpha * float(np.log(size + 1.0)), byte_ids, of_id, max(tables), joins, blank_inside)
+
+    def chunks_of(self, text: str) -> list[str]:
+        """The text in parts that no piece crosses; their sum is the text."""
+        words = [text] if text and self.blank_inside else RUN.findall(text)
+        if max(map(len, words), default=0) <= CHUNK_CHARS:
+            return words
+        out = []
+        for w in words:
+            cuts = [i for i in range(1, len(w)) if w[i - 1 : i + 1] not in self.joins] if len(w) > CHUNK_CHARS else []
+            out += [w[a:b] for a, b in zip([0, *cuts], [*cuts, len(w)], strict=True)]
+        return out
 
 
 class Grown:
@@ -186,7 +194,7 @@ class Sampler:
         log_weight = np.where(unit < len(self.vocabulary.of_id), self.vocabulary.log_weight[np.minimum(unit, len(self.vocabulary.of_id) - 1)], self.vocabulary.log_byte * _utf8_length(unit - len(self.vocabulary.of_id)))
         total = np.zeros(n_states)
         part = np.zeros(len(end))
-        at_end = (local[place] + length).astype(np.uint8)  # CHUNK_CHARS at most
+        at_end = (local[place] + length).astype(np.min_scalar_type(int(sizes.max())))  # a narrow type sorts faster
         by_end = np.argsort(at_end, kind="stable")
         bounds = np.searchsorted(at_end[by_end], np.arange(1, int(sizes.max()) + 2))
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
@@ -217,12 +225,12 @@ class Sampler:
 
     def encode(self, keys: list[int], texts: list[str]) -> list[np.ndarray]:
         """Piece ids of every text."""
-        if len(self.index) >= CACHE_CHUNKS:
+        if len(self.index) >= CACHE_CHUNKS or self.n_states >= CACHE_STATES:
             self._forget()
         index, known = self.index, len(self.index)
         which, counts = [], []
         for text in texts:
-            own = chunks_of(text)
+            own = self.vocabulary.chunks_of(text)
             counts.append(len(own))
             which += [index.setdefault(c, len(index)) for c in own]
         if not which:
