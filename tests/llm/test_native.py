@@ -57,6 +57,15 @@ def test_license_sentences_have_cues():
     assert {x for _, seq in license_scan.RULES for x in seq} <= names
 
 
+def test_license_sentences_wrapped_at_every_blank(spark):
+    assert all(any(c in w for c in license_scan.CUES for w in license_scan.normal_text(s).split(" ")) for _, s in license_scan.SENTENCES)
+    cases = [(name, s[:i] + parted + s[i + 1 :] + ".") for name, s in license_scan.SENTENCES for i, c in enumerate(s) if c == " " for parted in ("\n * ", "  ")]
+    got = license_scan.scan(H.documents(spark, [(i, text) for i, (_, text) in enumerate(cases)])).select("doc_id", "license.sentences").collect()
+    assert len(got) == len(cases)
+    for r in got:
+        assert r.sentences == [cases[r.doc_id][0]], cases[r.doc_id]
+
+
 def test_license_scan(spark):
     mit = [s for n, s in license_scan.SENTENCES if n in ("MitGrant", "MitKeep", "MitAsIs")]
     wrapped = "\n".join(f"# {line}" for s in mit for line in (s[: s.index(" ", 60)], s[s.index(" ", 60) + 1 :] + "."))

@@ -126,8 +126,9 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Public-Domain", ("PublicDomain",)),
 )
 
-# Every known sentence has one of these; a text without any is not cut at all.
-CUES = ("licens", "licenc", "copyright", "permi", "warrant", "redistribut", "mpl", "derived from", "public domain", "all rights")
+# Every known sentence has one of these inside a word, where no line end or comment mark
+# can part it; a text without any is not cut at all.
+CUES = ("licens", "licenc", "copyright", "permi", "warrant", "redistribut", "mpl", "derived", "domain", "reserved")
 
 
 def normal_text(sentence: str) -> str:
