@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import textwrap
 
 from pyspark.sql import functions as F
 
@@ -66,6 +67,47 @@ def test_license_sentences_wrapped_at_every_blank(spark):
         assert r.sentences == [cases[r.doc_id][0]], cases[r.doc_id]
 
 
+BSD_3 = """Copyright (c) 2020, A. Holder. All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+
+
+def test_license_published_and_narrow_texts(spark):
+    commented = "\n".join(f" * {line}" for line in BSD_3.split("\n"))
+    forms = [BSD_3, commented] + [text.replace("1. ", a).replace("2. ", b).replace("3. ", c) for text in (BSD_3, commented) for a, b, c in (("1) ", "2) ", "3) "), ("(a) ", "(b) ", "(c) "), ("i. ", "ii. ", "iii. "), ("* ", "* ", "* "))]
+    two = [t[: t.index("3. ")] + "THIS SOFTWARE" for t in (BSD_3, commented)]
+    rows = list(enumerate(forms + two))
+    narrow = {100 + k: (name, "\n".join(f"// {line}" for line in (textwrap.wrap(s, width, break_long_words=False) if width else s.split(" ")))) for k, ((name, s), width) in enumerate(itertools.product(license_scan.SENTENCES, (0, 12, 20, 40, 60)))}
+    rows += [(i, text + ".") for i, (_, text) in narrow.items()]
+    rows += [(9000, "1. MIT License\n2. Licensed under the GNU General Public License, version\n3.\n4. word"), (9001, "the\n" * 30_000 + "MIT\nLicense\n" + "permission " * 100_000)]
+    got = {r.doc_id: r for r in license_scan.scan(H.documents(spark, rows)).select("doc_id", "license.*").collect()}
+    for i in range(len(forms)):
+        assert got[i].licenses == ["BSD-3-Clause"] and got[i].unresolved == ["AllRights"], rows[i]
+    for i in range(len(forms), len(forms + two)):
+        assert got[i].licenses == ["BSD-2-Clause"] and got[i].unresolved == ["AllRights"], rows[i]
+    for i, (name, text) in narrow.items():
+        assert got[i].sentences == [name], text
+    assert got[9000].sentences == ["MitTitle", "GplNotice3"] and got[9001].sentences == ["MitTitle"]
+
+
 def test_license_scan(spark):
     mit = [s for n, s in license_scan.SENTENCES if n in ("MitGrant", "MitKeep", "MitAsIs")]
     wrapped = "\n".join(f"# {line}" for s in mit for line in (s[: s.index(" ", 60)], s[s.index(" ", 60) + 1 :] + "."))

@@ -1,10 +1,10 @@
 """Licence scan: normalised sentences become identifiers, identifier sequences become licences.
 
-A text is cut into segments at line ends and after sentence marks; a known
-sentence may be wrapped over up to ``MAX_SEGMENTS`` of them.  Segments are
+A text is cut into segments at line ends, after sentence marks and after the mark of
+a list item; a known sentence may be wrapped over any number of them.  Segments are
 normalised (lower case, everything but letters and digits is one blank, so
 comment marks and punctuation vanish) and looked up in the sentence table.  The
-sequence of identifiers, with a bar for a stretch of unknown text, is then
+sequence of identifiers, with a bar for each unknown segment but a list mark, is then
 rewritten by the ordered rules: the first rule that finds its sequence consumes
 it.  What no rule consumes is reported as unresolved.
 
@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from variantloom.llm.common import indexes, let
 
-MAX_SEGMENTS = 6
+# The mark of a list item at the begin of a line, and a segment that is nothing else.
+LIST_MARK = "(?md)^([^A-Za-z0-9\\n]*+(?:[0-9]{1,3}|[A-Za-z]|[ivxIVX]{1,5})[.):\\]]+)[ \\t]+"
+MARK_ONLY = "^(?:[0-9]{1,3}|[a-z]|[ivx]{1,5})$"
 
 # Sentences of widely used licence notices, as published.
 SENTENCES: tuple[tuple[str, str], ...] = (
@@ -141,28 +143,36 @@ def _normal(text: Column) -> Column:
 
 
 def sentence_sequence(text: Column, sentences: tuple[tuple[str, str], ...] = SENTENCES) -> Column:
-    """Identifiers as ``<A><B>``, with ``|`` for each unknown segment between."""
-    known = F.create_map(*(F.lit(x) for text_id, s in {normal_text(s): i for i, s in sentences}.items() for x in (text_id, s)))
-    cut = F.split(F.regexp_replace(text, "([.!?:;])[ \\t]+", "$1\n"), "\n")
-    longest = max(len(normal_text(s)) for _, s in sentences)
+    """Identifiers as ``<A><B>``, with ``|`` for each unknown segment between that is no list mark."""
+    names = {normal_text(s): name for name, s in sentences}
+    known = F.create_map(*(F.lit(x) for item in names.items() for x in item))
+    begins = sorted({" ".join(w[:k]) for w in (s.split(" ") for s in names) for k in range(1, len(w) + 1)})
+    longest, most_words = max(map(len, names)), max(len(s.split(" ")) for s in names)
+    # Segments are joined by line ends here: a sentence ends where a segment does.
+    wrapped = "^(?:" + "|".join(s.replace(" ", "[ \n]") for s in sorted(names, key=len, reverse=True)) + ")(?=\n|\\z)"
+    cut = F.split(F.regexp_replace(F.regexp_replace(text, LIST_MARK, "$1\n"), "([.!?:;])[ \\t]+", "$1\n"), "\n")
 
     def at(segments: Column, i: Column) -> Column:
         """The longest known sentence that begins at segment i, with the segments it spans."""
-        found = []
-        for k in range(MAX_SEGMENTS, 0, -1):
-            joined = F.array_join(F.slice(segments, i + 1, F.lit(k)), " ")
-            name = F.when((F.size(segments) >= i + k) & (F.length(joined) <= longest), F.try_element_at(known, joined))
-            found.append(F.when(name.isNotNull(), F.struct(name.alias("name"), F.lit(k).alias("k"))))
-        return F.coalesce(*found, F.struct(F.lit(None).cast("string").alias("name"), F.lit(1).alias("k")))
+        ahead = F.array_join(F.transform(F.slice(segments, i + 1, F.lit(most_words)), lambda s: F.left(s, F.lit(longest + 1))), "\n")
+        found = F.when(F.get(segments, i).isin(begins), F.regexp_extract(ahead, wrapped, 0)).otherwise("")
+        return let(
+            found,
+            lambda m: F.struct(
+                F.try_element_at(known, F.translate(m, "\n", " ")).alias("name"),
+                (F.length(m) - F.length(F.replace(m, F.lit("\n"))) + 1).alias("k"),
+                F.get(segments, i).rlike(MARK_ONLY).alias("listed"),
+            ),
+        )
 
     def fold(state: Column, item: Column) -> Column:
         covered = state.getField("reach") > item.getField("i")
-        mark = F.when(covered, "").when(item.getField("name").isNull(), "|").otherwise(F.concat(F.lit("<"), item.getField("name"), F.lit(">")))
+        mark = F.when(covered | (item.getField("name").isNull() & item.getField("listed")), "").when(item.getField("name").isNull(), "|").otherwise(F.concat(F.lit("<"), item.getField("name"), F.lit(">")))
         reach = F.when(item.getField("name").isNull(), state.getField("reach")).otherwise(F.greatest(state.getField("reach"), item.getField("i") + item.getField("k")))
         return F.struct(reach.alias("reach"), F.concat(state.getField("marks"), mark).alias("marks"))
 
     def marks(segments: Column) -> Column:
-        items = F.transform(indexes(F.size(segments)), lambda i: let(at(segments, i), lambda m: F.struct(i.alias("i"), m.getField("name").alias("name"), m.getField("k").alias("k"))))
+        items = F.transform(indexes(F.size(segments)), lambda i: let(at(segments, i), lambda m: F.struct(i.alias("i"), m.getField("name").alias("name"), m.getField("k").alias("k"), m.getField("listed").alias("listed"))))
         return F.aggregate(items, F.struct(F.lit(0).alias("reach"), F.lit("").alias("marks")), fold, lambda s: s.getField("marks"))
 
     return let(F.filter(F.transform(cut, _normal), lambda s: s != ""), marks)
