@@ -206,3 +206,11 @@ def test_gates_and_range_join(spark):
     passed, failed = region.split_by_gate(inside, gates)
     assert passed.count() == 3
     assert [r["REASON"] for r in failed.collect()] == ["only 0 variants match the population reference"]
+
+
+def test_variants_without_ld_are_counted_per_locus(spark):
+    cell = "LOCUS_ID string, POPULATION string, VARIANT_ID string"
+    matched = spark.createDataFrame([("L1", "EUR", f"v{i}") for i in range(5)] + [("L1", "AFR", "v0"), ("L2", "EUR", "v9")], cell)
+    units = spark.createDataFrame([("EUR", "v0"), ("EUR", "v0"), ("EUR", "v3"), ("AFR", "v8")], "POPULATION string, VARIANT_ID string")
+    got = {(r["LOCUS_ID"], r["POPULATION"]): (r["N_MATCHED"], r["N_WITH_LD"], r["N_LOST"]) for r in finemap.ld_coverage(matched, units).collect()}
+    assert got == {("L1", "EUR"): (5, 2, 3), ("L1", "AFR"): (1, 0, 1), ("L2", "EUR"): (1, 0, 1)}

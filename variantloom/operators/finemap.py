@@ -241,6 +241,15 @@ def locus_summary(variants: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def ld_coverage(rows: DataFrame, units: DataFrame, keys: Sequence[str] = LOCUS) -> DataFrame:
+    """Per locus: matched variants, those with an LD vector in their population, and those lost without one."""
+    kept = units.select("POPULATION", "VARIANT_ID").distinct().withColumn("_KEPT", F.lit(1))
+    counts = rows.join(kept, ["POPULATION", "VARIANT_ID"], "left").groupBy(*keys).agg(
+        F.count("*").alias("N_MATCHED"), F.count("_KEPT").alias("N_WITH_LD")
+    )
+    return counts.withColumn("N_LOST", F.col("N_MATCHED") - F.col("N_WITH_LD"))
+
+
 def validate_inputs(rows: DataFrame, ld: DataFrame | None = None, tolerance: float = 1e-7) -> DataFrame:
     """Loci whose Z is not finite, and populations whose LD is not finite or symmetric."""
     bad_z = rows.groupBy(*LOCUS).agg(F.sum((~S.is_finite("Z")).cast("bigint")).alias("N_BAD")).filter("N_BAD > 0")

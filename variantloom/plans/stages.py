@@ -83,15 +83,22 @@ def locate(
 def fine_map(
     stages: Stages, matched: DataFrame, units: DataFrame, places: DataFrame, min_variants: int, max_effects: int
 ) -> dict[str, DataFrame]:
-    """All loci at once; loci that fail a gate go to the failures table with their reason."""
+    """All loci at once; loci that fail a gate go to the failures table with their reason.
+
+    Variants without an LD vector cannot be fine-mapped; ``ld_coverage`` and the summary count them per locus.
+    """
     with_ld = matched.join(units.select("POPULATION", "VARIANT_ID"), ["POPULATION", "VARIANT_ID"], "left_semi")
     rows = stages.store("regional", lambda: region.rows_in_loci(with_ld.withColumn("Z", F.col("Z_ALT")), places))
     gates = region.locus_gates(rows, min_variants=min_variants, loci=places)
     passed, failures = region.split_by_gate(rows, gates)
+    placed = region.rows_in_loci(matched, places)
+    covered = stages.store("ld_coverage", lambda: finemap.ld_coverage(placed, units))
     results = finemap.finemap_from_units(
         passed.select("LOCUS_ID", "POPULATION", "VARIANT_ID", "CHR", "POS", "REF", "ALT", "Z"), units, max_effects=max_effects
     )
+    results["summary"] = results["summary"].join(covered, finemap.LOCUS, "left")
     out = {name: stages.store(f"finemap_{name}", lambda df=df: df) for name, df in results.items()}
+    out["ld_coverage"] = covered
     out["failures"] = stages.store("failed_loci", lambda: failures)
     out["sample_size"] = stages.store("locus_sample_size", lambda: region.locus_sample_size(rows))
     return out

@@ -514,6 +514,25 @@ def ld_clump(spark, sf_dir):
     return loci.clumps(members).withColumn("LEAD_NLP", -F.log10("LEAD_P")).drop("LEAD_P")
 
 
+@query("ld_pairs_default", with_("correlations") + f"SELECT POPULATION, ID_A, ID_B, {r6('R')} AS R FROM correlations WHERE ID_A < ID_B AND R * R >= 0.1")
+def ld_pairs_default(spark, sf_dir):
+    """At the operator's default r2 of 0.1, which keeps the weaker links too."""
+    return ld.ld_edges(views.units(spark, sf_dir))
+
+
+@query(
+    "ld_clump_default",
+    _CLUMP.replace("R * R >= 0.3", "R * R >= 0.1") + f"""SELECT r.POPULATION, r.LEAD_VARIANT, r.CHR, r.POS AS LEAD_POS, {r6('-log10(r.P)')} AS LEAD_NLP, 1 + count(c.VARIANT_ID) AS N_MEMBERS
+      FROM ranked r LEFT JOIN claims c ON c.POPULATION = r.POPULATION AND c.LEAD_VARIANT = r.LEAD_VARIANT GROUP BY ALL""",
+)
+def ld_clump_default(spark, sf_dir):
+    """At the operators' default r2 of 0.1."""
+    units = views.units(spark, sf_dir)
+    variants = _clump_input(spark, sf_dir, units)
+    members = loci.clump_members(variants, ld.ld_edges(units, variants.filter(F.col("P") <= 5e-8)))
+    return loci.clumps(members).withColumn("LEAD_NLP", -F.log10("LEAD_P")).drop("LEAD_P")
+
+
 # ------------------------------------------------------------------- regional
 
 
@@ -653,6 +672,16 @@ def finemap_summary(spark, sf_dir):
     return _finemap(spark, sf_dir)["summary"]
 
 
+@query(
+    "finemap_ld_coverage",
+    with_("matched", "vectors") + """SELECT LOCUS_ID, POPULATION, count(*) AS N_MATCHED, count(*) FILTER (has_ld) AS N_WITH_LD, count(*) FILTER (NOT has_ld) AS N_LOST
+      FROM (SELECT LOCUS_ID, POPULATION, (POPULATION, VARIANT_ID) IN (SELECT (POPULATION, VARIANT_ID) FROM vectors) AS has_ld FROM matched) GROUP BY 1, 2""",
+)
+def finemap_ld_coverage(spark, sf_dir):
+    """What the fine-mapping, clumping and joint inputs leave out for want of an LD vector."""
+    return finemap.ld_coverage(views.matched(spark, sf_dir), views.units(spark, sf_dir))
+
+
 @query("consensus_pip", with_("consensus") + f"SELECT VARIANT_ID, {r6('CROSS_ANCESTRY_PIP')} AS CROSS_ANCESTRY_PIP FROM consensus")
 def consensus_pip(spark, sf_dir):
     return finemap.consensus_pip(views.finemapped(spark, sf_dir))
