@@ -48,6 +48,12 @@ def test_base_spans_take_linear_time():
         pii.find_spans(text)
 
 
+def test_secrets_are_covered_to_their_end():
+    for size in (15, 16, 256, 257, 3000, 400_000):
+        spans = [s[:3] for s in pii.find_spans("token = " + "aB-_" * (size // 4) + "c" * (size % 4) + " end") if s[0] == 4]
+        assert spans == ([(4, 8, 8 + size)] if size >= 16 else [])
+
+
 def test_codes_and_em():
     for kind, vote in itertools.product(range(5), itertools.product(range(3), repeat=5)):
         assert pii.decode(pii.code_of(kind, vote, 9)) == (kind, list(vote), 9)

@@ -49,7 +49,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _PLAIN_PHONE = re.compile(r"(?<![0-9+])\(?[0-9]{3}\)?[ .-][0-9]{3}[.-][0-9]{4}(?![0-9])")
 _SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63})+", re.IGNORECASE)
-_SECRET = re.compile(r"(?:token|secret|password|passwd|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_+/-]{16,256})", re.IGNORECASE)
+_SECRET = re.compile(r"(?:token|secret|password|passwd|api_?key)\s{0,3}[=:]\s{0,3}[\"']?([A-Za-z0-9_+/-]{16,}+)", re.IGNORECASE)
 
 # Fixed values of the gazetteers and the context lists.
 TOP_DOMAINS = frozenset("com org net edu gov info io co de fr es uk eu us ca ch at it nl".split())
