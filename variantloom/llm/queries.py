@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, decontaminate, language_id, license_scan, line_dedup, ngram_jaccard, piece_sampling, pii, quality_rules, toxicity
+from variantloom.llm import chat_format, decontaminate, language_id, license_scan, line_dedup, ngram_jaccard, piece_sampling, pii, prefix_trie, quality_rules, toxicity
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,15 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.format_conversations(rows.unionByName(probe)))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of all rebuilt conversations, with its members and the totals of its subtree."""
+    trie = prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+    return trie.select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), "ends_sha256",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_pii": op2_pii,
@@ -97,4 +106,5 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
 }

@@ -150,10 +150,52 @@ FROM documents d LEFT JOIN done ON d.doc_id = done.doc_id
 """
 
 
+# Every path is spelled out as a list of turns, and every node is added to all its ancestors.
+OP11_PREFIX_TRIE = """
+WITH t AS (
+  SELECT conv_id AS c, r, x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(r) || ':' || r || x)) AS p
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT c, c - c % 5 AS base, xor(list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+    lambda crc, b: list_reduce([xor(crc, b), 0, 1, 2, 3, 4, 5, 6, 7], lambda y, i: xor(y // 2, CAST(3988292384 AS BIGINT) * (y % 2)))),
+    CAST(4294967295 AS BIGINT)) % 9 AS h
+  FROM (SELECT DISTINCT c FROM t)
+), again AS (
+  SELECT k.c, t.p, r, x FROM convs AS k JOIN t ON t.c = k.base AND t.p <= k.h
+  UNION ALL SELECT k.c, t.p, r, x FROM convs AS k JOIN t ON t.c = k.c AND t.p > k.h
+), paths AS (
+  SELECT c, row_number() OVER w AS d, list({'r': r, 'x': x}) OVER w AS turns, strlen(x) AS bytes
+  FROM again WINDOW w AS (PARTITION BY c ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  UNION ALL SELECT c, 0, [], 0 FROM convs
+), nodes AS (
+  SELECT d, turns, min(c) AS m, count(*) AS n, (count(*) - 1) * any_value(bytes) AS saved FROM paths GROUP BY d, turns
+), places AS (
+  SELECT paths.c, paths.d, m FROM paths JOIN nodes ON paths.d = nodes.d AND paths.turns = nodes.turns
+), up AS (
+  SELECT m, nodes.d, n, saved, (SELECT q.m FROM places AS q WHERE q.c = nodes.m AND q.d = nodes.d - 1) AS parent FROM nodes
+), kids AS (
+  SELECT parent, d - 1 AS d, count(*) AS n_children FROM up WHERE d > 0 GROUP BY parent, d
+), full_up AS (
+  SELECT up.*, coalesce(n_children, 0) AS n_children FROM up LEFT JOIN kids ON kids.parent = up.m AND kids.d = up.d
+), totals AS (
+  SELECT q.m, q.d, sum(CASE WHEN u.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(u.saved) AS saved
+  FROM full_up AS u JOIN places AS q ON q.c = u.m AND q.d <= u.d GROUP BY q.m, q.d
+), ends AS (
+  SELECT q.m, q.d, string_agg(CAST(q.c AS VARCHAR), ',' ORDER BY q.c) AS ids
+  FROM places AS q JOIN (SELECT c, max(d) AS d FROM places GROUP BY c) AS last ON q.c = last.c AND q.d = last.d GROUP BY q.m, q.d
+)
+SELECT f.m AS conv_id, CAST(f.d AS BIGINT) AS depth, f.parent AS parent_conv_id, CAST(f.n AS BIGINT) AS n_convs, CAST(f.n_children AS BIGINT) AS n_children,
+       CAST(t.n_leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM full_up AS f JOIN totals AS t ON f.m = t.m AND f.d = t.d LEFT JOIN ends AS e ON f.m = e.m AND f.d = e.d
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": op1_license_scan(),
     "op3_line_dedup": OP3_LINE_DEDUP,
     "op5_decontamination": OP5_DECONTAMINATION,
     "op7_ngram_jaccard": OP7_NGRAM_JACCARD,
     "op9_quality_rules": OP9_QUALITY_RULES,
+    "op11_prefix_trie": OP11_PREFIX_TRIE,
 }
