@@ -56,6 +56,30 @@ def indexes(count: Column) -> Column:
     return F.when(count > 0, F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
+FILTER_WORDS = 1 << 20  # 64-bit words of a bitmap: 8 MB of bits, whatever it is made of
+
+
+def _slot(hashed: Column) -> tuple[Column, Column]:
+    """Word and bit of a 64-bit hash."""
+    return F.shiftrightunsigned(hashed, 6).bitwiseAND(F.lit(FILTER_WORDS - 1)), hashed.bitwiseAND(F.lit(63)).cast("int")
+
+
+def bitmap(hashed: DataFrame) -> DataFrame:
+    """(slot_, bits_): the bits of a table of one column of 64-bit hashes, FILTER_WORDS rows at the most."""
+    slot, bit = _slot(F.col(hashed.columns[0]))
+    set_bits = hashed.select(slot.alias("slot_"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("bits_"))
+    return set_bits.groupBy("slot_").agg(F.bit_or("bits_").alias("bits_"))
+
+
+def may_hold(rows: DataFrame, hashed: Column, bits: DataFrame) -> DataFrame:
+    """The rows whose hash may be in the bitmap: all that are, and a share of the others that grows with its fill.
+
+    The bitmap has a fixed size, so it is broadcast; an exact step has to follow.
+    """
+    slot, bit = _slot(hashed)
+    return rows.join(F.broadcast(bits), slot == F.col("slot_")).filter(F.getbit("bits_", bit) == 1).select(*rows.columns)
+
+
 class Stored:
     """A table written as Parquet into the shared folder, so that it survives lost executors."""
 

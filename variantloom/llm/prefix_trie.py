@@ -171,9 +171,13 @@ def prefix_trie(seqs: DataFrame) -> DataFrame:
         "name", F.element_at("forests", -1).alias("above"), "depth", "conv", "n_convs", zero(F.col("children")).alias("n_children"),
         (F.col("leaf").cast("long") + zero(F.col("more_leaves"))).alias("n_leaves"), (F.col("saved") + zero(F.col("more_saved"))).alias("saved"),
     )
-    top = root.select(F.lit(ROOT).alias("name"), "conv", "n_convs").join(forests.withColumnRenamed("cut", "name"), "name", "left").select(
-        "name", F.lit(None).cast("string").alias("above"), F.lit(0).alias("depth"), "conv", "n_convs", zero(F.col("children")).alias("n_children"),
-        F.coalesce("leaves", F.lit(1).cast("long")).alias("n_leaves"), zero(F.col("saved")).alias("saved"),
+    # One row of the root's members and one of what hangs from it.
+    ends = root.select(F.lit(ROOT).alias("name"), "conv", "n_convs").unionByName(
+        forests.filter(F.col("cut") == ROOT).withColumnRenamed("cut", "name"), allowMissingColumns=True
+    )
+    top = ends.groupBy("name").agg(
+        F.lit(None).cast("string").alias("above"), F.lit(0).alias("depth"), F.max("conv").alias("conv"), F.max("n_convs").alias("n_convs"),
+        zero(F.max("children")).alias("n_children"), F.coalesce(F.max("leaves"), F.lit(1).cast("long")).alias("n_leaves"), zero(F.max("saved")).alias("saved"),
     )
     trie = Stored(inner.unionByName(top)).frame
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantloom.llm import chat_format, decontaminate, language_id, license_scan, line_dedup, ngram_jaccard, piece_sampling, pii, prefix_trie, quality_rules, toxicity
+from variantloom.llm import chat_format, collocations, decontaminate, language_id, license_scan, line_dedup, minhash, ngram_jaccard, piece_sampling, pii, prefix_trie, quality_rules, toxicity
 from variantloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,21 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, how alike they are, and the class of near duplicates."""
+    docs = table(spark, sf_dir, "documents")
+    prints = minhash.near_classes(minhash.fingerprints(docs), docs)
+    return prints.select(
+        F.col("id").alias("doc_id"), "n_chars", "edited_sha256", F.lower(F.hex("mark")).alias("fingerprint"),
+        F.lower(F.hex("edited_mark")).alias("edited_fingerprint"), "near_edited", "near_next", F.col("class").alias("class_id"),
+    )
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best 2,000 phrases of two and three words of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_pii": op2_pii,
@@ -107,4 +122,6 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_minhash": op12_minhash,
+    "op13_collocations": op13_collocations,
 }

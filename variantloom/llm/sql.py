@@ -191,6 +191,45 @@ FROM full_up AS f JOIN totals AS t ON f.m = t.m AND f.d = t.d LEFT JOIN ends AS
 """
 
 
+# Every phrase of one to three words is counted, without a prefilter.
+OP13_COLLOCATIONS = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM pieces
+), runs AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM words
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM words
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM words
+), f AS (
+  SELECT lang, k, phrase, count(*) AS f FROM runs GROUP BY lang, k, phrase
+), c AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10
+), cuts AS (
+  SELECT c.*, x.cut, CAST(x.l AS BIGINT) AS l, CAST(x.r AS BIGINT) AS r, (CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.l AS HUGEINT) * x.r) AS score FROM c JOIN (
+    SELECT c.lang, c.phrase, u.cut, p.f AS l, q.f AS r FROM c, (SELECT unnest([1, 2]) AS cut) AS u, f AS p, f AS q
+    WHERE u.cut < c.k AND p.lang = c.lang AND q.lang = c.lang
+      AND p.phrase = array_to_string(c.w[1:u.cut], ' ') AND q.phrase = array_to_string(c.w[u.cut + 1:c.k], ' ')) AS x
+    ON x.lang = c.lang AND x.phrase = c.phrase
+), best AS (
+  SELECT lang, k, phrase, a, l, r, CAST(score AS BIGINT) AS score FROM cuts
+  QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, s AS phrase, max(a) AS most FROM (
+    SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS s FROM c WHERE k = 3) GROUP BY lang, s
+), kept AS (
+  SELECT best.* FROM best LEFT JOIN inside ON best.lang = inside.lang AND best.phrase = inside.phrase
+  WHERE NOT coalesce(100 * most >= 50 * a, FALSE)
+), n AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n ON kept.lang = n.lang QUALIFY rank <= 2000
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": op1_license_scan(),
     "op3_line_dedup": OP3_LINE_DEDUP,
@@ -198,4 +237,5 @@ ORACLES: dict[str, str] = {
     "op7_ngram_jaccard": OP7_NGRAM_JACCARD,
     "op9_quality_rules": OP9_QUALITY_RULES,
     "op11_prefix_trie": OP11_PREFIX_TRIE,
+    "op13_collocations": OP13_COLLOCATIONS,
 }
