@@ -1,84 +1,97 @@
-"""Delimited text with ``##`` comment lines, read as strings and split on the JVM."""
+"""Delimited text with ``##`` comment lines, read as strings and split on the JVM.
+
+A folder may hold files of several layouts.  The header of each file is found by an
+aggregate over its lines, so there is one small row for each file: how it separates
+fields, and at which place it has each wanted one.  Lines are joined to it on the file
+and parsed by their own layout, in one scan of the folder.
+"""
 
 from __future__ import annotations
 
-import gzip
-import io
-import zipfile
-from collections.abc import Iterator, Mapping, Sequence
-from itertools import islice
+from collections.abc import Mapping, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from variantloom.schema import REQUIRED_FIELDS, map_columns
-
-LINES_PER_BATCH = 50_000
-
-
-def _chunks(lines: Iterator[str]) -> Iterator[tuple[int, list[str]]]:
-    """(number of the first, lines) of bounded runs of lines."""
-    first = 0
-    while chunk := [line.rstrip("\r\n") for line in islice(lines, LINES_PER_BATCH)]:
-        yield first, chunk
-        first += len(chunk)
-
-
-def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Stream the lines of .bgz and .zip files; one task per archive, bounded batches out."""
-    for batch in batches:
-        for path, content in zip(batch["path"], batch["content"], strict=True):
-            raw = io.BytesIO(content)
-            if path.lower().endswith(".zip"):
-                archive = zipfile.ZipFile(raw)
-                streams = (archive.open(name) for name in archive.namelist() if not name.endswith("/"))
-            else:
-                streams = iter([gzip.open(raw)])
-            for stream in streams:
-                with io.TextIOWrapper(stream, encoding="utf-8", errors="replace") as lines:
-                    for first, chunk in _chunks(lines):
-                        yield pd.DataFrame({"value": chunk, "AT": range(first, first + len(chunk))})
-
-
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines as ``value``; AT is a position that is smallest on a file's first lines."""
-    if path.lower().endswith((".bgz", ".zip")):
-        files = spark.read.format("binaryFile").load(path).select("path", "content")
-        return files.mapInPandas(_unpack, "value string, AT bigint")
-    return spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("AT"))
-
-
-def split_header(line: str) -> list[str]:
-    for sep in ("\t", ",", None):
-        parts = line.split(sep) if sep else line.split()
-        if len(parts) >= 4:
-            return [part.strip().strip('"') for part in parts]
-    return []
-
-
-def detect_layout(lines: DataFrame) -> tuple[str, list[str], str]:
-    """(separator, header fields, header line) from the first line that is not ``##``."""
-    head = lines.filter((F.col("AT") == 0) | F.col("value").startswith("#")).filter(
-        ~F.col("value").startswith("##") & (F.trim("value") != "")
-    ).limit(1).first()
-    if head is None:
-        head = lines.filter(~F.col("value").startswith("##") & (F.trim("value") != "")).limit(1).first()
-    if head is None:
-        raise ValueError("no header line found")
-    line = head["value"]
-    if "\t" in line:
-        sep = "\t"
-    elif len(line.split(",")) >= 4:
-        sep = ","
-    else:
-        sep = " "
-    return sep, split_header(line), line
+from variantloom.schema import COLUMN_ALIASES, REQUIRED_FIELDS
+from variantloom.session import checkpointed
+from variantloom.sources.blocks import read_bgzf, read_zip
+
+
+def read_lines(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+    """Lines as (value, FILE, AT, ROW); AT and ROW put the lines of a file in order.
+
+    ``form`` is ``bgzf``, ``zip`` or ``text`` (plain, or gzip by its suffix); without it
+    the suffix of the path decides.
+    """
+    form = form or {"bgz": "bgzf", "zip": "zip"}.get(path.lower().rsplit(".", 1)[-1], "text")
+    if form == "bgzf":
+        return read_bgzf(spark, path)
+    if form == "zip":
+        return read_zip(spark, path)
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("FILE"), F.col("_metadata.file_block_start").alias("AT"), F.monotonically_increasing_id().alias("ROW")
+    )
+
+
+def numbered(lines: DataFrame, across_files: bool = False) -> DataFrame:
+    """Lines with LINE, the number of each from 0 in its file, or over all files in their order.
 
+    The number does not depend on the ranges that the files were read in.
+
+    Lines are counted for each range, a prefix sum over the ranges of a file says where
+    each starts, and the rest is arithmetic: no line is sorted or moved.  The lines are
+    fixed first, so that both uses see the same ranges.
+    """
+    fixed = checkpointed(lines)
+    ranges = fixed.groupBy("FILE", "AT").agg(F.count("*").alias("_N"), F.min("ROW").alias("_FIRST"))
+    order = Window.orderBy("FILE", "AT") if across_files else Window.partitionBy("FILE").orderBy("AT")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)  # over ranges, not lines
+    starts = ranges.select("FILE", "AT", (F.coalesce(F.sum("_N").over(before), F.lit(0)) - F.col("_FIRST")).alias("_SHIFT"))
+    return fixed.join(starts, ["FILE", "AT"]).select(*lines.columns, (F.col("ROW") + F.col("_SHIFT")).alias("LINE"))
 
-def fields(sep: str, value: Column | str = "value") -> Column:
+
+def split_by(sep: Column, value: Column | str) -> Column:
+    """Fields of a line whose separator is a tab, a comma or (``' '``) any run of blanks."""
     text = F.col(value) if isinstance(value, str) else value
-    return F.split(F.trim(text), r"\s+") if sep == " " else F.split(text, sep, -1)
+    return F.when(sep == "\t", F.split(text, "\t", -1)).when(sep == ",", F.split(text, ",", -1)).otherwise(F.split(F.trim(text), r"\s+"))
+
+
+def layouts(lines: DataFrame) -> DataFrame:
+    """(FILE, HEAD, SEP, NAMES): the header of every file, its first line that is neither blank nor ``##``."""
+    told = lines.filter(~F.col("value").startswith("##") & (F.trim("value") != ""))
+    heads = told.groupBy("FILE").agg(F.min(F.struct("AT", "ROW", "value")).alias("_H")).select("FILE", F.col("_H.value").alias("HEAD"))
+    commas = F.size(F.split("HEAD", ",")) >= 4
+    sep = F.when(F.contains("HEAD", F.lit("\t")), "\t").when(commas, ",").otherwise(" ")
+    names = F.transform(split_by(F.col("SEP"), "HEAD"), lambda name: F.btrim(F.trim(name), F.lit('"')))
+    return heads.withColumn("SEP", sep).withColumn("NAMES", names)
+
+
+def body_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    """The lines of every file that are neither comments, blank nor its header, with HEAD, SEP and PLACES."""
+    body = lines.filter(~F.col("value").startswith("##") & (F.col("value") != ""))
+    return body.join(heads.select("FILE", "HEAD", "SEP", "PLACES"), "FILE").filter(F.col("value") != F.col("HEAD"))
+
+
+def parse(lines: DataFrame, heads: DataFrame, wanted: Sequence[str], null_tokens: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
+    """The wanted fields of every line, all strings, by the layout of its file, after the columns of ``lines`` to keep.
+
+    ``heads`` is (FILE, HEAD, SEP, PLACES); PLACES has, for each wanted field, its number
+    in that file, or null.  Ragged lines give nulls, extra fields are dropped.
+    """
+    parts = body_lines(lines, heads).select(*keep, "SEP", "PLACES", split_by(F.col("SEP"), "value").alias("_F"))
+
+    def pick(i: int) -> Column:
+        value = F.get("_F", F.get("PLACES", F.lit(i)))
+        value = F.when(F.col("SEP") == ",", F.trim(value)).otherwise(value)
+        return F.when(~value.isin(*null_tokens), value) if null_tokens else value
+
+    return parts.select(*keep, *[pick(i).alias(name) for i, name in enumerate(wanted)])
+
+
+def _place(names: Column, name: Column | str) -> Column:
+    """Number of a field, from 0; null where it is missing."""
+    return F.nullif(F.array_position(names, name), F.lit(0)).cast("int") - 1
 
 
 def read_delimited(
@@ -86,35 +99,68 @@ def read_delimited(
     path: str,
     null_tokens: Sequence[str] = (),
     columns: Mapping[str, str] | None = None,
+    form: str | None = None,
 ) -> DataFrame:
-    """All-string table; ragged lines give nulls, extra fields are dropped.
+    """All-string table of files that may differ in their columns and separators.
 
-    ``columns`` selects and renames (output -> header name).
+    ``columns`` selects and renames (output -> header name); without it the result has
+    the columns of all files, in the order of their first appearance.
     """
-    lines = read_lines(spark, path)
-    sep, header, head_line = detect_layout(lines)
-    names = header if header else head_line.split(sep)
-    wanted = columns if columns is not None else {name: name for name in names}
-    place = {name: i for i, name in reversed(list(enumerate(names)))}
-    body = lines.filter(~F.col("value").startswith("##") & (F.col("value") != head_line) & (F.col("value") != ""))
-    parts = body.select(fields(sep).alias("_F"))
-
-    def pick(name: str) -> Column:
-        value = F.get("_F", F.lit(place[name]))
-        if sep != "\t" and sep != " ":
-            value = F.trim(value)
-        return F.when(~value.isin(*null_tokens), value) if null_tokens else value
+    return _read(read_lines(spark, path, form), null_tokens, columns)
+
+
+def read_numbered(spark: SparkSession, path: str, form: str | None = None) -> DataFrame:
+    """:func:`read_delimited` with LINE, a number that no two lines of the files share."""
+    return _read(numbered(read_lines(spark, path, form), across_files=True), keep=("LINE",))
+
 
-    return parts.select(*[pick(source).alias(target) for target, source in wanted.items()])
+def _read(lines: DataFrame, null_tokens: Sequence[str] = (), columns: Mapping[str, str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    heads = checkpointed(layouts(lines))
+    if columns is None:
+        # One row for each different layout, not for each file.
+        kinds = heads.groupBy("NAMES").agg(F.min("FILE").alias("FILE")).orderBy("FILE").collect()
+        columns = {name: name for kind in kinds for name in kind["NAMES"]}
+        if not kinds:
+            raise ValueError("no header line found")
+    places = F.array(*[_place(F.col("NAMES"), F.lit(source)) for source in columns.values()])
+    return parse(lines, heads.withColumn("PLACES", places), list(columns), null_tokens, keep)
 
 
-def read_associations(spark: SparkSession, path: str) -> tuple[DataFrame, dict[str, str]]:
-    """Raw association file to canonical names, all strings, and the mapping used."""
+def association_layouts(lines: DataFrame) -> DataFrame:
+    """``layouts`` with MAPPING (canonical field -> header), PLACES and MISSING for association files.
+
+    A field takes the first of its aliases that a header has, whatever its case.
+    """
+    heads = layouts(lines).withColumn("_LOW", F.transform("NAMES", F.lower))
+    found = {field: F.coalesce(*[_place(F.col("_LOW"), F.lit(alias)) for alias in aliases]) for field, aliases in COLUMN_ALIASES.items()}
+    placed = heads.withColumn("PLACES", F.array(*found.values()))
+    at = {field: F.get("PLACES", F.lit(i)) for i, field in enumerate(COLUMN_ALIASES)}
+    entries = F.array(*[F.struct(F.lit(f).alias("key"), F.get("NAMES", at[f]).alias("value")) for f in COLUMN_ALIASES])
+    missing = F.filter(F.array(*[F.when(at[f].isNull(), f) for f in REQUIRED_FIELDS]), lambda f: f.isNotNull())
+    mapping = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+    return placed.select("FILE", "HEAD", "SEP", "NAMES", "PLACES", mapping.alias("MAPPING"), missing.alias("MISSING"))
+
+
+def read_association_files(spark: SparkSession, path: str, form: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(table, layouts): raw association files of any layouts to canonical names, all strings.
+
+    A file whose header lacks a required column is an error that names the file.
+    """
     if path.lower().endswith((".vcf", ".vcf.gz")):
         raise ValueError("association VCF input is not supported by this reader")
-    _sep, header, _line = detect_layout(read_lines(spark, path))
-    mapping = map_columns(header)
-    missing = [name for name in REQUIRED_FIELDS if name not in mapping]
-    if missing:
-        raise ValueError(f"could not identify required columns {missing}; header={header[:30]}")
-    return read_delimited(spark, path, columns=mapping), mapping
+    lines = read_lines(spark, path, form)
+    heads = checkpointed(association_layouts(lines))
+    short = heads.filter(F.size("MISSING") > 0).orderBy("FILE").first()
+    if short is not None:
+        raise ValueError(f"could not identify required columns {short['MISSING']} in {short['FILE']}; header={short['NAMES'][:30]}")
+    present = heads.select(F.explode(F.map_keys("MAPPING")).alias("field")).distinct().collect()  # canonical names
+    if not present:
+        raise ValueError("no header line found")
+    wanted = [f for f in COLUMN_ALIASES if f in {row["field"] for row in present}]
+    return parse(lines, heads, list(COLUMN_ALIASES)).select(*[F.col(f"`{f}`") for f in wanted]), heads
+
+
+def read_associations(spark: SparkSession, path: str, form: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """Raw associations to canonical names, all strings, and the mapping used (of the first file, where they differ)."""
+    table, heads = read_association_files(spark, path, form)
+    return table, heads.orderBy("FILE").first()["MAPPING"]
