@@ -5,9 +5,10 @@ from __future__ import annotations
 import difflib
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from variantloom.functions.text import (
@@ -16,6 +17,7 @@ from variantloom.functions.text import (
     normalize_text,
     slugify,
 )
+from variantloom.session import checkpointed
 
 # Match kinds, best first, with their scores.
 MATCH_SCORES = {
@@ -28,6 +30,7 @@ MATCH_SCORES = {
     "none": 0.0,
 }
 FUZZY_MIN_RATIO = 0.92
+LISTED = 10_000  # values that a resolution holds as lists
 REJECTED = "neither label nor synonym of the phenotype; name its id to accept it"
 
 
@@ -43,6 +46,19 @@ class Resolution:
     descendant_ids: list[str] = field(default_factory=list)
     resolution_type: str = "free_text"
 
+    def tables(self, spark: SparkSession) -> ResolvedTables:
+        """The same resolution as small tables."""
+        one = lambda values, columns: spark.createDataFrame(values, columns)
+        me = self.phenotype_input
+        chief = one([(me, self.phenotype_canonical)], "PHENOTYPE string, NAME string").select("PHENOTYPE", normalize_text("NAME").alias("NAME"), F.lit(True).alias("IS_CANONICAL"))
+        others = one([(me, s, False) for s in self.synonyms], "PHENOTYPE string, NAME string, IS_CANONICAL boolean")
+        return ResolvedTables(
+            one([(me, t, t, self.resolution_type) for t in self.term_ids], "PHENOTYPE string, term_id string, label string, resolution_type string"),
+            others.unionByName(chief).groupBy("PHENOTYPE", "NAME").agg(F.max("IS_CANONICAL").alias("IS_CANONICAL")),
+            one([(me, t) for t in self.descendant_ids], "PHENOTYPE string, term_id string"),
+            one([(me, self.phenotype_canonical, self.phenotype_slug, self.resolution_type)], "PHENOTYPE string, phenotype_canonical string, phenotype_slug string, resolution_type string"),
+        )
+
 
 def dedupe_terms(terms: DataFrame) -> DataFrame:
     """One row per term id, one with synonyms preferred."""
@@ -62,20 +78,6 @@ def sequence_ratio(query: str):
     return ratio
 
 
-def best_ratio(queries: Sequence[str]):
-    """Arrow UDF: best similarity of each text to any of a short list of texts."""
-    known = list(queries)
-
-    @F.pandas_udf("double")
-    def ratio(texts: pd.Series) -> pd.Series:
-        def best(text: str) -> float:
-            return max((difflib.SequenceMatcher(None, text, q).ratio() for q in known), default=0.0)
-
-        return texts.map(best, na_action="ignore").astype("float64")
-
-    return ratio
-
-
 def length_allows(text: Column, queries: Sequence[str], min_ratio: float) -> Column:
     """Exact necessary condition: 2 min(a, b) / (a + b) bounds the ratio from above."""
     allowed = F.lit(False)
@@ -98,147 +100,225 @@ def fuzzy_candidates(terms: DataFrame, phenotype_normal: str, min_ratio: float =
     )
 
 
-def _accepted(df: DataFrame) -> list:
-    """Terms that bear the phenotype's very name: a handful, whatever the ontology's size."""
-    return df.orderBy(*(["ORD"] if "ORD" in df.columns else []), "term_id").collect()
+# ------------------------------------------------- resolution and matching as tables
 
 
-def resolve_phenotype(
-    terms: DataFrame,
-    phenotype: str,
-    pinned_ids: Sequence[str] = (),
-    user_synonyms: Sequence[str] = (),
-    fuzzy: bool = False,
-    fuzzy_min_ratio: float = FUZZY_MIN_RATIO,
-    descendants: DataFrame | None = None,
-) -> tuple[Resolution, DataFrame]:
-    """(resolution, rejected terms).
+@dataclass
+class ResolvedTables:
+    """Resolution of any number of phenotypes, kept as tables.
 
-    Priority: pinned ids, exact label, exact synonym, optional fuzzy match, free
-    text.  Only the accepted terms of the winning tier come to the driver.
-    ``descendants`` (term_id, descendant_id) broadens only when it is given.
+    ``accepted`` (PHENOTYPE, term_id, label, resolution_type), ``names`` (PHENOTYPE, NAME,
+    IS_CANONICAL: the normalised names under which studies may be found), ``below``
+    (PHENOTYPE, term_id: terms under the accepted ones), ``summary`` (PHENOTYPE,
+    phenotype_canonical, phenotype_slug, resolution_type).
     """
-    spark = terms.sparkSession
-    scalars = spark.range(1).select(
-        normalize_text(F.lit(phenotype)).alias("q"), slugify(F.lit(phenotype)).alias("slug"),
-        F.transform(F.array(*[F.lit(s) for s in user_synonyms]).cast("array<string>"), normalize_text).alias("syn"),
-        F.transform(F.array(*[F.lit(i) for i in pinned_ids]).cast("array<string>"), canonical_term_id).alias("pins"),
-    ).first()
-    query, pins = scalars["q"], sorted(set(scalars["pins"]))
-    unique = dedupe_terms(terms)
-    normal_synonyms = F.transform(F.coalesce("synonyms", F.array().cast("array<string>")), normalize_text)
-    described = unique.withColumns({"_LABEL": normalize_text("label"), "_SYN": normal_synonyms})
 
-    kind, rows = "free_text", []
-    if pins:
-        kind, rows = "user_pinned", _accepted(described.filter(F.col("term_id").isin(*pins)))
+    accepted: DataFrame
+    names: DataFrame
+    below: DataFrame
+    summary: DataFrame
+
+
+def descendants(starts: DataFrame, parents: DataFrame) -> DataFrame:
+    """(PHENOTYPE, term_id) of all terms below ``starts`` (PHENOTYPE, term_id), these left out.
+
+    ``parents`` is (term_id, parent_id).  Each round goes one step down from the terms
+    that the round before found, so a cycle ends where it meets what is known.  There are
+    as many rounds as the ontology has levels; every round is an equi join and an anti
+    join, and its result is stored.
+    """
+    edges = checkpointed(parents.select(F.col("parent_id").alias("_P"), F.col("term_id").alias("_C")).filter("_P is not null and _C is not null").distinct())
+    first = checkpointed(starts.select("PHENOTYPE", "term_id").distinct())
+    known, edge = first, first
+    while True:
+        found = edge.join(edges, edge["term_id"] == edges["_P"]).select("PHENOTYPE", F.col("_C").alias("term_id")).distinct()
+        edge = checkpointed(found.join(known, ["PHENOTYPE", "term_id"], "left_anti"))
+        if edge.isEmpty():
+            return known.join(first, ["PHENOTYPE", "term_id"], "left_anti")
+        known = known.unionByName(edge)
+
+
+def resolve_terms(
+    terms: DataFrame,
+    phenotypes: DataFrame,
+    pins: DataFrame | None = None,
+    user_synonyms: DataFrame | None = None,
+    parents: DataFrame | None = None,
+) -> ResolvedTables:
+    """Resolve every row of ``phenotypes`` (PHENOTYPE) against an ontology, by joins alone.
+
+    Named ids (``pins``: PHENOTYPE, term_id) win, then terms whose label is the phenotype,
+    then terms with such a synonym; a phenotype without any is free text.  ``user_synonyms``
+    is (PHENOTYPE, synonym); ``parents`` (term_id, parent_id) adds the terms below.
+    """
+    no_strings = F.array().cast("array<string>")
+    asked = phenotypes.select("PHENOTYPE").filter("PHENOTYPE is not null").distinct().withColumn("NAME", normalize_text("PHENOTYPE"))
+    unique = dedupe_terms(terms)
+    order = F.col("ORD") if "ORD" in terms.columns else F.lit(0)
+    described = unique.select(
+        "term_id", "label", order.alias("_ORD"), normalize_text("label").alias("_LABEL"), F.transform(F.coalesce("synonyms", no_strings), normalize_text).alias("_SYN")
+    )
+    entry = lambda tier, name: F.struct(F.lit(tier).alias("TIER"), name.alias("NAME"))
+    spelled = described.select(
+        "term_id", "label", "_ORD", F.explode(F.concat(F.array(entry(1, F.col("_LABEL"))), F.transform("_SYN", lambda s: entry(2, s)))).alias("_N")
+    ).select("term_id", "label", "_ORD", "_N.TIER", "_N.NAME").filter("NAME <> ''")
+    by_name = asked.join(spelled, "NAME").select("PHENOTYPE", "term_id", "label", "_ORD", "TIER")
+    if pins is not None:
+        named = pins.select("PHENOTYPE", canonical_term_id("term_id").alias("term_id")).distinct().join(asked.select("PHENOTYPE"), "PHENOTYPE", "left_semi")
+        told = named.join(described.select("term_id", "label"), "term_id", "left").select(
+            "PHENOTYPE", "term_id", F.coalesce("label", "term_id").alias("label"), F.lit(0).alias("_ORD"), F.lit(0).alias("TIER")
+        )
+        by_name = by_name.unionByName(told)
+    best = by_name.groupBy("PHENOTYPE").agg(F.min("TIER").alias("TIER"))
+    kind = F.when(F.col("TIER") == 0, "user_pinned").when(F.col("TIER") == 1, "exact_label").otherwise("exact_synonym")
+    accepted = checkpointed(
+        by_name.join(best, ["PHENOTYPE", "TIER"]).groupBy("PHENOTYPE", "term_id").agg(
+            F.min("label").alias("label"), F.min("_ORD").alias("_ORD"), F.first(kind).alias("resolution_type")
+        )
+    )
+    head = accepted.groupBy("PHENOTYPE").agg(F.min(F.struct("_ORD", "term_id", "label", "resolution_type")).alias("_H"))
+    summary = asked.join(head, "PHENOTYPE", "left").select(
+        "PHENOTYPE", F.coalesce("_H.label", F.trim("PHENOTYPE")).alias("phenotype_canonical"), slugify("PHENOTYPE").alias("phenotype_slug"),
+        F.coalesce("_H.resolution_type", F.lit("free_text")).alias("resolution_type"),
+    )
+    own = accepted.join(described, "term_id").select("PHENOTYPE", F.explode(F.concat(F.array("_LABEL"), "_SYN")).alias("NAME"), F.lit(False).alias("IS_CANONICAL"))
+    chief = summary.select("PHENOTYPE", normalize_text("phenotype_canonical").alias("NAME"), F.lit(True).alias("IS_CANONICAL"))
+    names = own.unionByName(chief).unionByName(asked.select("PHENOTYPE", "NAME", F.lit(False).alias("IS_CANONICAL")))
+    if user_synonyms is not None:
+        more = user_synonyms.join(asked.select("PHENOTYPE"), "PHENOTYPE", "left_semi")
+        names = names.unionByName(more.select("PHENOTYPE", normalize_text("synonym").alias("NAME"), F.lit(False).alias("IS_CANONICAL")))
+    names = names.filter("NAME <> ''").groupBy("PHENOTYPE", "NAME").agg(F.max("IS_CANONICAL").alias("IS_CANONICAL"))
+    if parents is None:
+        below = accepted.select("PHENOTYPE", "term_id").limit(0)
     else:
-        tier = F.when(F.col("_LABEL") == query, 1).when(F.array_contains("_SYN", query), 2)
-        tiered = described.withColumn("_TIER", tier).filter(F.col("_TIER").isNotNull())
-        hits = _accepted(tiered)
-        for wanted, name in ((1, "exact_label"), (2, "exact_synonym")):
-            rows = [r for r in hits if r["_TIER"] == wanted]
-            if rows:
-                kind = name
-                break
-        if not rows and fuzzy:
-            best = fuzzy_candidates(unique, query, fuzzy_min_ratio).orderBy(F.desc("RATIO"), "term_id").first()
-            if best is not None and best["RATIO"] >= fuzzy_min_ratio:
-                kind, rows = "fuzzy", _accepted(described.filter(F.col("term_id") == best["term_id"]))
-
-    by_id = {r["term_id"]: r for r in rows}
-    ids = pins if pins else list(by_id)
-    label_of = [by_id[i]["label"] if i in by_id else i for i in ids]
-    canonical = label_of[0] if label_of else phenotype.strip()
-    canonical_normal = spark.range(1).select(normalize_text(F.lit(canonical)).alias("c")).first()["c"]
-    synonyms = {query, canonical_normal, *scalars["syn"]}
-    for row in rows:
-        synonyms.update([row["_LABEL"], *row["_SYN"]])
-    below: list[str] = []
-    if descendants is not None and ids:
-        found = descendants.filter(F.col("term_id").isin(*ids)).select("descendant_id").distinct()
-        below = [r[0] for r in found.collect()]
-    rejected = unique.filter(~F.col("term_id").isin(*ids)) if ids else unique
-    return (
-        Resolution(
-            phenotype, canonical, scalars["slug"], sorted(ids), sorted(synonyms - {""}), sorted(set(below) - set(ids)), kind
+        below = descendants(accepted, parents)
+    return ResolvedTables(accepted.select("PHENOTYPE", "term_id", "label", "resolution_type"), names, below, summary)
+
+
+def match_resolved(studies: DataFrame, resolved: ResolvedTables, key: str = "study_accession") -> DataFrame:
+    """(PHENOTYPE, key, match_type, match_score, match_reason) of every study that an exact rule gives to a phenotype.
+
+    Ids, labels and reported traits of the studies are joined to the resolution's tables;
+    of several rules the best counts, and its reason names the first term or name.
+    """
+    no_strings = F.array().cast("array<string>")
+    ids = studies.select(key, F.explode(F.coalesce("mapped_trait_ids", no_strings)).alias("term_id"))
+    labels = studies.select(key, F.posexplode(F.coalesce("mapped_trait_labels", no_strings)).alias("_AT", "_SPELLED")).withColumn("NAME", normalize_text("_SPELLED"))
+    reported = studies.select(key, F.col("reported_trait").alias("_SPELLED"), normalize_reported("reported_trait").alias("NAME")).filter("NAME <> ''")
+    asked = resolved.summary.select("PHENOTYPE", normalize_text("PHENOTYPE").alias("_INPUT"))
+    names = resolved.names.join(asked, "PHENOTYPE").withColumn("_CHIEF", F.col("IS_CANONICAL") | (F.col("NAME") == F.col("_INPUT")))
+    quoted = lambda before, value, after: F.concat(F.lit(before), value, F.lit(after))
+
+    def ruled(rows: DataFrame, rank: Column, first: Column, last: Column, why: Column) -> DataFrame:
+        """Joined rows with the rule that each meets, and what puts reasons in order."""
+        return rows.select("PHENOTYPE", key, F.struct(rank.alias("rank"), first.alias("first"), (-last).alias("last"), why.alias("why")).alias("_R"))
+
+    zero, none, spelled, term = F.lit(0), F.lit(""), F.col("_SPELLED"), F.col("term_id")
+    listed = resolved.accepted.select("PHENOTYPE", "term_id", F.lit(True).alias("_IN")).unionByName(resolved.below.select("PHENOTYPE", "term_id", F.lit(False).alias("_IN")))
+    chief = F.col("IS_CANONICAL")
+    found = [
+        ruled(
+            ids.join(listed, "term_id"), F.when(F.col("_IN"), 1).otherwise(6), term, zero,
+            F.when(F.col("_IN"), quoted("mapped to accepted term ", term, "")).otherwise(quoted("mapped term ", term, " lies below an accepted term")),
         ),
-        rejected.select("term_id", "label", F.lit(REJECTED).alias("reason")),
-    )
+        ruled(
+            labels.join(names, "NAME"), F.when(chief, 2).otherwise(4), F.when(chief, none).otherwise(F.col("NAME")), F.col("_AT"),
+            F.when(chief, quoted("mapped trait '", spelled, "' is the phenotype's label")).otherwise(quoted("mapped trait '", spelled, "' is among the synonyms")),
+        ),
+        ruled(
+            reported.join(names, "NAME"), F.when(F.col("_CHIEF"), 3).otherwise(5), none, zero,
+            F.when(F.col("_CHIEF"), quoted("reported trait '", spelled, "' is the phenotype")).otherwise(quoted("reported trait '", spelled, "' is among the synonyms")),
+        ),
+    ]
+    best = reduce(DataFrame.unionByName, found).groupBy("PHENOTYPE", key).agg(F.min("_R").alias("_R"))
+    kinds = F.array(*[F.lit(k) for k in (
+        "exact_mapped_trait", "exact_mapped_trait", "exact_reported_trait", "synonym_mapped_trait", "synonym_reported_trait", "descendant_term"
+    )])
+    kind = F.element_at(kinds, F.col("_R.rank"))
+    scores = F.create_map(*[part for k, v in MATCH_SCORES.items() for part in (F.lit(k), F.lit(v))])
+    return best.select("PHENOTYPE", key, kind.alias("match_type"), F.element_at(scores, kind).alias("match_score"), F.col("_R.why").alias("match_reason"))
 
 
-def _strings(values: Sequence[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+def fuzzy_pairs(reported: DataFrame, names: DataFrame, key: str, min_ratio: float = FUZZY_MIN_RATIO) -> DataFrame:
+    """(PHENOTYPE, key, _RATIO): best similarity of a normalised text (key, NAME) to a phenotype's names, where it reaches the minimum.
 
+    Only texts of fitting lengths meet: twice the shorter over both lengths bounds the
+    ratio from above, so a name asks for a range of lengths, an equi join.
+    """
+    n = F.length("NAME")
+    low, high = F.ceil(n * (min_ratio / (2.0 - min_ratio)) - 1e-9), F.floor(n * ((2.0 - min_ratio) / min_ratio) + 1e-9)
+    asking = names.filter("NAME <> ''").select("PHENOTYPE", F.col("NAME").alias("_WANTED"), F.explode(F.sequence(low, high)).alias("_LEN"))
+    texts = reported.select(key, "NAME", F.length("NAME").cast("bigint").alias("_LEN"))
+
+    @F.pandas_udf("double")
+    def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right)], dtype="float64")
 
-def _first_original(labels: Column, normal: Column) -> Column:
-    """Original spelling of a normalised label; the last duplicate counts."""
-    return F.element_at(F.filter(labels, lambda x: normalize_text(x) == normal), -1)
+    met = texts.join(asking, "_LEN").withColumn("_RATIO", ratio("NAME", "_WANTED"))
+    return met.groupBy("PHENOTYPE", key).agg(F.max("_RATIO").alias("_RATIO")).filter(F.col("_RATIO") >= min_ratio)
 
 
-def match_studies(studies: DataFrame, resolution: Resolution, fuzzy_min_ratio: float = FUZZY_MIN_RATIO) -> DataFrame:
-    """Add match_type, match_score and match_reason, best kind first.
+def match_studies(studies: DataFrame, resolution: Resolution | ResolvedTables, fuzzy_min_ratio: float = FUZZY_MIN_RATIO) -> DataFrame:
+    """``studies`` with match_type, match_score and match_reason for one phenotype, best kind first.
 
-    ``studies`` has reported_trait, mapped_trait_ids[] and mapped_trait_labels[].
-    The resolution is a handful of literals, so no join is involved; the Arrow
-    similarity runs only on studies no exact rule decided and whose length
-    allows the ratio.
+    ``studies`` has study_accession, reported_trait, mapped_trait_ids[] and
+    mapped_trait_labels[].  Similarity is asked only for studies no exact rule decided.
     """
-    spark = studies.sparkSession
-    normals = spark.range(1).select(
-        normalize_text(F.lit(resolution.phenotype_canonical)).alias("c"), normalize_text(F.lit(resolution.phenotype_input)).alias("i")
-    ).first()
-    canonical, synonyms = normals["c"], resolution.synonyms
-    texts = F.coalesce("mapped_trait_labels", _strings([]))
-    base = studies.withColumns(
-        {
-            "_IDS": F.coalesce("mapped_trait_ids", _strings([])),
-            "_NORMAL": F.transform(texts, normalize_text),
-            "_REPORTED": normalize_reported("reported_trait"),
-        }
-    ).withColumns(
-        {
-            "_SHARED": F.array_sort(F.array_intersect("_IDS", _strings(resolution.term_ids))),
-            "_SYN": F.array_sort(F.array_intersect("_NORMAL", _strings(synonyms))),
-            "_BELOW": F.array_sort(F.array_intersect("_IDS", _strings(resolution.descendant_ids))),
-        }
+    key = "study_accession"
+    resolved = resolution.tables(studies.sparkSession) if isinstance(resolution, Resolution) else resolution
+    exact = checkpointed(match_resolved(studies, resolved, key).drop("PHENOTYPE"))
+    left = studies.join(exact.select(key), key, "left_anti").select(key, normalize_reported("reported_trait").alias("NAME")).filter("NAME <> ''")
+    alike = fuzzy_pairs(left, resolved.names, key, fuzzy_min_ratio).select(
+        key, F.lit("fuzzy_reported_trait").alias("match_type"), F.lit(MATCH_SCORES["fuzzy_reported_trait"]).alias("match_score"),
+        F.format_string("reported trait is %.2f alike", F.col("_RATIO")).alias("match_reason"),
     )
-    reported = F.col("_REPORTED")
-    quoted = lambda before, value, after: F.concat(F.lit(before), value, F.lit(after))
-    rules: list[tuple[str, Column, Column]] = [
-        ("exact_mapped_trait", F.size("_SHARED") > 0,
-         quoted("mapped to accepted term ", F.get("_SHARED", F.lit(0)), "")),
-        ("exact_mapped_trait", F.array_contains("_NORMAL", canonical),
-         quoted("mapped trait '", _first_original(texts, F.lit(canonical)), "' is the phenotype's label")),
-        ("exact_reported_trait", (reported != "") & reported.isin(canonical, normals["i"]),
-         quoted("reported trait '", F.col("reported_trait"), "' is the phenotype")),
-        ("synonym_mapped_trait", F.size("_SYN") > 0,
-         quoted("mapped trait '", _first_original(texts, F.get("_SYN", F.lit(0))), "' is among the synonyms")),
-        ("synonym_reported_trait", (reported != "") & F.array_contains(_strings(synonyms), reported),
-         quoted("reported trait '", F.col("reported_trait"), "' is among the synonyms")),
-        ("descendant_term", F.size("_BELOW") > 0,
-         quoted("mapped term ", F.get("_BELOW", F.lit(0)), " lies below an accepted term")),
-    ]
-    kind, reason = None, None
-    for name, hit, why in rules:
-        kind = F.when(hit, name) if kind is None else kind.when(hit, name)
-        reason = F.when(hit, why) if reason is None else reason.when(hit, why)
-    decided = base.withColumns({"_KIND": kind, "_WHY": reason})
-    undecided = F.col("_KIND").isNull() & (reported != "") & length_allows(reported, synonyms, fuzzy_min_ratio)
-    ratio = best_ratio(synonyms)(F.when(undecided, reported))
-    joined = decided.withColumn("_RATIO", ratio).withColumn(
-        "_RATIO", F.when(F.col("_RATIO") >= fuzzy_min_ratio, F.col("_RATIO"))
+    return studies.join(exact.unionByName(alike), key, "left").select(
+        *studies.columns, F.coalesce("match_type", F.lit("none")).alias("match_type"), F.coalesce("match_score", F.lit(MATCH_SCORES["none"])).alias("match_score"),
+        F.coalesce("match_reason", F.lit("no rule agrees")).alias("match_reason"),
+    )
+
+
+def _few(df: DataFrame) -> list[str]:
+    """A column as a sorted list; more than LISTED values belong in a table."""
+    rows = df.distinct().limit(LISTED + 1).collect()
+    if len(rows) > LISTED:
+        raise ValueError(f"more than {LISTED} values; use the tables of resolve_terms")
+    return sorted(row[0] for row in rows)
+
+
+def resolve_phenotype(
+    terms: DataFrame,
+    phenotype: str,
+    pinned_ids: Sequence[str] = (),
+    user_synonyms: Sequence[str] = (),
+    fuzzy: bool = False,
+    fuzzy_min_ratio: float = FUZZY_MIN_RATIO,
+    parents: DataFrame | None = None,
+) -> tuple[Resolution, DataFrame]:
+    """(resolution, rejected terms) of one phenotype as short lists, for a look at it.
+
+    The work is that of :func:`resolve_terms`; with ``fuzzy``, a phenotype that no term
+    bears takes the most similar one that reaches the minimum.
+    """
+    spark = terms.sparkSession
+    asked = spark.createDataFrame([(phenotype,)], "PHENOTYPE string")
+    pins = spark.createDataFrame([(phenotype, i) for i in pinned_ids], "PHENOTYPE string, term_id string") if pinned_ids else None
+    more = spark.createDataFrame([(phenotype, s) for s in user_synonyms], "PHENOTYPE string, synonym string")
+    resolved = resolve_terms(terms, asked, pins, more, parents)
+    told = resolved.summary.first()
+    kind = told["resolution_type"]
+    if kind == "free_text" and fuzzy:
+        query = asked.select(normalize_text("PHENOTYPE")).first()[0]
+        best = fuzzy_candidates(dedupe_terms(terms), query, fuzzy_min_ratio).orderBy(F.desc("RATIO"), "term_id").first()
+        if best is not None:
+            kind = "fuzzy"
+            resolved = resolve_terms(terms, asked, spark.createDataFrame([(phenotype, best["term_id"])], "PHENOTYPE string, term_id string"), more, parents)
+            told = resolved.summary.first()
+    rejected = dedupe_terms(terms).join(resolved.accepted, "term_id", "left_anti").select("term_id", "label", F.lit(REJECTED).alias("reason"))
+    return (
+        Resolution(
+            phenotype, told["phenotype_canonical"], told["phenotype_slug"], _few(resolved.accepted.select("term_id")), _few(resolved.names.select("NAME")),
+            _few(resolved.below.select("term_id")), kind,
+        ),
+        rejected,
     )
-    match_type = F.coalesce("_KIND", F.when(F.col("_RATIO").isNotNull(), "fuzzy_reported_trait"), F.lit("none"))
-    scores = F.create_map(*[part for k, v in MATCH_SCORES.items() for part in (F.lit(k), F.lit(v))])
-    return joined.withColumns(
-        {
-            "match_type": match_type,
-            "match_score": F.element_at(scores, match_type),
-            "match_reason": F.coalesce(
-                "_WHY",
-                F.when(F.col("_RATIO").isNotNull(), F.format_string("reported trait is %.2f alike", F.col("_RATIO"))),
-                F.lit("no rule agrees"),
-            ),
-        }
-    ).select(*studies.columns, "match_type", "match_score", "match_reason")
