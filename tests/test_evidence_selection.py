@@ -32,9 +32,11 @@ def test_prioritised_keeps_top_and_sets(spark):
 
 
 def test_tissues(spark):
-    assert qtl.requested_tissues(["b", "a", "a"]) == ["a", "b"]
-    with pytest.raises(ValueError):
-        qtl.requested_tissues(["a"], ["z"])
+    offered = spark.createDataFrame([("b", 1), ("a", 2), ("a", 3)], "TISSUE string, n int")
+    assert qtl.choose_tissues(offered).count() == 3
+    assert sorted(r["n"] for r in qtl.choose_tissues(offered, ["a"]).collect()) == [2, 3]
+    with pytest.raises(ValueError, match="y, z"):
+        qtl.choose_tissues(offered, ["z", "a", "y"])
     table = qtl.normalise_qtl(spark.createDataFrame([("chr1_5_A_G_b38", "g")], "variant string, gene_id string"), "Liver", "eQTL")
     row = table.first()
     assert (row["GENE"], row["QTL_PHENOTYPE"], row["QTL_PIP"]) == ("g", "g", None)

@@ -308,7 +308,7 @@ def multi_population_inputs(
     if kept_by_ld is not None:
         lost = aligned.join(kept_by_ld, ["POPULATION", "VARIANT_ID"], "left_anti").select("LOCUS_ID", "POPULATION").distinct()
         failures = failures.unionByName(
-            lost.select("LOCUS_ID", "POPULATION", F.concat("POPULATION", F.lit(" LD filtering changed the shared variant set")).alias("REASON"))
+            lost.select("LOCUS_ID", "POPULATION", F.concat("POPULATION", F.lit(" lacks LD for variants that the other populations have")).alias("REASON"))
         )
         aligned = aligned.join(lost.select("LOCUS_ID").distinct(), "LOCUS_ID", "left_anti")
     sizes = locus_sample_size(aligned) if {"N", "N_EFF"} <= set(aligned.columns) else aligned.select(*LOCUS).distinct()
