@@ -180,10 +180,10 @@ _POP = "CASE CATEGORY WHEN 'European' THEN 'EUR' WHEN 'East Asian' THEN 'EAS' WH
 @query(
     "study_population",
     with_("ancestry") + f"""SELECT study_accession, population, approx AND population = 'AMR' AS population_approximate,
-        CASE WHEN population = 'UNKNOWN' THEN 'no usable discovery-stage ancestry metadata'
-          WHEN population = 'UNMAPPED' THEN 'ancestry category has no 1000 Genomes super-population counterpart'
-          WHEN population = 'MULTI' THEN 'discovery sample spans ' || known
-          ELSE 'all discovery samples map to ' || population || CASE WHEN approx THEN ' (approximate mapping)' ELSE '' END END AS population_reason,
+        CASE WHEN population = 'UNKNOWN' THEN 'ancestry of the discovery samples is not known'
+          WHEN population = 'UNMAPPED' THEN 'listed ancestry belongs to none of the five populations'
+          WHEN population = 'MULTI' THEN 'several populations in discovery: ' || known
+          ELSE 'only ' || population || ' in discovery' || CASE WHEN approx THEN ', by a nearby category' ELSE '' END END AS population_reason,
         CASE WHEN population IN ('EUR', 'AFR', 'EAS', 'SAS', 'AMR') THEN population WHEN population = 'MULTI' THEN 'COMBINED_PUBLISHED' END AS analysis_label,
         reported_ancestry, n_structured
       FROM (SELECT study_accession, CASE WHEN count(DISTINCT POP) FILTER (POP <> 'UNKNOWN') = 0 THEN 'UNKNOWN'
@@ -577,8 +577,8 @@ def locus_n(spark, sf_dir):
 
 @query(
     "locus_gates",
-    with_("best") + f"""SELECT d.LOCUS_ID, POPULATION, count(*) AS N_MATCHED, CASE WHEN count(*) < 12 THEN 'only ' || count(*) || ' variants match the population reference'
-      WHEN count(*) > 20 THEN count(*) || ' LD variants exceeds max_ld_variants=20' END AS REASON FROM {_REGION.format(t='best')} GROUP BY 1, 2""",
+    with_("best") + f"""SELECT d.LOCUS_ID, POPULATION, count(*) AS N_MATCHED, CASE WHEN count(*) < 12 THEN count(*) || ' matched variants, fewer than 12'
+      WHEN count(*) > 20 THEN count(*) || ' matched variants, more than 20' END AS REASON FROM {_REGION.format(t='best')} GROUP BY 1, 2""",
 )
 def locus_gates(spark, sf_dir):
     rows = region.rows_in_loci(views.strongest(spark, sf_dir), _region_def(spark, sf_dir), keys=(), bin_bp=50_000)
@@ -935,8 +935,53 @@ def _terms(spark, sf_dir):
     return found.withColumn("synonyms", F.array(F.concat("label", F.lit(" trait"))))
 
 
-def _resolution():
-    return phenotype.Resolution(PHENOTYPE, "building", "building", ["EFO_8"], ["building", "building trait", "buildinq", "machinery"], ["EFO_6"], "exact_label")
+def _resolved(spark, sf_dir):
+    """The phenotype resolved against the catalogue's terms, with two names given by the user and one term below."""
+    asked = spark.createDataFrame([(PHENOTYPE,)], "PHENOTYPE string")
+    synonyms = spark.createDataFrame([(PHENOTYPE, "Buildinq"), (PHENOTYPE, "machinery")], "PHENOTYPE string, synonym string")
+    parents = spark.createDataFrame([("EFO_6", "EFO_8"), ("EFO_8", "EFO_6")], "term_id string, parent_id string")
+    return phenotype.resolve_terms(_terms(spark, sf_dir), asked, None, synonyms, parents)
+
+
+_NORM = r"trim(regexp_replace(regexp_replace(translate(lower({0}), '_', ' '), '[^\p{{L}}\p{{N}}\s''-]', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(
+    "phenotype_resolve",
+    f"""WITH RECURSIVE terms AS (SELECT 'EFO_P' || p_partkey AS term_id, p_name || ' ' || p_brand AS label, p_type || ' ' || p_name AS synonym FROM part),
+    parents AS (SELECT 'EFO_P' || p_partkey AS term_id, 'EFO_P' || CASE WHEN p_partkey = 0 THEN 5 ELSE p_partkey // 2 END AS parent_id FROM part),
+    asked AS (SELECT DISTINCT PHENOTYPE, {_NORM.format("PHENOTYPE")} AS NAME FROM (SELECT CASE p_partkey % 50 WHEN 3 THEN upper(p_name || ' ' || p_brand) WHEN 7 THEN p_type || '_' || p_name
+      WHEN 9 THEN 'unknown ' || p_partkey WHEN 11 THEN 'pinned ' || p_partkey END AS PHENOTYPE FROM part) WHERE PHENOTYPE IS NOT NULL),
+    pins AS (SELECT 'pinned ' || p_partkey AS PHENOTYPE, 'EFO_P' || unnest([p_partkey, p_partkey + 10000000]) AS term_id FROM part WHERE p_partkey % 50 = 11),
+    hits AS (SELECT PHENOTYPE, term_id, label, 1 AS tier FROM asked JOIN terms ON NAME = {_NORM.format("label")} UNION ALL SELECT PHENOTYPE, term_id, label, 2 FROM asked JOIN terms ON NAME = {_NORM.format("synonym")}
+      UNION ALL SELECT PHENOTYPE, pins.term_id, coalesce(label, pins.term_id), 0 FROM pins LEFT JOIN terms USING (term_id)),
+    accepted AS (SELECT DISTINCT PHENOTYPE, term_id, label, CASE tier WHEN 0 THEN 'user_pinned' WHEN 1 THEN 'exact_label' ELSE 'exact_synonym' END AS kind
+      FROM hits QUALIFY tier = min(tier) OVER (PARTITION BY PHENOTYPE)),
+    walk AS (SELECT PHENOTYPE, term_id FROM accepted UNION SELECT walk.PHENOTYPE, parents.term_id FROM walk JOIN parents ON parents.parent_id = walk.term_id),
+    names AS (SELECT PHENOTYPE, {_NORM.format("label")} AS NAME FROM (SELECT PHENOTYPE, label FROM accepted QUALIFY row_number() OVER (PARTITION BY PHENOTYPE ORDER BY term_id) = 1)
+      UNION SELECT PHENOTYPE, NAME FROM asked UNION SELECT PHENOTYPE, unnest([{_NORM.format("terms.label")}, {_NORM.format("terms.synonym")}]) FROM accepted JOIN terms USING (term_id)),
+    kinds AS (SELECT DISTINCT PHENOTYPE, kind FROM accepted)
+    SELECT PHENOTYPE, ROLE, VALUE, coalesce(kind, 'free_text') AS RESOLUTION_TYPE FROM (SELECT PHENOTYPE, 'accepted' AS ROLE, term_id AS VALUE FROM accepted
+      UNION ALL SELECT PHENOTYPE, 'below', term_id FROM (SELECT * FROM walk EXCEPT SELECT PHENOTYPE, term_id FROM accepted) UNION ALL SELECT PHENOTYPE, 'name', NAME FROM names) LEFT JOIN kinds USING (PHENOTYPE)""",
+)
+def phenotype_resolve(spark, sf_dir):
+    """Many phenotypes against an ontology of all parts, by label, synonym, pin or not at all; its levels hold a cycle."""
+    part = views.table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    term = lambda v: F.concat(F.lit("EFO_P"), v.cast("string"))
+    terms = part.select(term(k).alias("term_id"), F.concat_ws(" ", "p_name", "p_brand").alias("label"), F.array(F.concat_ws(" ", "p_type", "p_name")).alias("synonyms"))
+    parents = part.select(term(k).alias("term_id"), term(F.when(k == 0, 5).otherwise(F.floor(k / 2))).alias("parent_id"))
+    of = k % 50
+    asked = part.select(
+        F.when(of == 3, F.upper(F.concat_ws(" ", "p_name", "p_brand"))).when(of == 7, F.concat_ws("_", "p_type", "p_name"))
+        .when(of == 9, F.concat(F.lit("unknown "), k)).when(of == 11, F.concat(F.lit("pinned "), k)).alias("PHENOTYPE")
+    )
+    pins = part.filter(of == 11).select(F.concat(F.lit("pinned "), k).alias("PHENOTYPE"), F.explode(F.array(k, k + 10_000_000)).alias("v"))
+    pins = pins.select("PHENOTYPE", F.concat(F.lit("http://purl.example/obo/EFO:P"), "v").alias("term_id"))
+    found = phenotype.resolve_terms(terms, asked, pins, parents=parents)
+    told = lambda df, role, value: df.select("PHENOTYPE", F.lit(role).alias("ROLE"), F.col(value).alias("VALUE"))
+    rows = told(found.accepted, "accepted", "term_id").unionByName(told(found.below, "below", "term_id")).unionByName(told(found.names, "name", "NAME"))
+    return rows.join(found.summary.select("PHENOTYPE", F.col("resolution_type").alias("RESOLUTION_TYPE")), "PHENOTYPE")
 
 
 @query("catalog_terms", with_("catalog") + "SELECT DISTINCT id AS term_id, label, 'http://purl.example/obo/' || id AS iri FROM (SELECT unnest(ids) AS id, unnest(labels) AS label FROM catalog) WHERE contains(label, 'i')")
@@ -986,7 +1031,7 @@ _MATCHED = f"""studies AS (SELECT *, CASE match_type WHEN 'exact_mapped_trait' T
 
 
 def _matched_studies(spark, sf_dir):
-    return phenotype.match_studies(_candidates(spark, sf_dir), _resolution())
+    return phenotype.match_studies(_candidates(spark, sf_dir), _resolved(spark, sf_dir))
 
 
 @query("trait_match", with_("catalog").rstrip() + ",\n" + _MATCHED + "SELECT study_accession, match_type, match_score FROM studies")

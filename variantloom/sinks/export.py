@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,6 +19,17 @@ def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ())
     return path
 
 
+def write_clustered(df: DataFrame, path: str, keys: Sequence[str], partition_by: tuple[str, ...] = ()) -> str:
+    """Write in the order of ``keys``: every file is a range of them, sorted within.
+
+    One range shuffle, so a hot key value spans files as long as the later keys differ.
+    The least and greatest values that Parquet keeps for each file and row group are then
+    narrow, and a scan of a region skips the others.
+    """
+    order = [F.col(key) for key in keys]
+    return write_parquet(df.repartitionByRange(*order).sortWithinPartitions(*order), path, partition_by)
+
+
 def flat(df: DataFrame) -> DataFrame:
     """Nested columns as JSON text."""
     nested = (T.ArrayType, T.StructType, T.MapType)
