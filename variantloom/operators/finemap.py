@@ -8,6 +8,7 @@ only LD needed per effect is the lead variant's correlation row.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from variantloom.session import checkpointed
 LOCUS = ["LOCUS_ID", "POPULATION"]
 PRIOR_VARIANCE = 0.2
 COVERAGE = 0.95
+BROADCAST_LEADS = 64 << 20  # bytes of lead vectors of all loci
 
 # (LOCUS_ID, POPULATION, LEAD) -> (LOCUS_ID, POPULATION, VARIANT_ID, R)
 LeadRows = Callable[[DataFrame], DataFrame]
@@ -145,6 +147,67 @@ def multi_effect_posteriors(
     return alphas, effects.select(*LOCUS, "EFFECT", "LEAD", "LEAD_RESIDUAL", "WEAK")
 
 
+def _correlation(lead: Column) -> Column:
+    """r of a row with a lead; a variant without an LD vector has none with any other."""
+    return F.when(F.col("VARIANT_ID") == lead["LEAD"], 1.0).otherwise(F.coalesce(dot("UNIT", lead["UNIT"]), F.lit(0.0)))
+
+
+def multi_effect_from_units(
+    rows: DataFrame, units: DataFrame, max_effects: int = 10, prior_variance: float = PRIOR_VARIANCE
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`multi_effect_posteriors` from unit dosage vectors, which stay where they are.
+
+    Rows and their vectors are stored once and never written or moved again.  What a
+    round knows is one row a locus, the leads taken so far with their vectors.  It is
+    broadcast to the rows; each follows its residual through those leads by row-local dot
+    products, and one partial aggregate takes the next lead and hands the chain on: a
+    round is one small shuffle.  Where loci times effects times samples is more than
+    ``BROADCAST_LEADS``, the general rounds join one vector a locus instead.
+    """
+    told = rows.select(*LOCUS, "VARIANT_ID", F.col("Z").cast("double").alias("Z"))
+    placed = checkpointed(told.join(units.select("POPULATION", "VARIANT_ID", "UNIT"), ["POPULATION", "VARIANT_ID"], "left"))
+    facts = placed.agg(F.count_distinct(*LOCUS).alias("n"), F.max(F.size("UNIT")).alias("s")).first()
+    if facts["n"] * max_effects * max(facts["s"] or 0, 16) * 8 > BROADCAST_LEADS:
+        return multi_effect_posteriors(rows, lead_rows_from_units(rows, units), max_effects, prior_variance)
+    kind = "array<struct<EFFECT:int,LEAD:string,LEAD_RESIDUAL:double,WEAK:boolean,UNIT:array<double>>>"
+    chain = placed.select(*LOCUS).distinct().select(*LOCUS, F.array().cast(kind).alias("_LEADS"))
+    residual = F.aggregate("_LEADS", F.col("Z"), lambda res, lead: res - _correlation(lead) * lead["LEAD_RESIDUAL"])
+    done: list[DataFrame] = []
+    for effect in range(1, max_effects + 1):
+        best = placed.join(F.broadcast(chain), LOCUS).select(*LOCUS, "_LEADS", residual.alias("_RES"), "VARIANT_ID", "UNIT").groupBy(*LOCUS).agg(
+            F.min(F.struct((-F.abs("_RES")).alias("A"), F.col("VARIANT_ID"), F.col("_RES"), F.col("UNIT"))).alias("_L"),
+            F.first("_LEADS").alias("_LEADS"), F.count("*").alias("_M"),
+        )
+        weak = F.abs("_L._RES") < 1.0
+        new = F.struct(F.lit(effect).alias("EFFECT"), F.col("_L.VARIANT_ID").alias("LEAD"), F.col("_L._RES").alias("LEAD_RESIDUAL"), weak.alias("WEAK"), F.col("_L.UNIT").alias("UNIT"))
+        taken = checkpointed(best.select(*LOCUS, F.array_append("_LEADS", new).alias("_LEADS"), (~weak & (F.lit(effect) < F.col("_M"))).alias("_OPEN")))
+        if effect == max_effects:
+            done.append(taken.drop("_OPEN"))
+            break
+        done.append(taken.filter("not _OPEN").drop("_OPEN"))
+        chain = taken.filter("_OPEN").drop("_OPEN")
+        if chain.isEmpty():
+            break
+
+    def follow(state: Column, lead: Column) -> Column:
+        weight = F.exp(log_bayes_factor(state["res"], prior_variance) - log_bayes_factor(lead["LEAD_RESIDUAL"], prior_variance))
+        return F.struct(
+            (state["res"] - _correlation(lead) * lead["LEAD_RESIDUAL"]).alias("res"),
+            F.array_append(state["w"], F.struct(lead["EFFECT"].alias("EFFECT"), weight.alias("WEIGHT"))).alias("w"),
+        )
+
+    chains = reduce(DataFrame.unionByName, done)
+    start = F.struct(F.col("Z").alias("res"), F.array().cast("array<struct<EFFECT:int,WEIGHT:double>>").alias("w"))
+    weighed = placed.join(F.broadcast(chains), LOCUS).select(
+        *LOCUS, "VARIANT_ID", "Z", F.explode(F.aggregate("_LEADS", start, follow, lambda state: state["w"])).alias("_E")
+    )
+    weights = checkpointed(weighed.select(*LOCUS, "VARIANT_ID", "Z", F.col("_E.EFFECT").alias("EFFECT"), F.col("_E.WEIGHT").alias("_WEIGHT")))
+    totals = weights.groupBy(*LOCUS, "EFFECT").agg(F.sum("_WEIGHT").alias("_TOTAL"))
+    alphas = weights.join(F.broadcast(totals), [*LOCUS, "EFFECT"]).select(*LOCUS, "VARIANT_ID", "Z", "EFFECT", (F.col("_WEIGHT") / F.col("_TOTAL")).alias("ALPHA"))
+    effects = chains.select(*LOCUS, F.inline("_LEADS"))
+    return alphas, effects.select(*LOCUS, "EFFECT", "LEAD", "LEAD_RESIDUAL", "WEAK")
+
+
 def inclusion_probability(alphas: DataFrame) -> DataFrame:
     """PIP = 1 - prod(1 - alpha) over effects."""
     return alphas.groupBy(*LOCUS, "VARIANT_ID").agg(
@@ -200,7 +263,7 @@ def membership(members: DataFrame) -> DataFrame:
 
 def finemap(
     rows: DataFrame,
-    lead_rows: LeadRows,
+    posteriors: Callable[..., tuple[DataFrame, DataFrame]],
     purity_of: Callable[[DataFrame], DataFrame],
     coverage: float = COVERAGE,
     max_effects: int = 10,
@@ -208,7 +271,7 @@ def finemap(
     min_purity: float = 0.5,
 ) -> dict[str, DataFrame]:
     """Variants with PIP and set membership, sets, long members, per-locus summary, diagnostics."""
-    alphas, effects = multi_effect_posteriors(rows, lead_rows, max_effects, prior_variance)
+    alphas, effects = posteriors(rows, max_effects=max_effects, prior_variance=prior_variance)
     alphas = checkpointed(alphas)
     members = checkpointed(with_set_ids(credible_members(alphas, coverage=coverage)))
     sets = credible_sets(members, purity_of(members), effects, min_purity)
@@ -226,11 +289,13 @@ def finemap(
 
 
 def finemap_from_table(rows: DataFrame, ld: DataFrame, **options) -> dict[str, DataFrame]:
-    return finemap(rows, lead_rows_from_table(ld), lambda members: purity_from_table(members, ld), **options)
+    posteriors = lambda rows, **more: multi_effect_posteriors(rows, lead_rows_from_table(ld), **more)
+    return finemap(rows, posteriors, lambda members: purity_from_table(members, ld), **options)
 
 
 def finemap_from_units(rows: DataFrame, units: DataFrame, **options) -> dict[str, DataFrame]:
-    return finemap(rows, lead_rows_from_units(rows, units), lambda members: min_abs_r(members, units), **options)
+    posteriors = lambda rows, **more: multi_effect_from_units(rows, units, **more)
+    return finemap(rows, posteriors, lambda members: min_abs_r(members, units), **options)
 
 
 def locus_summary(variants: DataFrame, sets: DataFrame) -> DataFrame:
@@ -300,7 +365,7 @@ def multi_population_inputs(
     n = F.coalesce("N_SHARED", F.lit(0))
     failures = counts.filter(n < min_variants).select(
         "LOCUS_ID", F.lit(None).cast("string").alias("POPULATION"),
-        F.concat(F.lit("only "), n.cast("string"), F.lit(" variants are shared across population references")).alias("REASON"),
+        F.concat(F.lit("only "), n.cast("string"), F.lit(" variants occur in every population")).alias("REASON"),
     )
     aligned = chosen.join(shared.select("LOCUS_ID", "VARIANT_ID"), ["LOCUS_ID", "VARIANT_ID"], "left_semi").join(
         failures.select("LOCUS_ID"), "LOCUS_ID", "left_anti"
@@ -313,3 +378,14 @@ def multi_population_inputs(
         aligned = aligned.join(lost.select("LOCUS_ID").distinct(), "LOCUS_ID", "left_anti")
     sizes = locus_sample_size(aligned) if {"N", "N_EFF"} <= set(aligned.columns) else aligned.select(*LOCUS).distinct()
     return aligned, sizes, failures
+
+
+def with_ld_order(aligned: DataFrame) -> DataFrame:
+    """``aligned`` with LD_ORDER, the place of a variant among those of its locus, the same in every population.
+
+    A place is a rank over range partitions, so a locus of any size spans tasks; it is a
+    column, so that no later step has to rely on the order of rows.
+    """
+    variants = aligned.select("LOCUS_ID", "VARIANT_ID").distinct()
+    ranked = prefix_scan(variants, ["LOCUS_ID"], [F.col("VARIANT_ID").asc()], rank="_R")
+    return aligned.join(ranked.select("LOCUS_ID", "VARIANT_ID", (F.col("_R") - 1).alias("LD_ORDER")), ["LOCUS_ID", "VARIANT_ID"])

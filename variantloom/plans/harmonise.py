@@ -134,6 +134,6 @@ def harmonise_file(
         counts["significant"] or 0, chi2["MEDIAN"] / S.MEDIAN_CHI2_1DF if chi2 and chi2["MEDIAN"] else None, counts["eaf"], counts["sized"], counts["rsid"],
         analysis.n_cases, analysis.n_controls, analysis.n_total, "GRCh38", {k: str(v) for k, v in check.items()},
     )
-    record = spark.createDataFrame([row], RECORD)
+    record = spark.createDataFrame([row], RECORD).coalesce(1)
     write_qc_report(record, f"{out}/record")
     return record

@@ -703,6 +703,43 @@ def multi_inputs(spark, sf_dir):
     return aligned.groupBy("LOCUS_ID", "POPULATION").agg(F.count("*").alias("N_VARIANTS")).join(sizes, finemap.LOCUS)
 
 
+_SHARED = with_("matched", "vectors").rstrip() + """,
+  calls AS (SELECT ['EUR', 'AFR', 'EAS', 'SAS', 'AMR'][i + 1] AS POPULATION, ID AS VARIANT_ID, len(list_filter(embedding[i * 13 + 1:i * 13 + 13], lambda x: abs(CAST(x AS DOUBLE)) > 0.35)) AS missing
+    FROM panel JOIN embeddings ON vec_id = V, (SELECT unnest([0, 1, 2, 3, 4]) AS i)),
+  kept AS (SELECT DISTINCT POPULATION, VARIANT_ID FROM vectors JOIN calls USING (POPULATION, VARIANT_ID) WHERE missing <= 1.3),
+  known AS (SELECT * FROM matched WHERE VARIANT_ID IN (SELECT VARIANT_ID FROM kept)),
+  shared AS (SELECT LOCUS_ID, VARIANT_ID FROM known GROUP BY 1, 2 HAVING count(DISTINCT POPULATION) = 5),
+  counts AS (SELECT LOCUS_ID, count(s.VARIANT_ID) AS n FROM (SELECT DISTINCT LOCUS_ID FROM known) LEFT JOIN shared AS s USING (LOCUS_ID) GROUP BY 1),
+  aligned AS (SELECT k.* FROM known AS k JOIN shared USING (LOCUS_ID, VARIANT_ID) JOIN counts USING (LOCUS_ID) WHERE counts.n >= 10),
+  lost AS (SELECT DISTINCT LOCUS_ID, POPULATION FROM aligned AS a WHERE NOT EXISTS (SELECT 1 FROM kept AS k WHERE k.POPULATION = a.POPULATION AND k.VARIANT_ID = a.VARIANT_ID))
+"""
+
+
+def _multi_inputs(spark, sf_dir):
+    """Variants whose dosages pass the panel's filter in some population; those that another population lost make their loci fail."""
+    kept = checkpointed(ld.standardise(views.dosage(spark, sf_dir), max_missing=0.1).select("POPULATION", "VARIANT_ID"))
+    known = views.matched(spark, sf_dir).join(kept.select("VARIANT_ID").distinct(), "VARIANT_ID", "left_semi")
+    return finemap.multi_population_inputs(checkpointed(known), schema.SUPERPOPULATIONS, kept_by_ld=kept)
+
+
+@query(
+    "multi_failures",
+    _SHARED + """SELECT LOCUS_ID, NULL::VARCHAR AS POPULATION, 'only ' || n || ' variants occur in every population' AS REASON FROM counts WHERE n < 10
+      UNION ALL SELECT LOCUS_ID, POPULATION, POPULATION || ' lacks LD for variants that the other populations have' FROM lost""",
+)
+def multi_failures(spark, sf_dir):
+    return _multi_inputs(spark, sf_dir)[2]
+
+
+@query(
+    "multi_order",
+    _SHARED + """SELECT LOCUS_ID, POPULATION, VARIANT_ID, row_number() OVER (PARTITION BY LOCUS_ID, POPULATION ORDER BY VARIANT_ID) - 1 AS LD_ORDER
+      FROM aligned WHERE LOCUS_ID NOT IN (SELECT LOCUS_ID FROM lost)""",
+)
+def multi_order(spark, sf_dir):
+    return finemap.with_ld_order(_multi_inputs(spark, sf_dir)[0]).select("LOCUS_ID", "POPULATION", "VARIANT_ID", "LD_ORDER")
+
+
 # ------------------------------------------------------------ evidence sources
 
 
