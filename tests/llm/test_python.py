@@ -245,3 +245,18 @@ def test_language_held_out(spark):
     assert got[900] == got[901] == got[902] == ("und", 0.0) and got[903][0] == "bb"
     assert language_id.train(docs.limit(0), F.lit(True)) is None
     assert {r.language.lang for r in language_id.identify(docs, None).collect()} == {"und"}
+
+
+def test_pieces_of_a_run_are_spelled_at_once(monkeypatch):
+    import pyarrow as pa
+
+    vocabulary = piece_sampling.Vocabulary.load(piece_sampling.model_file(), piece_sampling.ALPHA)
+    texts = ["héllo wörld", "", None, "日本語 text \x00 é", "a" * 5000, " "]
+    ids = piece_sampling.Sampler(vocabulary).encode(list(range(6)), [t or "" for t in texts])
+    rows = pa.array([None if t is None else i for t, i in zip(texts, ids)], pa.list_(pa.int32()))
+    for size in (1, 7, 100_000):
+        monkeypatch.setattr(piece_sampling, "SPELLED_PIECES", size)
+        speller = piece_sampling.Speller(vocabulary)
+        assert speller.texts(rows).to_pylist() == texts
+        assert speller.texts(rows[2:5]).to_pylist() == texts[2:5] and speller.texts(rows[:0]).to_pylist() == []
+    assert speller.texts(rows).to_pylist() == [None if t is None else piece_sampling.decode(i, vocabulary) for t, i in zip(texts, ids)]

@@ -29,6 +29,8 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,7 +42,8 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SEED, ALPHA = 20240607, 1.0
 CHUNK_CHARS = 64  # in a longer chunk places are sought that no piece can cross
 BATCH_CHARS = 400_000
-CACHE_CHUNKS, CACHE_STATES = 150_000, 2_000_000  # what is forgotten is filtered anew
+SPELLED_PIECES = 100_000
+CACHE_CHUNKS, CACHE_STATES = 300_000, 4_000_000  # what is forgotten is filtered anew
 RUN = re.compile(" *[^ ]+| +")
 
 
@@ -326,14 +329,39 @@ def encode_column(docs: DataFrame, key: str = "doc_id", text: str = "text", colu
     return docs.withColumn(column, encoded(docs[key].cast("long"), docs[text]))
 
 
+class Speller:
+    """Turns lists of ids into texts by one lookup of bytes for a run of pieces, whatever rows they are of."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.size = np.fromiter(map(len, vocabulary.of_id), np.int64, len(vocabulary.of_id))
+        self.begin = np.cumsum(self.size) - self.size
+        self.letters = np.frombuffer(b"".join(vocabulary.of_id), np.uint8)
+
+    def texts(self, ids: pa.ListArray) -> pa.Array:
+        """The text of every row; null where the row is."""
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        data = []
+        for at in range(0, len(flat), SPELLED_PIECES):
+            part = flat[at : at + SPELLED_PIECES]
+            size = self.size[part]
+            shift = self.begin[part] - (np.cumsum(size) - size)
+            data.append(self.letters[np.repeat(shift, size) + np.arange(size.sum())].tobytes())
+        ends = np.append(0, np.cumsum(self.size[flat]))
+        rows = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)))
+        offsets = pa.py_buffer(ends[rows].astype(np.int64))
+        spelled = pa.LargeStringArray.from_buffers(len(ids), offsets, pa.py_buffer(b"".join(data)))
+        spelled.validate(full=True)
+        return pc.if_else(ids.is_valid(), spelled, pa.scalar(None, pa.large_string())).cast(pa.string())
+
+
 def decode_column(pieces: DataFrame, ids: str = "piece_ids", column: str = "decoded", model: str | None = None) -> DataFrame:
     """``pieces`` with the text that the ids stand for."""
     small_batches(pieces.sparkSession)
 
-    @F.pandas_udf("string")
-    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = Vocabulary.load(model or model_file())
+    @F.arrow_udf("string")
+    def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        speller = Speller(Vocabulary.load(model or model_file()))
         for batch in batches:
-            yield pd.Series([None if i is None else decode(i, vocabulary) for i in batch], dtype=object)
+            yield speller.texts(batch)
 
     return pieces.withColumn(column, decoded(F.col(ids)))
