@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from variantloom.operators import ld, ld_blocks, phenotype
+from variantloom.operators import ld, ld_blocks, ld_spectrum, phenotype
 
 DOSAGES = "POPULATION string, CHR string, POS bigint, VARIANT_ID string, DOSAGE array<double>"
 
@@ -60,6 +60,24 @@ def test_tiles_out_of_reach_never_meet(spark):
     assert ld_blocks.ld_edges_blocked(units.limit(0)).count() == 0
 
 
+def test_smallest_eigenvalue_is_that_of_the_matrix(spark):
+    rng = np.random.default_rng(8)
+    n_samples, names = 23, [f"v{i:02d}" for i in range(40)]
+    dosages = rng.integers(0, 3, (40, n_samples)).astype(float)
+    dosages[3] = dosages[2]  # two equal variants: a singular matrix
+    table = spark.createDataFrame([("EUR", "1", 10 * i, n, d.tolist()) for i, (n, d) in enumerate(zip(names, dosages))], DOSAGES)
+    units = ld_blocks.standardise_blocks(ld_blocks.sample_blocks(table, 7)).cache()
+    sets = {"one": names[:1], "two": names[5:7], "twelve": names[4:16], "equal": names[:6], "more than samples": names[5:40]}
+    members = spark.createDataFrame([(s, "EUR", v) for s, vs in sets.items() for v in [*vs, vs[0]]], "SET_ID string, POPULATION string, VARIANT_ID string")
+    got = {r["SET_ID"]: r for r in ld_spectrum.smallest_eigenvalue(members, units, ridge=0.01).collect()}
+    for name, vs in sets.items():
+        u = np.array([dosages[names.index(v)] - dosages[names.index(v)].mean() for v in vs])
+        u /= np.linalg.norm(u, axis=1, keepdims=True)
+        r = 0.99 * u @ u.T + 0.01 * np.eye(len(vs))
+        assert abs(got[name]["MIN_EIGENVALUE"] - np.linalg.eigvalsh(r).min()) < 1e-6 and got[name]["RESIDUAL"] < 1e-6, name
+    assert got["more than samples"]["STEPS"] <= n_samples and got["two"]["STEPS"] == 2
+
+
 TERMS = [
     ("EFO_1", "Migraine", ["migraine disorder"]), ("EFO_2", "headache", ["Migraine"]), ("EFO_3", "aura", []), ("EFO_4", "cluster headache", None),
     ("EFO_5", "migraine", []), ("EFO_6", None, None), ("EFO_1", "other label", []),

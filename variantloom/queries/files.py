@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from variantloom.operators import harmonize, ld_blocks
+from variantloom.operators import harmonize, ld_blocks, ld_spectrum
 from variantloom.plans import harmonise
 from variantloom.queries import views
 from variantloom.queries.registry import query
@@ -202,6 +202,91 @@ def ancestry_rows(spark, sf_dir):
     return records.select("study_accession", "STAGE", (F.col("RECORD") % catalog.CATEGORIES_PER_LINE).alias("SPOT"), "CATEGORY", "N", "COUNTRY", F.lit(total).alias("N_RECORDS"))
 
 
+@query(
+    "catalog_text",
+    """SELECT 'GCST' || lpad(CAST(c_custkey + 1 AS VARCHAR), 6, '0') AS study_accession, CASE WHEN c_custkey % 5 = 0 THEN '"' || c_mktsegment || ' 5" wide' ELSE c_mktsegment END AS reported_trait,
+      CASE WHEN c_custkey % 3 > 0 THEN CAST(c_custkey AS VARCHAR) END AS pubmed_id, CASE WHEN c_custkey % 2 = 0 THEN 'x; ' || lower(c_mktsegment) ELSE lower(c_mktsegment) END AS labels,
+      c_custkey % 7 = 0 AS gxe FROM customer""",
+)
+def catalog_text(spark, sf_dir):
+    """A catalogue file with quotes as text, empty fields and lines that end early, as candidate studies."""
+    k = F.col("c_custkey")
+    table = views.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("GCST"), F.lpad((k + 1).cast("string"), 6, "0")).alias("A"),
+        F.when(k % 5 == 0, F.concat(F.lit('"'), "c_mktsegment", F.lit(' 5" wide'))).otherwise(F.col("c_mktsegment")).alias("B"),
+        F.when(k % 3 > 0, k.cast("string")).alias("C"), F.concat(F.when(k % 2 == 0, "x, ").otherwise(""), F.lower("c_mktsegment")).alias("D"),
+        F.when(k % 7 == 0, "YES ").when(k % 7 == 1, "no").alias("E"),
+    )
+    lines = table.select(F.regexp_replace(joined("\t", *"ABCDE"), "\t$", "").alias("value"))
+    path = folder(spark, "catalogue")
+    names = ("STUDY ACCESSION", "DISEASE/TRAIT", "PUBMED ID", "MAPPED_TRAIT", "GXE")
+    with_header(lines, "\t".join(names)).coalesce(1).write.text(path)
+    raw = catalog.read_catalog(spark, path).filter(F.col("STUDY ACCESSION") != "STUDY ACCESSION")
+    more = ("MAPPED_TRAIT_URI", "MAPPED BACKGROUND TRAIT", "FIRST AUTHOR", "DATE", "COHORT", "INITIAL SAMPLE SIZE", "FULL SUMMARY STATISTICS", "SUMMARY STATS LOCATION")
+    studies = catalog.candidate_studies(raw.withColumns({c: F.lit(None).cast("string") for c in more}), views.SUMSTATS_BASE)
+    return studies.select("study_accession", "reported_trait", "pubmed_id", F.array_join("mapped_trait_labels", "; ").alias("labels"), "gxe")
+
+
+@query(
+    "consequence_text",
+    with_("consequence") + "SELECT VARIANT_ID, CONSEQUENCE, GENE, 'ENSG' || GENE AS GENE_ID, FUNCTIONAL_CATEGORY FROM consequence",
+)
+def consequence_text(spark, sf_dir):
+    """The consequence table as an annotator writes it, read back with its classes."""
+    rows = views.consequence(spark, sf_dir).select("VARIANT_ID", "CONSEQUENCE", "GENE", F.concat(F.lit("ENSG"), "GENE").alias("ENSG"), F.lit("-").alias("EXTRA"))
+    path = folder(spark, "consequence")
+    with_header(rows.select(joined("\t", "VARIANT_ID", "ENSG", "EXTRA", "CONSEQUENCE", "GENE")), "## annotator 1\n#Uploaded_variation\tGene\tExtra\tConsequence\tSYMBOL").write.text(path)
+    return tables.read_consequences(spark, path).filter("Extra is null").select("VARIANT_ID", "CONSEQUENCE", "GENE", "GENE_ID", "FUNCTIONAL_CATEGORY")
+
+
+@query(
+    "clump_text",
+    with_("best") + f"SELECT CHR, POS AS LEAD_POS, VARIANT_ID AS LEAD_VARIANT, {r6('-log10(P)')} AS LEAD_NLP FROM best WHERE POPULATION = 'EUR'",
+)
+def clump_text(spark, sf_dir):
+    """Leads as an outside clumping program lists them."""
+    rows = views.strongest(spark, sf_dir).filter("POPULATION = 'EUR'").select("CHR", "POS", "VARIANT_ID", "P", F.lit(".").alias("T"))
+    path = folder(spark, "clumps")
+    with_header(rows.select(joined("\t", "CHR", "POS", "VARIANT_ID", "P", "T")), "#CHROM\tPOS\tID\tP\tTOTAL").write.text(path)
+    return tables.read_clump_table(spark, path).select("CHR", "LEAD_POS", "LEAD_VARIANT", (-F.log10("LEAD_P")).alias("LEAD_NLP"))
+
+
+@query(
+    "stage_union",
+    with_("best") + f"""SELECT POPULATION, VARIANT_ID, {r6('BETA')} AS BETA, CASE WHEN POPULATION = 'AFR' THEN N END AS N, CASE WHEN POPULATION <> 'AFR' THEN CHR END AS CHR FROM best""",
+)
+def stage_union(spark, sf_dir):
+    """Stage tables whose columns differ, read in one scan."""
+    best = checkpointed(views.strongest(spark, sf_dir).select("POPULATION", "VARIANT_ID", "BETA", "N", "CHR"))
+    paths = [folder(spark, "stage") for _ in range(2)]
+    export.write_parquet(best.filter("POPULATION = 'AFR'").select("POPULATION", "VARIANT_ID", "BETA", "N"), paths[0])
+    export.write_parquet(best.filter("POPULATION <> 'AFR'").select("CHR", "VARIANT_ID", "BETA", "POPULATION"), paths[1])
+    return tables.read_stage_tables(spark, paths).select("POPULATION", "VARIANT_ID", "BETA", "N", "CHR")
+
+
+@query(
+    "tsv_export",
+    with_("catalog") + """SELECT study_accession || chr(9) || coalesce(cohorts, 'NA') || chr(9) || CAST(to_json(ids) AS VARCHAR) || chr(9) || k AS LINE, count(*) AS N FROM catalog GROUP BY 1
+      UNION ALL SELECT 'study_accession' || chr(9) || 'cohort' || chr(9) || 'mapped_trait_ids' || chr(9) || 'k', 1""",
+)
+def tsv_export(spark, sf_dir):
+    """Lines of a written table: lists as JSON, nulls as NA, a header."""
+    studies = catalog.candidate_studies(views.catalog(spark, sf_dir), views.SUMSTATS_BASE)
+    number = F.regexp_extract("study_accession", "([0-9]+)$", 1).cast("bigint") - 1
+    rows = studies.select("study_accession", F.when(F.size("cohorts") > 0, F.array_join("cohorts", "; ")).alias("cohort"), "mapped_trait_ids", number.alias("k"))
+    path = export.write_tsv(rows.coalesce(1), folder(spark, "tsv"))
+    return spark.read.text(path).groupBy(F.col("value").alias("LINE")).agg(F.count("*").alias("N"))
+
+
+@query("clump_files", with_("best") + f"SELECT CHR, VARIANT_ID, {r6('-log10(P)')} AS NLP FROM best WHERE P < 5e-8")
+def clump_files(spark, sf_dir):
+    """Clumping input written for each chromosome and read back by its folders."""
+    rows = export.clump_export(harmonize.significant(views.strongest(spark, sf_dir)))
+    path = export.write_table(rows, folder(spark, "clump-input"), partition_by=("CHR",))
+    back = spark.read.schema("VARIANT_ID string, P double, CHR string").csv(path, sep="\t", header=True)
+    return back.select("CHR", "VARIANT_ID", (-F.log10("P")).alias("NLP"))
+
+
 # ---------------------------------------------------------- sample blocks of panels
 
 
@@ -213,6 +298,20 @@ def ld_pairs_blocked(spark, sf_dir):
     return ld_blocks.ld_edges_blocked(units, min_r2=0.3)
 
 
+@query(
+    "ld_eigenvalue",
+    with_("correlations") + f"SELECT POPULATION || '|' || ID_A || '|' || ID_B AS SET_ID, {r6('1.0 - 0.9999 * abs(R)')} AS MIN_EIGENVALUE FROM correlations WHERE POS_B = POS_A + 5000",
+)
+def ld_eigenvalue(spark, sf_dir):
+    """Smallest eigenvalue of every two neighbouring variants, which is one less their shrunk |r|."""
+    units = checkpointed(ld_blocks.standardise_blocks(ld_blocks.sample_blocks(views.dosage(spark, sf_dir), 5), max_missing=None))
+    ids = units.select("POPULATION", "CHR", "POS", "VARIANT_ID").distinct()
+    after = ids.select("POPULATION", "CHR", (F.col("POS") - 5000).alias("POS"), F.col("VARIANT_ID").alias("NEXT_ID"))
+    pairs = ids.join(after, ["POPULATION", "CHR", "POS"]).withColumn("SET_ID", F.concat_ws("|", "POPULATION", "VARIANT_ID", "NEXT_ID"))
+    members = pairs.select("SET_ID", "POPULATION", F.explode(F.array("VARIANT_ID", "NEXT_ID")).alias("VARIANT_ID"))
+    return ld_spectrum.smallest_eigenvalue(members, units).select("SET_ID", "MIN_EIGENVALUE")
+
+
 # ------------------------------------------------------------------- sequences
 
 
