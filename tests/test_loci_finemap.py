@@ -205,7 +205,7 @@ def test_gates_and_range_join(spark):
     gates = region.locus_gates(inside, min_variants=3, loci=places)
     passed, failed = region.split_by_gate(inside, gates)
     assert passed.count() == 3
-    assert [r["REASON"] for r in failed.collect()] == ["0 matched variants, fewer than 10"]
+    assert [r["REASON"] for r in failed.collect()] == ["0 matched variants, fewer than 3"]
 
 
 def test_variants_without_ld_are_counted_per_locus(spark):
