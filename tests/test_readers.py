@@ -48,7 +48,7 @@ def test_block_gzip_is_read_by_many_tasks(spark, tmp_path, size):
             assert in_order(lines) == want
             numbers = text.numbered(lines).filter(F.col("FILE").endswith("/a.bgz")).select("LINE", "value").collect()
             assert {r["LINE"]: r["value"] for r in numbers} == dict(enumerate(want["a.bgz"]))
-            if part == "6007":
+            if part == "6007" and size < 65_280:  # large blocks are too few here to make many ranges
                 assert lines.rdd.getNumPartitions() > 4
                 ranges = lines.filter(F.col("FILE").endswith("/a.bgz")).select("AT").distinct().count()
                 assert ranges > 3
