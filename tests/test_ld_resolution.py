@@ -3,9 +3,11 @@
 import itertools
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
+import __spark_entry__ as entry
 from variantloom.operators import ld, ld_blocks, ld_spectrum, phenotype
 
 DOSAGES = "POPULATION string, CHR string, POS bigint, VARIANT_ID string, DOSAGE array<double>"
@@ -167,3 +169,32 @@ def test_long_lists_are_left_as_tables(spark, monkeypatch):
     terms = spark.createDataFrame([(f"T{i}", "same", []) for i in range(3)], "term_id string, label string, synonyms array<string>")
     with pytest.raises(ValueError, match="tables"):
         phenotype.resolve_phenotype(terms, "same")
+
+
+@pytest.fixture(scope="module")
+def long_chromosome(spark, tmp_path_factory):
+    """Tables of variants on two chromosomes, up to 3 Mb from each other."""
+    path, rng = str(tmp_path_factory.mktemp("tables")), np.random.default_rng(6)
+    ids = [22 * 50 * i + c for i in range(13) for c in (0, 1)]
+    part = [(i, "n", "b", "PROMO", i % 7, 1.0) for i in ids]
+    spark.createDataFrame(part, "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{path}/part.parquet")
+    vectors = [(i, [float(x) for x in rng.normal(0, 0.1, 65)]) for i in ids]
+    spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>").write.parquet(f"{path}/embeddings.parquet")
+    return path
+
+
+def agrees_with_sql(spark, path, name):
+    """The query's rows are those of its SQL, and some pairs are further apart than the operators' window."""
+    db = duckdb.connect()
+    for table in ("part", "embeddings"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}/{table}.parquet/*.parquet'")
+    got = entry.queries()[name](spark, path)
+    want = db.execute(f'SELECT {", ".join(got.columns)} FROM ({entry.oracle_sql()[name]})').fetchall()
+    rounded = lambda rows: sorted(tuple(round(x, 5) if isinstance(x, float) else x for x in row) for row in rows)
+    assert rounded(want) == rounded(tuple(r) for r in got.collect())
+    place = lambda name: int(name.split(":")[1])
+    assert any(abs(place(r["ID_A"]) - place(r["ID_B"])) > 1_000_000 for r in got.collect())
+
+
+def test_pairs_of_whole_chromosomes(spark, long_chromosome):
+    agrees_with_sql(spark, long_chromosome, "ld_pairs")
