@@ -198,3 +198,7 @@ def agrees_with_sql(spark, path, name):
 
 def test_pairs_of_whole_chromosomes(spark, long_chromosome):
     agrees_with_sql(spark, long_chromosome, "ld_pairs")
+
+
+def test_blocked_pairs_of_whole_chromosomes(spark, long_chromosome):
+    agrees_with_sql(spark, long_chromosome, "ld_pairs_blocked")

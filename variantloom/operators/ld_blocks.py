@@ -79,21 +79,26 @@ def standardise_blocks(blocks: DataFrame, maf: float | None = 0.01, max_missing:
     return centred.join(norms, VARIANT).select(*VARIANT, "BLOCK", F.transform("C", lambda x: x / F.col("_NORM")).alias("UNIT"))
 
 
-def position_tiles(units: DataFrame, window_bp: int, tile: int) -> DataFrame:
-    """(POPULATION, CHR, POS, VARIANT_ID, BIN, TILE, SLOT): at most ``tile`` neighbours to a tile, in bins as wide as the window."""
-    variants = units.select(*VARIANT).distinct().withColumn("BIN", F.floor(F.col("POS") / F.lit(window_bp)))
+def position_tiles(units: DataFrame, window_bp: int | None, tile: int) -> DataFrame:
+    """(POPULATION, CHR, POS, VARIANT_ID, BIN, TILE, SLOT): at most ``tile`` neighbours to a tile, in bins as wide as the window.
+
+    Without a window a chromosome is one bin.
+    """
+    bin_ = F.lit(0).cast("bigint") if window_bp is None else F.floor(F.col("POS") / F.lit(window_bp))
+    variants = units.select(*VARIANT).distinct().withColumn("BIN", bin_)
     ranked = prefix_scan(variants, ["POPULATION", "CHR", "BIN"], [F.col("POS"), F.col("VARIANT_ID")], rank="_R")
     return checkpointed(ranked.select(*VARIANT, "BIN", F.expr(f"(_R - 1) div {tile}").alias("TILE"), ((F.col("_R") - 1) % tile).cast("int").alias("SLOT")))
 
 
-def tile_pairs(placed: DataFrame, window_bp: int) -> DataFrame:
+def tile_pairs(placed: DataFrame, window_bp: int | None) -> DataFrame:
     """(POPULATION, CHR, BIN_A, TILE_A, BIN_B, TILE_B) of tiles that reach each other, each pair once."""
     tiles = placed.groupBy("POPULATION", "CHR", "BIN", "TILE").agg(F.min("POS").alias("LOW"), F.max("POS").alias("HIGH"))
     a = tiles.select("POPULATION", "CHR", *[F.col(c).alias(f"{c}_A") for c in ("BIN", "TILE", "LOW", "HIGH")])
     b = tiles.select("POPULATION", "CHR", *[F.col(c).alias(f"{c}_B") for c in ("BIN", "TILE", "LOW", "HIGH")])
     near = a.withColumn("BIN_B", F.explode(F.array(F.col("BIN_A"), F.col("BIN_A") + 1))).join(b, ["POPULATION", "CHR", "BIN_B"])
     once = (F.col("BIN_A") < F.col("BIN_B")) | (F.col("TILE_A") <= F.col("TILE_B"))
-    return near.filter(once & (F.col("LOW_B") - F.col("HIGH_A") <= window_bp)).select("POPULATION", "CHR", "BIN_A", "TILE_A", "BIN_B", "TILE_B")
+    reach = F.lit(True) if window_bp is None else F.col("LOW_B") - F.col("HIGH_A") <= window_bp
+    return near.filter(once & reach).select("POPULATION", "CHR", "BIN_A", "TILE_A", "BIN_B", "TILE_B")
 
 
 PAIR = ["POPULATION", "CHR", "BIN_A", "TILE_A", "BIN_B", "TILE_B"]
@@ -118,14 +123,15 @@ def _add(group: pd.DataFrame) -> pd.DataFrame:
     return group[[*PAIR, "BLOCK"]].head(1).assign(GRAM=[total.tobytes()])
 
 
-def _edges(min_r2: float, window_bp: int):
+def _edges(min_r2: float, window_bp: int | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 ids_a, ids_b = np.asarray(row.IDS_A), np.asarray(row.IDS_B)
                 r = np.frombuffer(row.GRAM).reshape(len(ids_a), len(ids_b))
-                gap = np.abs(np.asarray(row.POSITIONS_A)[:, None] - np.asarray(row.POSITIONS_B)[None, :])
-                wanted = (r * r >= min_r2) & (gap <= window_bp)
+                wanted = r * r >= min_r2
+                if window_bp is not None:
+                    wanted &= np.abs(np.asarray(row.POSITIONS_A)[:, None] - np.asarray(row.POSITIONS_B)[None, :]) <= window_bp
                 if (row.BIN_A, row.TILE_A) == (row.BIN_B, row.TILE_B):
                     wanted &= np.triu(np.ones(r.shape, bool), 1)
                 i, j = np.nonzero(wanted)
@@ -157,8 +163,8 @@ def grams(units: DataFrame, placed: DataFrame, pairs: DataFrame, n_blocks: int)
     return partial.drop("BLOCK")
 
 
-def ld_edges_blocked(units: DataFrame, min_r2: float = 0.1, window_bp: int = 1_000_000, tile_bytes: int = TILE_BYTES) -> DataFrame:
-    """(POPULATION, ID_A, ID_B, R), ID_A < ID_B: every pair within the window that reaches ``min_r2``.
+def ld_edges_blocked(units: DataFrame, min_r2: float = 0.1, window_bp: int | None = 1_000_000, tile_bytes: int = TILE_BYTES) -> DataFrame:
+    """(POPULATION, ID_A, ID_B, R), ID_A < ID_B: every pair within the window that reaches ``min_r2``; None: within the chromosome.
 
     ``units`` is the result of :func:`standardise_blocks`, best stored: it is read twice.
     """

@@ -292,10 +292,10 @@ def clump_files(spark, sf_dir):
 
 @query("ld_pairs_blocked", with_("correlations") + f"SELECT POPULATION, ID_A, ID_B, {r6('R')} AS R FROM correlations WHERE ID_A < ID_B AND R * R >= 0.3")
 def ld_pairs_blocked(spark, sf_dir):
-    """The same pairs from blocks of five samples: no row holds all samples, products are summed over the blocks."""
+    """The pairs of whole chromosomes from blocks of five samples: no row holds all samples, products are summed over the blocks."""
     blocks = ld_blocks.sample_blocks(views.dosage(spark, sf_dir), 5)
     units = checkpointed(ld_blocks.standardise_blocks(blocks, max_missing=None))
-    return ld_blocks.ld_edges_blocked(units, min_r2=0.3)
+    return ld_blocks.ld_edges_blocked(units, min_r2=0.3, window_bp=None)
 
 
 @query(
