@@ -206,3 +206,7 @@ def test_blocked_pairs_of_whole_chromosomes(spark, long_chromosome):
 
 def test_weaker_pairs_of_whole_chromosomes(spark, long_chromosome):
     agrees_with_sql(spark, long_chromosome, "ld_pairs_default")
+
+
+def test_stabilised_pairs_of_whole_chromosomes(spark, long_chromosome):
+    agrees_with_sql(spark, long_chromosome, "ld_stabilise")
