@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import helpers as H
@@ -167,6 +168,16 @@ def test_near_classes_are_those_of_all_pairs(spark):
     assert got == H.components(rows, 5, 80)
 
 
+@pytest.mark.parametrize("keys", ["none", "one"])
+def test_links_that_the_bands_leave_out(spark, monkeypatch, keys):
+    """Texts that share no key, or one key under an unlike leader, are linked all the same."""
+    monkeypatch.setattr(minhash, "band_keys", lambda mark: F.array(F.xxhash64(mark) if keys == "none" else F.lit(7).cast("bigint")))
+    rows = near_documents()
+    docs = H.documents(spark, rows)
+    got = {r.id: r["class"] for r in minhash.near_classes(minhash.fingerprints(docs), docs).collect()}
+    assert got == H.components(rows, 5, 80)
+
+
 def test_recall_of_planted_pairs(spark):
     """Of all links at 0.8 among random edits at least 99 in 100 join their two texts."""
     rng = random.Random(4)

@@ -196,17 +196,43 @@ def whole_sets(docs: DataFrame, doc_id: str, text: str, width: int, holders: Dat
     return sets.join(holders.select("a"), "a", "left_semi").dropDuplicates(["a"])
 
 
-def join_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
-    """(id, n, component): size of the n-gram set and smallest id of the component of every row."""
+def known_links(sketched: DataFrame, known: DataFrame) -> DataFrame:
+    """Links (u, v) between sets that ``known`` (id, class) already has in one class."""
+    told = known.filter("id is not null and class is not null")
+    held = Stored(sketched.filter("n > 0").join(told, "id").select("a", "class").distinct()).frame
+    first = held.groupBy("class").agg(F.min("a").alias("v"))
+    return held.join(first, "class").filter("a <> v").select(F.col("a").alias("u"), "v")
+
+
+def unsettled(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists whose sets are not all in one component yet."""
+    named = lists.join(labels, "a", "left").withColumn("c", F.coalesce("c", "a"))
+    open_ = named.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("h")
+    return lists.join(open_, "h", "left_semi")
+
+
+def join_similar(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85, known: DataFrame | None = None
+) -> DataFrame:
+    """(id, n, component): size of the n-gram set and smallest id of the component of every row.
+
+    ``known`` (id, class) names rows whose links another method has verified: lists
+    within one class are not searched, all others are, so the result is as exact.
+    """
     wide = Stored(sketches(docs, doc_id, text, width, percent))
     sketched = Stored(wide.frame.select("id", "n", "a")).frame
     sets = wide.frame.filter("n > 0").groupBy("a").agg(F.first("n").alias("n"), F.first("bottom").alias("bottom"))
     lists = Stored(short_lists(sets, percent)).frame
     wide.drop()
+    before = None
+    if known is not None:
+        before = Stored(known_links(sketched, known)).frame
+        lists = Stored(unsettled(lists, components(before).select(F.col("v").alias("a"), "c"))).frame
     names = Stored(sketched.filter("n > 0").groupBy("a").agg(F.min("id").alias("id"))).frame
     tokens = Stored(whole_sets(docs, doc_id, text, width, names.join(lists.select("a").distinct(), "a", "left_semi"))).frame
     leaders = lists.groupBy("h").agg(F.min(F.struct("a", "n")).alias("l")).select("h", F.col("l.a").alias("lead"), F.col("l.n").alias("lead_n"))
     links = Stored(leader_links(lists, leaders, tokens, percent)).frame
+    links = links if before is None else links.unionByName(before)
     labels = components(links).select(F.col("v").alias("a"), "c")
     # A leader has met all members; a list within one component is done.
     rest = lists.join(leaders.select("h", F.col("lead").alias("a")), ["h", "a"], "left_anti")
