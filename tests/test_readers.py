@@ -1,12 +1,14 @@
 """Compressed text in parts, folders of several layouts, sequences by offset arithmetic."""
 
 import gzip
+import os
 import random
 import zipfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from variantloom.queries import files
 from variantloom.sources import blocks, fasta, text
 
 
@@ -148,3 +150,17 @@ def test_uneven_lines_are_refused(spark, tmp_path):
     lines = fasta.read_fasta(spark, str(tmp_path / "u.fa"))
     with pytest.raises(Exception, match="differ in width"):
         fasta.bases(spark.createDataFrame([("1", 5)], "CHR string, POS bigint"), lines, fasta.fasta_index(lines)).collect()
+
+
+def test_folders_grow_in_files_and_lines_stay_where_they_are(spark, tmp_path, monkeypatch):
+    """More rows make more files, each with its header; no shuffle brings the lines of a file together."""
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 100)
+    rows = spark.range(3000).select(F.concat_ws("\t", F.lit("rs"), F.lit("1"), "id", F.lit("A"), F.lit("C"), F.lit("0.5"), F.lit("0.1")).alias("value"))
+    header = "## made here\nrsid\tchromosome\tbase_pair_location\teffect_allele\tother_allele\tbeta\tstandard_error"
+    path = str(tmp_path / "many")
+    blocks.write_bgzf(files.with_header(rows, header), path)
+    assert len([name for name in os.listdir(path) if name.startswith("part-")]) == 30
+    table = text.read_associations(spark, path, form="bgzf")[0]
+    assert sorted(int(r["POS"]) for r in table.select("POS").collect()) == list(range(3000))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan

@@ -98,7 +98,11 @@ def harmonise_file(
     raw, heads = text.read_association_files(spark, path, form)
     mapping = heads.orderBy("FILE").first()["MAPPING"]
     derived = harmonize.derive_statistics(raw, analysis.n_cases, analysis.n_controls, analysis.n_total)
-    if "BETA" in mapping and (derived.agg(F.min(F.when(S.is_finite("BETA"), F.col("BETA")))).first()[0] or 0) > 0:
+    n_input = None
+    if "BETA" in mapping:
+        # One read tells the smallest effect and the number of rows.
+        low, n_input = derived.agg(F.min(F.when(S.is_finite("BETA"), F.col("BETA"))), F.count(F.lit(1))).first()
+    if "BETA" in mapping and (low or 0) > 0:
         harmonize.refuse_odds_ratio_as_beta(derived)  # the median is asked for only where no effect is negative
 
     final = harmonize.finalize(
@@ -116,7 +120,8 @@ def harmonise_file(
     write_parquet(harmonize.significant(table, p_threshold), f"{out}/significant")
 
     chi2 = exact_median(table.select((F.col("Z") * F.col("Z")).alias("CHI2")), [], "CHI2").first()
-    n_input = text.body_lines(lines, heads).count()
+    if n_input is None:
+        n_input = text.body_lines(lines, heads).count()
     check = {"status": "skipped", "reason": "no reference sequence"}
     if reference is not None:
         bases = fasta.bases(table.filter((F.length("EA") == 1) & (F.length("NEA") == 1)), reference.lines, reference.index)

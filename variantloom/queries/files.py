@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +19,8 @@ from variantloom.sinks import export
 from variantloom.sources import catalog, fasta, panel, tables, text
 from variantloom.sources.blocks import write_bgzf
 
-FILES = 8  # written for each stand-in folder
+FILES = 8  # written for each stand-in folder, at the least
+ROWS_PER_FILE = 500_000  # so files grow in number, not in size
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -28,9 +31,14 @@ def folder(spark: SparkSession, name: str) -> str:
 
 def with_header(rows: DataFrame, header: str) -> DataFrame:
     """(value): lines of ``rows`` over several partitions, each of which starts with the header's lines."""
-    heads = rows.sparkSession.range(FILES).select(F.col("id").alias("_P"), F.posexplode(F.split(F.lit(header), "\n")).alias("_O", "value"))
-    body = rows.select(F.pmod(F.xxhash64("value"), F.lit(FILES)).alias("_P"), F.lit(1_000).alias("_O"), "value")
-    return heads.unionByName(body).repartition(FILES, "_P").sortWithinPartitions("_P", "_O").select("value")
+    lead = header.split("\n")
+
+    def headed(batches):
+        for column in itertools.chain([pa.array(lead, pa.string())], (batch.column(0) for batch in batches)):
+            yield pa.RecordBatch.from_arrays([column], ["value"])
+
+    n_files = max(FILES, -(-rows.count() // ROWS_PER_FILE))
+    return rows.repartition(n_files, F.xxhash64("value")).mapInArrow(headed, "value string")
 
 
 def joined(sep: str, *columns: str) -> Column:

@@ -21,6 +21,7 @@ import zipfile
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 HEADER = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff\x06\x00BC\x02\x00"
 EMPTY_BLOCK = HEADER + b"\x1b\x00\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
 BLOCK_BYTES = 65_280
-LINES_PER_BATCH = 50_000
+LINES_PER_BATCH = 10_000
 
 WHOLE, HEAD, TAIL, MIDDLE = 0, 1, 2, 3  # of a line: all, up to the first break of a range, after the last, a range without one
 _LINES = pa.schema([("FILE", pa.string()), ("AT", pa.int64()), ("ROW", pa.int64()), ("PART", pa.int32()), ("BYTES", pa.binary())])
@@ -82,23 +83,65 @@ class _Range:
         return self._next(TAIL if self.broken else MIDDLE, self.held)
 
 
-def _unblock(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, FILE, AT) in the order of the file to whole lines and fragments of lines."""
-    rows, here = [], None
+def _inflated(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, bytes]]:
+    """(block, FILE, AT) in the order of the file to (FILE, AT, text)."""
     for batch in batches:
         for i in range(batch.num_rows):
             file, at = batch.column(1)[i].as_py(), batch.column(2)[i].as_py()
-            if here is None or (here.file, here.at) != (file, at):
-                if here is not None:
-                    rows.append(here.close())
-                here = _Range(file, at)
+            yield file, at, b""
             for data in _texts(batch.column(0)[i].as_py(), at):
-                rows.extend(here.feed(data))
-                while len(rows) >= LINES_PER_BATCH:
-                    yield _lines(rows[:LINES_PER_BATCH])
-                    del rows[:LINES_PER_BATCH]
+                yield file, at, data
+
+
+def _whole_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that lie within one byte range; line 1 of a range ends at its first break."""
+    here, held, next_row, lines = None, b"", 1, []
+
+    def told() -> pa.RecordBatch:
+        n, (file, at) = len(lines), here
+        rows = np.arange(next_row - n, next_row, dtype=np.int64)
+        columns = [pa.repeat(pa.scalar(file, pa.string()), n), pa.repeat(pa.scalar(at, pa.int64()), n), pa.array(rows), pa.array(lines, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["FILE", "AT", "ROW", "BYTES"])
+
+    for file, at, data in _inflated(batches):
+        if here != (file, at):
+            if lines:
+                yield told()
+            here, held, next_row, lines = (file, at), b"", 1, []
+        *more, held = (held + data).split(b"\n")
+        if more and next_row == 1:
+            more, next_row = more[1:], 2
+        next_row += len(more)
+        lines += more
+        if len(lines) >= LINES_PER_BATCH:
+            yield told()
+            lines = []
+    if lines:
+        yield told()
+
+
+def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The fragments at both ends of every byte range; what lies between is only counted."""
+    here, parts, n_lines, rows = None, [], 0, []
+
+    def close() -> tuple:
+        return (*here, n_lines + 1, TAIL if n_lines else MIDDLE, b"".join(parts))
+
+    for file, at, data in _inflated(batches):
+        if here != (file, at):
+            if here is not None:
+                rows.append(close())
+            here, parts, n_lines = (file, at), [], 0
+        breaks = data.count(b"\n")
+        if breaks and not n_lines:
+            rows.append((file, at, 1, HEAD, b"".join(parts) + data[: data.index(b"\n")]))
+        if breaks:
+            parts = []
+            data = data[data.rindex(b"\n") + 1 :]
+        parts.append(data)
+        n_lines += breaks
     if here is not None:
-        rows.append(here.close())
+        rows.append(close())
     yield _lines(rows)
 
 
@@ -117,11 +160,12 @@ def read_bgzf(spark: SparkSession, path: str) -> DataFrame:
     """(value, FILE, AT, ROW): lines of block-gzip files; AT and ROW put the lines of a file in order."""
     raw = spark.read.option("encoding", "ISO-8859-1").option("lineSep", HEADER.decode("latin-1")).text(path)
     blocks = raw.select(F.col("value").cast("binary").alias("block"), F.col("_metadata.file_path").alias("FILE"), F.col("_metadata.file_block_start").alias("AT"))
-    lines = blocks.mapInArrow(_unblock, "FILE string, AT bigint, ROW bigint, PART int, BYTES binary")
-    whole = lines.filter(F.col("PART") == WHOLE).select(_text("BYTES").alias("value"), "FILE", "AT", "ROW")
+    whole = blocks.mapInArrow(_whole_lines, "FILE string, AT bigint, ROW bigint, BYTES binary").select(_text("BYTES").alias("value"), "FILE", "AT", "ROW")
+    # The files are read twice, but only one of the two reads makes rows of lines.
+    fragments = blocks.mapInArrow(_borders, "FILE string, AT bigint, ROW bigint, PART int, BYTES binary")
     # A head ends a line; what lies between two heads is one line.
     ended = F.sum((F.col("PART") == HEAD).cast("int")).over(Window.partitionBy("FILE").orderBy("AT", "ROW").rowsBetween(Window.unboundedPreceding, -1))
-    pieces = lines.filter(F.col("PART") != WHOLE).withColumn("LINE", F.coalesce(ended, F.lit(0)))
+    pieces = fragments.withColumn("LINE", F.coalesce(ended, F.lit(0)))
     joined = pieces.groupBy("FILE", "LINE").agg(F.sort_array(F.collect_list(F.struct("AT", "ROW", "PART", "BYTES"))).alias("P"))
     data = F.aggregate("P", F.lit(b""), lambda all_, p: F.concat(all_, p["BYTES"]))
     # After the last break of a file there is a line only if there is text.
