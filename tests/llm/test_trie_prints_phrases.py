@@ -6,8 +6,10 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,6 +199,29 @@ def test_recall_of_planted_pairs(spark):
     assert all(got[i] // 10 == i // 10 for i in got)
 
 
+def test_shuffles_of_stored_tables_leave_no_files(spark):
+    """Texts are shuffled once, to be sorted by id; what they filled on disk is free when they are stored."""
+    folders = [Path(d.getPath()) for d in spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirs()]
+    kept = lambda: {f for d in folders for f in d.rglob("shuffle_*.data")}
+    before, setting = kept(), spark.conf.get(common.CLEANUP)
+    frame = common.Stored(H.documents(spark, near_documents()).repartition(3, "doc_id")).frame
+    until = time.monotonic() + 10
+    while kept() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not kept() - before and frame.count() == len(near_documents())
+    assert spark.conf.get(common.CLEANUP) == setting
+
+
+def test_shingle_sets_of_awkward_texts(spark):
+    texts = ["", None, " \t\x0b ", "a", "A  b", "a b c d e", "A b\tc\nd e e", "b a c d e", "x " * 40, H.plain(60)]
+    docs = H.documents(spark, list(enumerate(texts)))
+    got = {r.doc_id: r.s for r in docs.select("doc_id", minhash.shingle_sets(docs["text"], 5).alias("s")).collect()}
+    want = [H.shingle_set(t, 5) for t in texts]
+    assert all(s == sorted(set(s)) for s in got.values())
+    for i, j in itertools.product(range(len(texts)), repeat=2):
+        assert len(set(got[i]) & set(got[j])) == len(want[i] & want[j])
+
+
 def brute_phrases(rows, least=10, top=2000):
     """Every phrase of one to three words counted by hand."""
     counts, sizes = defaultdict(Counter), Counter()

@@ -36,6 +36,7 @@ import heapq
 import math
 from bisect import bisect_left
 from collections.abc import Callable
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -44,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from variantloom.llm.common import Stored, indexes, let, lower_ascii, words
+from variantloom.llm.common import Stored, bitmap, indexes, let, lower_ascii, split_by_bits, words
 from variantloom.llm.components import components
 
 MERGE_SHARE = 10  # per cent of a set that two linked sets share among their bottoms
@@ -72,21 +73,35 @@ def least_merged(n: Column) -> Column:
     return F.ceil(n * F.lit(MERGE_SHARE) / 100).cast("int")
 
 
-def sketches(docs: DataFrame, doc_id: str, text: str, width: int, percent: int) -> DataFrame:
+Cut = Callable[[Column, int], Column]  # of a text and a width, as shingles() has it
+
+
+def sketches(docs: DataFrame, doc_id: str, text: str, width: int, percent: int, cut: Cut = shingles) -> DataFrame:
     """(id, n, a, bottom): size, identity and bottom of each document's set."""
-    base = docs.select(docs[doc_id].alias("id"), shingles(docs[text], width).alias("s"))
+    base = docs.select(docs[doc_id].alias("id"), cut(docs[text], width).alias("s"))
     n = F.size("s")
     bottom = F.slice("s", F.lit(1), F.least(n, n - least_overlap(n, percent) + least_merged(n)))
     return base.select("id", n.alias("n"), F.xxhash64("s").alias("a"), bottom.alias("bottom"))
 
 
-def short_lists(sets: DataFrame, percent: int) -> DataFrame:
+def different_sets(wide: DataFrame, sketched: DataFrame) -> DataFrame:
+    """(a, n, bottom) once for each identity; bottoms are shuffled only where a set may have copies."""
+    copied = sketched.filter("n > 0").groupBy("a").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("a")
+    copies, alone = split_by_bits(wide.filter("n > 0"), F.col("a"), bitmap(copied))
+    return copies.groupBy("a").agg(F.first("n").alias("n"), F.first("bottom").alias("bottom")).unionByName(alone.select("a", "n", "bottom"))
+
+
+def short_lists(sets: DataFrame, percent: int, passes: int = 1) -> DataFrame:
     """(h, a, n): the short lists of every set, without those of one set.
 
     One shuffle by n-gram; a list has one row for each set at most, a task very many lists.
+    With several passes each takes a part of the n-grams, so that only the shuffle of
+    that part is on disk at a time.
     """
     postings = sets.select("a", "n", F.explode("bottom").alias("h"))
-    shared = postings.withColumn("m", F.count(F.lit(1)).over(W.partitionBy("h"))).filter("m > 1")
+    met = lambda rows: rows.withColumn("m", F.count(F.lit(1)).over(W.partitionBy("h"))).filter("m > 1")
+    parts = [met(postings)] if passes == 1 else [Stored(met(postings.filter(F.pmod("h", F.lit(passes)) == k))).frame for k in range(passes)]
+    shared = reduce(DataFrame.unionByName, parts)
     longest = F.row_number().over(W.partitionBy("a").orderBy(F.desc("m"), F.desc("h")))
     aside = least_merged(least_overlap(F.col("n"), percent)) - 1
     return shared.withColumn("place", longest).filter(F.col("place") > aside).select("h", "a", "n")
@@ -186,13 +201,13 @@ def cluster_links(members: DataFrame, tokens: DataFrame, percent: int) -> DataFr
     return search_units(index.unionByName(query), tokens, [*key, "ib", "qb"], percent)
 
 
-def whole_sets(docs: DataFrame, doc_id: str, text: str, width: int, holders: DataFrame) -> DataFrame:
+def whole_sets(docs: DataFrame, doc_id: str, text: str, width: int, holders: DataFrame, cut: Cut = shingles) -> DataFrame:
     """(a, s): the whole sets named by ``holders`` (id, a), cut again from their documents."""
     ids = Stored(holders.select("id").distinct()).frame
     side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     own = docs.select(docs[doc_id].alias("id"), docs[text].alias("body"))
     held = own.join(side, own["id"].eqNullSafe(side["id"]), "left_semi")
-    sets = held.select(shingles(F.col("body"), width).alias("s")).select(F.xxhash64("s").alias("a"), "s")
+    sets = held.select(cut(F.col("body"), width).alias("s")).select(F.xxhash64("s").alias("a"), "s")
     return sets.join(holders.select("a"), "a", "left_semi").dropDuplicates(["a"])
 
 
@@ -212,24 +227,29 @@ def unsettled(lists: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def join_similar(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85, known: DataFrame | None = None
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, percent: int = 85, known: DataFrame | None = None, cut: Cut = shingles,
+    passes: int = 1,
 ) -> DataFrame:
     """(id, n, component): size of the n-gram set and smallest id of the component of every row.
 
     ``known`` (id, class) names rows whose links another method has verified: lists
     within one class are not searched, all others are, so the result is as exact.
+    ``cut`` makes the sorted 64-bit shingles of a text; more ``passes`` need less disk.
     """
-    wide = Stored(sketches(docs, doc_id, text, width, percent))
+    wide = Stored(sketches(docs, doc_id, text, width, percent, cut))
     sketched = Stored(wide.frame.select("id", "n", "a")).frame
-    sets = wide.frame.filter("n > 0").groupBy("a").agg(F.first("n").alias("n"), F.first("bottom").alias("bottom"))
-    lists = Stored(short_lists(sets, percent)).frame
+    if passes == 1:
+        sets = wide.frame.filter("n > 0").groupBy("a").agg(F.first("n").alias("n"), F.first("bottom").alias("bottom"))
+    else:
+        sets = different_sets(wide.frame, sketched)
+    lists = Stored(short_lists(sets, percent, passes)).frame
     wide.drop()
     before = None
     if known is not None:
         before = Stored(known_links(sketched, known)).frame
         lists = Stored(unsettled(lists, components(before).select(F.col("v").alias("a"), "c"))).frame
     names = Stored(sketched.filter("n > 0").groupBy("a").agg(F.min("id").alias("id"))).frame
-    tokens = Stored(whole_sets(docs, doc_id, text, width, names.join(lists.select("a").distinct(), "a", "left_semi"))).frame
+    tokens = Stored(whole_sets(docs, doc_id, text, width, names.join(lists.select("a").distinct(), "a", "left_semi"), cut)).frame
     leaders = lists.groupBy("h").agg(F.min(F.struct("a", "n")).alias("l")).select("h", F.col("l.a").alias("lead"), F.col("l.n").alias("lead_n"))
     links = Stored(leader_links(lists, leaders, tokens, percent)).frame
     links = links if before is None else links.unionByName(before)
