@@ -214,3 +214,13 @@ def test_variants_without_ld_are_counted_per_locus(spark):
     units = spark.createDataFrame([("EUR", "v0"), ("EUR", "v0"), ("EUR", "v3"), ("AFR", "v8")], "POPULATION string, VARIANT_ID string")
     got = {(r["LOCUS_ID"], r["POPULATION"]): (r["N_MATCHED"], r["N_WITH_LD"], r["N_LOST"]) for r in finemap.ld_coverage(matched, units).collect()}
     assert got == {("L1", "EUR"): (5, 2, 3), ("L1", "AFR"): (1, 0, 1), ("L2", "EUR"): (1, 0, 1)}
+
+
+def test_clumping_stores_edges_as_pairs_of_numbers(spark, monkeypatch):
+    stored, store = [], loci.checkpointed
+    monkeypatch.setattr(loci, "checkpointed", lambda df: stored.append(df.columns) or store(df))
+    variants = spark.createDataFrame([("EUR", "1", 100 + i, 1e-10, f"v{i}") for i in range(4)], "POPULATION string, CHR string, POS bigint, P double, VARIANT_ID string")
+    edges = spark.createDataFrame([("EUR", f"v{i}", f"v{j}", 0.9) for i, j in ((0, 1), (1, 2), (2, 3))], "POPULATION string, ID_A string, ID_B string, R double")
+    got = {(r["LEAD_VARIANT"], r["VARIANT_ID"]) for r in loci.clump_members(variants, edges).collect()}
+    assert got == {("v0", "v0"), ("v0", "v1"), ("v2", "v2"), ("v2", "v3")}
+    assert stored and not any({"ID_A", "ID_B"} & set(columns) for columns in stored)

@@ -21,29 +21,41 @@ def clump_leads(index: DataFrame, edges: DataFrame) -> DataFrame:
     neighbour is a lead and covers its neighbours.  The rank (P, VARIANT_ID) is
     total, so the answer is that of the sequential procedure.
     """
-    ranked = index.select("POPULATION", "VARIANT_ID", "P")
-    first = ranked.select("POPULATION", F.col("VARIANT_ID").alias("ID_A"), F.col("P").alias("P_A"))
-    second = ranked.select("POPULATION", F.col("VARIANT_ID").alias("ID_B"), F.col("P").alias("P_B"))
-    better = F.struct("P_A", "ID_A") < F.struct("P_B", "ID_B")
-    open_edges = checkpointed(
-        edges.select("POPULATION", "ID_A", "ID_B").distinct()
-        .join(first, ["POPULATION", "ID_A"]).join(second, ["POPULATION", "ID_B"])
-        .filter(better).select("POPULATION", "ID_A", "ID_B")
-    )
+    numbered = _numbered(index.select("POPULATION", "VARIANT_ID", "P"))
+    met = _between(edges, numbered.select("POPULATION", "VARIANT_ID", "_K"), numbered.select("POPULATION", "VARIANT_ID", "_K"))
+    covered = _covered(checkpointed(met.filter("_A < _B").select("_A", "_B")))
+    if covered is None:
+        return index
+    names = numbered.join(covered, "_K").select("POPULATION", "VARIANT_ID")
+    return index.join(names, ["POPULATION", "VARIANT_ID"], "left_anti")
+
+
+def _numbered(variants: DataFrame) -> DataFrame:
+    """``variants`` with _K, which grows with the rank (P, VARIANT_ID), stored."""
+    return checkpointed(variants.orderBy("P", "VARIANT_ID", "POPULATION").withColumn("_K", F.monotonically_increasing_id()))
+
+
+def _between(edges: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
+    """Edges with the numbers _A and _B of their ends; other columns of ``first`` and ``second`` get the same endings."""
+    ends = [
+        side.select("POPULATION", *[F.col(c).alias({"VARIANT_ID": f"ID{end}", "_K": end}.get(c, c + end)) for c in side.columns if c != "POPULATION"])
+        for side, end in ((first, "_A"), (second, "_B"))
+    ]
+    return edges.select("POPULATION", "ID_A", "ID_B").join(ends[0], ["POPULATION", "ID_A"]).drop("ID_A").join(ends[1], ["POPULATION", "ID_B"]).drop("ID_B")
+
+
+def _covered(open_edges: DataFrame) -> DataFrame | None:
+    """(_K): numbers of the variants that a lead covers; edges are (_A, _B), the better first."""
     covered: DataFrame | None = None
     while not open_edges.isEmpty():
-        blocked = open_edges.select("POPULATION", F.col("ID_B").alias("ID_A")).distinct()
-        leading = open_edges.join(blocked, ["POPULATION", "ID_A"], "left_anti")
-        newly = checkpointed(leading.select("POPULATION", F.col("ID_B").alias("VARIANT_ID")).distinct())
-        settled = newly.select("POPULATION", F.col("VARIANT_ID").alias("ID_B"))
-        settled_a = newly.select("POPULATION", F.col("VARIANT_ID").alias("ID_A"))
+        blocked = open_edges.select(F.col("_B").alias("_A")).distinct()
+        newly = checkpointed(open_edges.join(blocked, "_A", "left_anti").select(F.col("_B").alias("_K")).distinct())
+        # All edges of a lead end at variants that it covers, so they go with these.
         open_edges = checkpointed(
-            open_edges.join(blocked, ["POPULATION", "ID_A"], "left_semi")
-            .join(settled, ["POPULATION", "ID_B"], "left_anti")
-            .join(settled_a, ["POPULATION", "ID_A"], "left_anti")
+            open_edges.join(newly.withColumnRenamed("_K", "_A"), "_A", "left_anti").join(newly.withColumnRenamed("_K", "_B"), "_B", "left_anti")
         )
         covered = newly if covered is None else covered.unionByName(newly)
-    return index if covered is None else index.join(covered, ["POPULATION", "VARIANT_ID"], "left_anti")
+    return covered
 
 
 def clump_members(
@@ -58,35 +70,30 @@ def clump_members(
 
     ``variants`` is (POPULATION, CHR, POS, P, VARIANT_ID); ``edges`` carries R
     from index variants to any variant.  A member belongs to its best-ranked
-    neighbouring lead, the one that claims it first in the greedy order.
+    neighbouring lead, the one that claims it first in the greedy order.  Ids meet
+    their variants once; from then on edges are pairs of numbers in the order of rank.
     """
-    usable = variants.filter(S.is_finite("P") & (F.col("P") <= p2)).select("POPULATION", "CHR", "POS", "P", "VARIANT_ID")
-    reach = (
-        edges.filter((F.col("R") * F.col("R") >= r2) & (F.col("ID_A") != F.col("ID_B")))
-        .join(
-            usable.filter(F.col("P") <= p1).select("POPULATION", F.col("VARIANT_ID").alias("ID_A"), F.col("CHR").alias("_CHR"),
-                          F.col("POS").alias("_POS")),
-            ["POPULATION", "ID_A"],
-        )
-        .join(usable.select("POPULATION", F.col("VARIANT_ID").alias("ID_B"), "CHR", "POS"), ["POPULATION", "ID_B"])
-        .filter((F.col("_CHR") == F.col("CHR")) & (F.abs(F.col("_POS") - F.col("POS")) <= kb * 1000))
-        .select("POPULATION", "ID_A", "ID_B")
-    )
-    reach = checkpointed(reach)
+    usable = _numbered(variants.filter(S.is_finite("P") & (F.col("P") <= p2)).select("POPULATION", "CHR", "POS", "P", "VARIANT_ID"))
     index = usable.filter(F.col("P") <= p1)
-    leads = checkpointed(clump_leads(index, reach))
+    linked = edges.filter((F.col("R") * F.col("R") >= r2) & (F.col("ID_A") != F.col("ID_B")))
+    placed = ["POPULATION", "VARIANT_ID", "_K", "CHR", "POS"]
+    near = (F.col("CHR_A") == F.col("CHR_B")) & (F.abs(F.col("POS_A") - F.col("POS_B")) <= kb * 1000)
+    reach = checkpointed(
+        _between(linked, index.select(*placed), usable.select(*placed, (F.col("P") <= p1).alias("_LEADS"))).filter(near).select("_A", "_B", "_LEADS_B")
+    )
+    covered = _covered(reach.filter("_LEADS_B and _A < _B").select("_A", "_B"))
+    leads = checkpointed(index if covered is None else index.join(covered, "_K", "left_anti"))
+    numbers = leads.select("_K")
     claims = (
-        reach.join(leads.select("POPULATION", F.col("VARIANT_ID").alias("ID_A"), F.col("P").alias("_P")), ["POPULATION", "ID_A"])
-        .join(leads.select("POPULATION", F.col("VARIANT_ID").alias("ID_B")), ["POPULATION", "ID_B"], "left_anti")
-        .groupBy("POPULATION", "ID_B")
-        .agg(F.min_by("ID_A", F.struct("_P", "ID_A")).alias("LEAD_VARIANT"))
-        .withColumnRenamed("ID_B", "VARIANT_ID")
+        reach.join(numbers.withColumnRenamed("_K", "_A"), "_A").join(numbers.withColumnRenamed("_K", "_B"), "_B", "left_anti")
+        .groupBy("_B").agg(F.min("_A").alias("_A"))
     )
-    own = leads.select("POPULATION", "VARIANT_ID", F.col("VARIANT_ID").alias("LEAD_VARIANT"))
+    claimed = claims.join(usable.select(F.col("_K").alias("_B"), "VARIANT_ID"), "_B").select("_A", "VARIANT_ID")
+    own = leads.select(F.col("_K").alias("_A"), "VARIANT_ID")
     facts = leads.select(
-        "POPULATION", F.col("VARIANT_ID").alias("LEAD_VARIANT"), "CHR", F.col("POS").alias("LEAD_POS"), F.col("P").alias("LEAD_P")
+        F.col("_K").alias("_A"), "POPULATION", F.col("VARIANT_ID").alias("LEAD_VARIANT"), "CHR", F.col("POS").alias("LEAD_POS"), F.col("P").alias("LEAD_P")
     )
-    return claims.unionByName(own).join(facts, ["POPULATION", "LEAD_VARIANT"])
+    return claimed.unionByName(own).join(facts, "_A").select("POPULATION", "LEAD_VARIANT", "VARIANT_ID", "CHR", "LEAD_POS", "LEAD_P")
 
 
 def clumps(members: DataFrame) -> DataFrame:
