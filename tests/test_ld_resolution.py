@@ -210,3 +210,17 @@ def test_weaker_pairs_of_whole_chromosomes(spark, long_chromosome):
 
 def test_stabilised_pairs_of_whole_chromosomes(spark, long_chromosome):
     agrees_with_sql(spark, long_chromosome, "ld_stabilise")
+
+
+def test_small_sets_take_no_steps(spark, monkeypatch):
+    """Two variants are solved in their row; with steps, as large sets are, the value is the same."""
+    stored, store = [], ld_spectrum.checkpointed
+    monkeypatch.setattr(ld_spectrum, "checkpointed", lambda df: stored.append(df.columns) or store(df))
+    table = spark.createDataFrame([("EUR", "1", 10 * i, f"v{i}", [float((i * k * k) % 3) for k in range(1, 8)]) for i in (1, 2)], DOSAGES)
+    units = ld_blocks.standardise_blocks(ld_blocks.sample_blocks(table, 3)).cache()
+    members = spark.createDataFrame([("s", "EUR", "v1"), ("s", "EUR", "v2")], "SET_ID string, POPULATION string, VARIANT_ID string")
+    value = lambda: [r["MIN_EIGENVALUE"] for r in ld_spectrum.smallest_eigenvalue(members, units).collect()]
+    direct = value()
+    assert len(stored) <= 2
+    monkeypatch.setattr(ld_spectrum, "SMALL", 0)
+    assert len(direct) == 1 and value() == pytest.approx(direct, abs=1e-9)
