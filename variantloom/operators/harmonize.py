@@ -179,11 +179,13 @@ def keep_strongest(
     """One row per key, smallest P first, with explicit tie-breakers.
 
     ``row_number() = 1`` is pruned on the map side (window group limit), so a
-    hot key sends one row per task through the shuffle.
+    hot key sends one row per task through the shuffle.  A hash of the key comes
+    first, so that sorting compares one number for most pairs of rows.
     """
     order = [F.col("P").asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties if t in df.columns]
-    ranked = df.withColumn("_RANK", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.filter(F.col("_RANK") == 1).drop("_RANK")
+    hashed = df.withColumn("_KEY", F.xxhash64(*keys))
+    ranked = hashed.withColumn("_RANK", F.row_number().over(Window.partitionBy("_KEY", *keys).orderBy(*order)))
+    return ranked.filter(F.col("_RANK") == 1).drop("_RANK", "_KEY")
 
 
 def finalize(

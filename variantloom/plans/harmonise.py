@@ -1,10 +1,10 @@
 """From association text to the canonical table and its record, in one run.
 
-The text is parsed once, by the job that writes the table; what the record says of the
-written rows is observed by that same job.  Observed are only rows of the writing stage,
-which Spark counts once however often executors are lost; rows in are counted by their
-lines, which needs no parsing, because a count observed before a shuffle would grow when
-a lost map task is run again.
+The text is parsed once, by a job that stores the rows that pass the quality control and
+observes how many came in and the smallest effect; the next one takes the strongest rows,
+writes the table and observes what the record says of it.  Observed are only rows of a
+writing stage, which Spark counts once however often executors are lost: a count observed
+before a shuffle would grow when a lost map task is run again.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from variantloom.functions import statistics as S
 from variantloom.operators import harmonize
 from variantloom.plans.ordered import exact_median
+from variantloom.session import stored
 from variantloom.sinks.export import write_parquet, write_qc_report
 from variantloom.sources import fasta, text
 
@@ -94,19 +95,18 @@ def harmonise_file(
     harmonize.check_label(analysis.population, analysis.analysis_label)
     if analysis.build not in (None, "GRCh38"):
         raise harmonize.BuildMismatchError(f"{path} is on {analysis.build}; positions are not lifted over here")
-    lines = text.read_lines(spark, path, form)
     raw, heads = text.read_association_files(spark, path, form)
     mapping = heads.orderBy("FILE").first()["MAPPING"]
     derived = harmonize.derive_statistics(raw, analysis.n_cases, analysis.n_controls, analysis.n_total)
-    n_input = None
-    if "BETA" in mapping:
-        # One read tells the smallest effect and the number of rows.
-        low, n_input = derived.agg(F.min(F.when(S.is_finite("BETA"), F.col("BETA"))), F.count(F.lit(1))).first()
+    came = Observation("came")
+    told = derived.observe(came, F.count(F.lit(1)).alias("n"), F.min(F.when(S.is_finite("BETA"), F.col("BETA"))).alias("low"))
+    kept = stored(harmonize.apply_qc(told, min_info=min_info))
+    n_input, low = came.get["n"] or 0, came.get["low"]
     if "BETA" in mapping and (low or 0) > 0:
         harmonize.refuse_odds_ratio_as_beta(derived)  # the median is asked for only where no effect is negative
 
     final = harmonize.finalize(
-        harmonize.apply_qc(derived, min_info=min_info), analysis.study_accession, analysis.trait, analysis.analysis_label, path
+        kept, analysis.study_accession, analysis.trait, analysis.analysis_label, path
     )
     seen = Observation("written")
     share = lambda name: F.avg(F.col(name).isNotNull().cast("double"))
@@ -120,8 +120,6 @@ def harmonise_file(
     write_parquet(harmonize.significant(table, p_threshold), f"{out}/significant")
 
     chi2 = exact_median(table.select((F.col("Z") * F.col("Z")).alias("CHI2")), [], "CHI2").first()
-    if n_input is None:
-        n_input = text.body_lines(lines, heads).count()
     check = {"status": "skipped", "reason": "no reference sequence"}
     if reference is not None:
         bases = fasta.bases(table.filter((F.length("EA") == 1) & (F.length("NEA") == 1)), reference.lines, reference.index)

@@ -26,12 +26,15 @@ def bind(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     The optimizer pushes a filter below a projection by copying the projected
     expressions into the condition, which repeats parsing and casting for every
     mention.  What a generator makes is not copied, while filters on the other
-    columns still go through it to the scan.
+    columns still go through it to the scan.  The expressions stand in a projection
+    below it, which is compiled; the generator only passes their values on.
     """
     kept = [F.col(f"`{name}`") for name in df.columns if name not in columns]
-    return df.select(*kept, F.inline(F.array(F.struct(*[expr.alias(name) for name, expr in columns.items()]))))
+    made = df.select(*kept, *[expr.alias(name) for name, expr in columns.items()])
+    return made.select(*kept, F.inline(F.array(F.struct(*[F.col(f"`{name}`") for name in columns]))))
 
 
+BROADCAST_KEYS = 100_000
 _FINE = 2048.0
 _FINER = 1048576.0
 
@@ -66,8 +69,9 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "MED
 
     Three passes over (keys, value), each a map-side combined count; the first
     two fix their small result, so the data itself is never shuffled.  The
-    windows run over histograms whose size is bounded by the bucket grid.  Give
-    it a stored table (or a checkpoint): it is read three times.
+    windows run over histograms whose size is bounded by the bucket grid.  The small
+    results, two rows a key, are broadcast up to ``BROADCAST_KEYS`` rows; else the size
+    estimates could choose the data for that.  Give it a stored table (or a checkpoint): it is read three times.
     """
     keys = list(keys)
     base = df.select(*keys, F.col(value).cast("double").alias("V")).filter(
@@ -87,9 +91,10 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "MED
     )
     wanted = counts.withColumn("TOTAL", total).select(*keys, "B1", "COUNT", F.inline(halves))
     level1 = checkpointed(_narrow(wanted, slot_keys, "B1"))
-    counts2 = rows.join(level1, [*keys, "B1"]).groupBy(*slot_keys, "RANK", "B1", "B2").agg(F.count("*").alias("COUNT"))
+    few = level1.count() <= BROADCAST_KEYS
+    counts2 = rows.join(F.broadcast(level1) if few else level1, [*keys, "B1"]).groupBy(*slot_keys, "RANK", "B1", "B2").agg(F.count("*").alias("COUNT"))
     level2 = checkpointed(_narrow(counts2, [*slot_keys, "B1"], "B2"))
-    counts3 = rows.join(level2, [*keys, "B1", "B2"]).groupBy(*slot_keys, "RANK", "V").agg(F.count("*").alias("COUNT"))
+    counts3 = rows.join(F.broadcast(level2) if few else level2, [*keys, "B1", "B2"]).groupBy(*slot_keys, "RANK", "V").agg(F.count("*").alias("COUNT"))
     return _narrow(counts3, slot_keys, "V").groupBy(*keys).agg(F.avg("V").alias(out))
 
 

@@ -145,6 +145,32 @@ def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _lines(rows)
 
 
+def _openings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(FILE, HEAD) of first ranges: the first whole line that is neither blank nor ``##``, null without one; blocks after it stay packed."""
+    here, held, head, rows = None, b"", None, []
+    for batch in batches:
+        for i in range(batch.num_rows):
+            file = batch.column(1)[i].as_py()
+            if file != here:
+                if here is not None:
+                    rows.append((here, head))
+                here, held, head = file, b"", None
+            if head is None:
+                for data in _texts(batch.column(0)[i].as_py(), 0):
+                    *lines, held = (held + data).split(b"\n")
+                    head = next((line for line in lines if line.strip(b" \r") and not line.startswith(b"##")), None)
+                    if head is not None:
+                        break
+    if here is not None:
+        rows.append((here, head))
+    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary())], ["FILE", "HEAD"])
+
+
+def bgzf_openings(spark: SparkSession, path: str) -> DataFrame:
+    """(FILE, HEAD): the header line of every file, as far as its first byte range holds it."""
+    return _blocks(spark, path).filter("AT = 0").mapInArrow(_openings, "FILE string, HEAD binary").select("FILE", _text("HEAD").alias("HEAD"))
+
+
 def _lines(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(_LINES)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LINES)], schema=_LINES)
@@ -156,10 +182,14 @@ def _text(data: Column | str) -> Column:
     return F.regexp_replace(F.make_valid_utf8(value.cast("string")), "\r$", "")
 
 
+def _blocks(spark: SparkSession, path: str) -> DataFrame:
+    raw = spark.read.option("encoding", "ISO-8859-1").option("lineSep", HEADER.decode("latin-1")).text(path)
+    return raw.select(F.col("value").cast("binary").alias("block"), F.col("_metadata.file_path").alias("FILE"), F.col("_metadata.file_block_start").alias("AT"))
+
+
 def read_bgzf(spark: SparkSession, path: str) -> DataFrame:
     """(value, FILE, AT, ROW): lines of block-gzip files; AT and ROW put the lines of a file in order."""
-    raw = spark.read.option("encoding", "ISO-8859-1").option("lineSep", HEADER.decode("latin-1")).text(path)
-    blocks = raw.select(F.col("value").cast("binary").alias("block"), F.col("_metadata.file_path").alias("FILE"), F.col("_metadata.file_block_start").alias("AT"))
+    blocks = _blocks(spark, path)
     whole = blocks.mapInArrow(_whole_lines, "FILE string, AT bigint, ROW bigint, BYTES binary").select(_text("BYTES").alias("value"), "FILE", "AT", "ROW")
     # The files are read twice, but only one of the two reads makes rows of lines.
     fragments = blocks.mapInArrow(_borders, "FILE string, AT bigint, ROW bigint, PART int, BYTES binary")
@@ -176,12 +206,12 @@ def read_bgzf(spark: SparkSession, path: str) -> DataFrame:
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = b""
     for batch in batches:
-        blocks = []
-        for line in batch.column(0).to_pylist():
-            held += (line or "").encode() + b"\n"
-            while len(held) >= BLOCK_BYTES:
-                blocks.append(deflate_block(held[:BLOCK_BYTES]))
-                held = held[BLOCK_BYTES:]
+        if not batch.num_rows:
+            continue
+        held += "\n".join([*batch.column(0).fill_null("").to_pylist(), ""]).encode()
+        whole = len(held) // BLOCK_BYTES * BLOCK_BYTES
+        blocks = [deflate_block(held[at : at + BLOCK_BYTES]) for at in range(0, whole, BLOCK_BYTES)]
+        held = held[whole:]
         yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.binary())], ["block"])
     if held:
         yield pa.RecordBatch.from_arrays([pa.array([deflate_block(held)], pa.binary())], ["block"])
