@@ -17,7 +17,7 @@ from variantloom.functions.text import (
     normalize_text,
     slugify,
 )
-from variantloom.session import checkpointed
+from variantloom.session import checkpointed, stored, stored_path
 
 # Match kinds, best first, with their scores.
 MATCH_SCORES = {
@@ -119,6 +119,11 @@ class ResolvedTables:
     summary: DataFrame
 
 
+def by_shuffle(side: DataFrame) -> DataFrame:
+    """The side of a join that grows with the phenotypes or the ontology: never a broadcast, whatever size is estimated for its Parquet."""
+    return side.hint("merge")
+
+
 def descendants(starts: DataFrame, parents: DataFrame) -> DataFrame:
     """(PHENOTYPE, term_id) of all terms below ``starts`` (PHENOTYPE, term_id), these left out.
 
@@ -127,15 +132,24 @@ def descendants(starts: DataFrame, parents: DataFrame) -> DataFrame:
     as many rounds as the ontology has levels; every round is an equi join and an anti
     join, and its result is stored.
     """
-    edges = checkpointed(parents.select(F.col("parent_id").alias("_P"), F.col("term_id").alias("_C")).filter("_P is not null and _C is not null").distinct())
-    first = checkpointed(starts.select("PHENOTYPE", "term_id").distinct())
-    known, edge = first, first
+    edges = stored(parents.select(F.col("parent_id").alias("_P"), F.col("term_id").alias("_C")).filter("_P is not null and _C is not null").distinct())
+    spark, base = starts.sparkSession, stored_path(starts.sparkSession)
+
+    def kept(rows: DataFrame, n: int) -> DataFrame:
+        rows.write.parquet(f"{base}/round={n}")
+        return spark.read.schema(rows.schema).parquet(f"{base}/round={n}")
+
+    rounds, edge = 0, kept(starts.select("PHENOTYPE", "term_id").distinct(), 0)
     while True:
-        found = edge.join(edges, edge["term_id"] == edges["_P"]).select("PHENOTYPE", F.col("_C").alias("term_id")).distinct()
-        edge = checkpointed(found.join(known, ["PHENOTYPE", "term_id"], "left_anti"))
+        # All rounds so far are one scan, so its tasks grow with its size, not with the rounds.
+        known = spark.read.schema(edge.schema).parquet(*[f"{base}/round={n}" for n in range(rounds + 1)])
+        found = edge.join(by_shuffle(edges), edge["term_id"] == edges["_P"]).select("PHENOTYPE", F.col("_C").alias("term_id")).distinct()
+        rounds += 1
+        edge = kept(found.join(by_shuffle(known), ["PHENOTYPE", "term_id"], "left_anti"), rounds)
         if edge.isEmpty():
-            return known.join(first, ["PHENOTYPE", "term_id"], "left_anti")
-        known = known.unionByName(edge)
+            # What a round found was not known before, so the starts are only in round 0.
+            later = [f"{base}/round={n}" for n in range(1, rounds + 1)]
+            return spark.read.schema(edge.schema).parquet(*later)
 
 
 def resolve_terms(
@@ -162,26 +176,26 @@ def resolve_terms(
     spelled = described.select(
         "term_id", "label", "_ORD", F.explode(F.concat(F.array(entry(1, F.col("_LABEL"))), F.transform("_SYN", lambda s: entry(2, s)))).alias("_N")
     ).select("term_id", "label", "_ORD", "_N.TIER", "_N.NAME").filter("NAME <> ''")
-    by_name = asked.join(spelled, "NAME").select("PHENOTYPE", "term_id", "label", "_ORD", "TIER")
+    by_name = asked.join(by_shuffle(spelled), "NAME").select("PHENOTYPE", "term_id", "label", "_ORD", "TIER")
     if pins is not None:
-        named = pins.select("PHENOTYPE", canonical_term_id("term_id").alias("term_id")).distinct().join(asked.select("PHENOTYPE"), "PHENOTYPE", "left_semi")
-        told = named.join(described.select("term_id", "label"), "term_id", "left").select(
+        named = pins.select("PHENOTYPE", canonical_term_id("term_id").alias("term_id")).distinct().join(by_shuffle(asked.select("PHENOTYPE")), "PHENOTYPE", "left_semi")
+        told = named.join(by_shuffle(described.select("term_id", "label")), "term_id", "left").select(
             "PHENOTYPE", "term_id", F.coalesce("label", "term_id").alias("label"), F.lit(0).alias("_ORD"), F.lit(0).alias("TIER")
         )
         by_name = by_name.unionByName(told)
     best = by_name.groupBy("PHENOTYPE").agg(F.min("TIER").alias("TIER"))
     kind = F.when(F.col("TIER") == 0, "user_pinned").when(F.col("TIER") == 1, "exact_label").otherwise("exact_synonym")
-    accepted = checkpointed(
-        by_name.join(best, ["PHENOTYPE", "TIER"]).groupBy("PHENOTYPE", "term_id").agg(
+    accepted = stored(
+        by_name.join(by_shuffle(best), ["PHENOTYPE", "TIER"]).groupBy("PHENOTYPE", "term_id").agg(
             F.min("label").alias("label"), F.min("_ORD").alias("_ORD"), F.first(kind).alias("resolution_type")
         )
     )
     head = accepted.groupBy("PHENOTYPE").agg(F.min(F.struct("_ORD", "term_id", "label", "resolution_type")).alias("_H"))
-    summary = asked.join(head, "PHENOTYPE", "left").select(
+    summary = asked.join(by_shuffle(head), "PHENOTYPE", "left").select(
         "PHENOTYPE", F.coalesce("_H.label", F.trim("PHENOTYPE")).alias("phenotype_canonical"), slugify("PHENOTYPE").alias("phenotype_slug"),
         F.coalesce("_H.resolution_type", F.lit("free_text")).alias("resolution_type"),
     )
-    own = accepted.join(described, "term_id").select("PHENOTYPE", F.explode(F.concat(F.array("_LABEL"), "_SYN")).alias("NAME"), F.lit(False).alias("IS_CANONICAL"))
+    own = accepted.join(by_shuffle(described), "term_id").select("PHENOTYPE", F.explode(F.concat(F.array("_LABEL"), "_SYN")).alias("NAME"), F.lit(False).alias("IS_CANONICAL"))
     chief = summary.select("PHENOTYPE", normalize_text("phenotype_canonical").alias("NAME"), F.lit(True).alias("IS_CANONICAL"))
     names = own.unionByName(chief).unionByName(asked.select("PHENOTYPE", "NAME", F.lit(False).alias("IS_CANONICAL")))
     if user_synonyms is not None:
