@@ -123,3 +123,33 @@ def test_stages_bear_empty_tables_and_clashing_columns(spark, tmp_path):
             out = stage(spark, out, str(tmp_path))
             assert out.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, out, str(tmp_path)).count() == min(1, docs.count())
+
+
+def test_few_links_are_contracted_without_shuffles(spark, monkeypatch):
+    from variantloom.llm import components as module
+
+    rng = random.Random(8)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    frame = spark.createDataFrame(links, "u bigint, v bigint")
+    found, tasks = [], []
+    for few in (0, module.FEW_LINKS):
+        monkeypatch.setattr(module, "FEW_LINKS", few)
+        spark.sparkContext.setJobGroup(f"components-{few}", "test")
+        found.append({r.v: r.c for r in components(frame).collect()})
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"components-{few}")
+        stages = {s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+        tasks.append(len(stages))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found[0] == found[1] and tasks[1] < 0.7 * tasks[0]
+
+
+def test_search_indexes_only_what_queries_hold(monkeypatch):
+    import numpy as np
+
+    made = []
+    sets = [np.arange(k, k + 50) for k in range(40)] + [np.array([3, 4, 5])]
+    real = ngram_jaccard.divide_skip
+    monkeypatch.setattr(ngram_jaccard, "divide_skip", lambda query, lists, *rest: made.append(set(lists)) or real(query, lists, *rest))
+    ngram_jaccard.search_unit(list(range(41)), sets, 40, 80)
+    assert made == [{3, 4, 5}]
+    assert ngram_jaccard.search_unit([1, 2], [np.array([1]), np.array([1])], 2, 80) == ngram_jaccard.search_unit([], [], 0, 80) == []

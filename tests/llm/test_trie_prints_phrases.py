@@ -286,3 +286,21 @@ def test_bitmap_keeps_what_it_holds(spark):
     near = common.may_hold(spark.range(5000), F.xxhash64("id"), common.bitmap(held))
     ids = {r.id for r in near.collect()}
     assert ids >= set(range(500)) and len(ids) < 520
+
+
+def test_edited_texts_are_read_on_from_their_beginning():
+    """The words of the first three quarters are hashed once for a text and its edited text, with the same fingerprints."""
+    texts = ["", "a", "a b", "ab  ", "  ab", "a b c d", "a b c d e", "ÉÉ é ñ X", "\x0bA\x0c b\r\n c", "x" * 50, " " * 7, *(t or "" for _, t in near_documents()[::9])]
+    for text, after in itertools.product(texts, texts[::3]):
+        begun = minhash.begun(text)
+        assert begun[:3] == minhash.fingerprint(text)
+        told = minhash._told((1, text, *begun), (2, after, *minhash.fingerprint(after)))
+        assert told[5] == minhash.fingerprint(minhash.edited(text, after))[0]
+    read = []
+    with pytest.MonkeyPatch.context() as patch:
+        blocks = minhash.word_blocks
+        patch.setattr(minhash, "word_blocks", lambda body: read.append(len(body)) or blocks(body))
+        text = "a b c d " * 100
+        row = (1, text, *minhash.begun(text))
+        minhash._told(row, (2, "e " * 400, *minhash.fingerprint("e")))
+    assert sum(read) <= 1.3 * len(text)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from variantloom.llm.common import Stored
 
+FEW_LINKS = 100_000  # of 16 bytes each
+
 
 def components(links: DataFrame) -> DataFrame:
     """(v, c) for every end of a link (u, v): the smallest vertex reachable from it.
@@ -16,16 +18,20 @@ def components(links: DataFrame) -> DataFrame:
     component keeps its name, so it is what remains.  With names in no order along the
     links, as hashes are, a round leaves about a third of the vertices.  All steps are
     partial aggregates and joins over stored tables: nothing is gathered, whatever the
-    number of links of a vertex.
+    number of links of a vertex.  Once at most ``FEW_LINKS`` are left, far less than one
+    task's share of a large table, a round is one partition that needs no shuffle.
     """
     both = links.select("u", "v").unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     edges = Stored(both.filter("u <> v").distinct())
     labels = Stored(both.select("v", F.col("v").alias("c")).distinct())
-    while edges.frame.limit(1).count():
-        lower = edges.frame.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("to"))
+    while left := edges.frame.count():
+        few = left <= FEW_LINKS
+        links = edges.frame.coalesce(1) if few else edges.frame
+        lower = links.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("to"))
         of = lambda name, to: lower.select(F.col("v").alias(name), F.col("to").alias(to))
-        moved = edges.frame.join(of("u", "x"), "u").join(of("v", "y"), "v").filter("x <> y")
-        renamed = Stored(labels.frame.join(of("c", "to"), "c", "left").select("v", F.coalesce("to", "c").alias("c")))
+        moved = links.join(of("u", "x"), "u").join(of("v", "y"), "v").filter("x <> y")
+        names = F.broadcast(of("c", "to")) if few else of("c", "to")
+        renamed = Stored(labels.frame.join(names, "c", "left").select("v", F.coalesce("to", "c").alias("c")))
         contracted = Stored(moved.select(F.col("x").alias("u"), F.col("y").alias("v")).distinct())
         for old in (labels, edges):
             old.drop()

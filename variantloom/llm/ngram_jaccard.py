@@ -35,12 +35,12 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import groupby
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -131,11 +131,19 @@ def divide_skip(query: np.ndarray, lists: dict[int, list[int]], least: int, acce
 
 
 def search_unit(names: list[int], sets: list[np.ndarray], n_index: int, percent: int) -> list[tuple[int, int]]:
-    """Links between queries and the first ``n_index`` sets, the index; only those that join two parts of the unit."""
+    """Links between queries and the first ``n_index`` sets, the index; only those that join two parts of the unit.
+
+    Lists are made of the tokens that a query holds: no other is looked up.
+    """
+    if not 0 < n_index < len(sets):
+        return []
     lists: dict[int, list[int]] = {}
-    for member in range(n_index):
-        for t in sets[member].tolist():
-            lists.setdefault(t, []).append(member)
+    asked, tokens = np.unique(np.concatenate(sets[n_index:])), np.concatenate(sets[:n_index])
+    at = np.searchsorted(asked, tokens)
+    hit = asked[np.minimum(at, len(asked) - 1)] == tokens
+    member_of = np.repeat(np.arange(n_index), [len(s) for s in sets[:n_index]])
+    for t, member in zip(tokens[hit].tolist(), member_of[hit].tolist()):
+        lists.setdefault(t, []).append(member)
     part = {name: name for name in names}
 
     def top(x: int) -> int:
@@ -159,13 +167,28 @@ def search_unit(names: list[int], sets: list[np.ndarray], n_index: int, percent:
 def search_units(members: DataFrame, tokens: DataFrame, keys: list[str], percent: int) -> DataFrame:
     """Links (u, v) found in every unit of ``members`` (keys, a, query)."""
 
-    def search(unit: pd.DataFrame) -> pd.DataFrame:
-        unit = unit.sort_values(["query", "a"])
-        names, sets = unit["a"].tolist(), [np.asarray(s, np.int64) for s in unit["s"]]
-        links = search_unit(names, sets, int((~unit["query"]).sum()), percent)
-        return pd.DataFrame(links, columns=["u", "v"], dtype="int64")
-
-    return members.join(tokens, "a").groupBy(*keys).applyInPandas(search, "u bigint, v bigint")
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, names, sets, n_index, links = None, [], [], 0, []
+        for batch in batches:
+            *key, query, name, s = batch.columns
+            values, ends = s.values.to_numpy(), s.offsets.to_numpy()
+            for i, (unit, asks, a) in enumerate(zip(zip(*(k.to_pylist() for k in key)), query.to_pylist(), name.to_pylist())):
+                if unit != here:
+                    links += search_unit(names, sets, n_index, percent)
+                    here, names, sets, n_index = unit, [], [], 0
+                names.append(a)
+                sets.append(values[ends[i] : ends[i + 1]])
+                n_index += not asks
+            yield told(links)
+            links = []
+        yield told(search_unit(names, sets, n_index, percent))
+
+    def told(links: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], ["u", "v"])
+
+    # Most units are a few sets, so a task reads its units one after the other, in order, as a stream.
+    whole = members.join(tokens, "a").select(*keys, "query", "a", "s").repartition(*keys)
+    return whole.sortWithinPartitions(*keys, "query", "a").mapInArrow(search, "u bigint, v bigint")
 
 
 def _size_fits(x: Column, y: Column, percent: int) -> Column:
