@@ -177,3 +177,23 @@ def test_decontamination(spark):
     assert got == want and len(want) > 10
     clean = {r.doc_id for r in decontaminate.decontaminate(docs, bench).collect()}
     assert clean == {i for i, _ in rows} - {i for i, _ in want}
+
+
+def test_variants_are_counted_by_one_hash(spark, monkeypatch):
+    """The count of variants hashes every line once, with the first of the two hashes that the variants carry."""
+    texts = ["a b c d e f g h", "a  b\tc d e\x0bf g h ", "x " * 9, "é ñ", "one"]
+    w = line_dedup.line_words(F.col("text"))
+    rows = H.documents(spark, list(enumerate(texts))).select(
+        w.alias("w"), line_dedup.deletion_hashes(w).alias("single"), line_dedup.variant_hashes(w).getField("v1").alias("v1"), line_dedup.half_keys(w).alias("halves")
+    )
+    for text, r in zip(texts, rows.collect()):
+        assert r.w == H.words(text) and r.single == r.v1 and len(r.v1) == len(r.w) + 1
+        assert len(r.halves) == (2 if len(r.w) % 2 else 4)
+    seen = []
+    real = line_dedup.Stored
+    monkeypatch.setattr(line_dedup, "Stored", lambda df: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df))
+    lines = [(1, texts[0]), (2, texts[0] + "x")]
+    active = H.documents(spark, lines).select(F.col("doc_id").alias("id"), F.lit(1).alias("th"), F.lit(0).alias("i"), line_dedup.words(F.col("text")).alias("w"))
+    found = line_dedup.variants(active).collect()
+    assert {r.at for r in found} == {7} and len(found) == 2
+    assert seen[0].count("transform(w#") == 2

@@ -26,6 +26,8 @@ stay as they are.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,12 @@ def occurrences(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return base.filter(has_word(F.col("line")))
 
 
+def line_words(line: Column) -> Column:
+    """:func:`words` of a line that is not null; without tabs and rare breaks it is cut at single blanks, which needs no pattern."""
+    rare = reduce(Column.__or__, [F.contains(line, F.lit(c)) for c in "\t\n\x0b\f\r"])
+    return F.when(rare, words(line)).otherwise(F.array_remove(F.split(line, " "), ""))
+
+
 def half_keys(w: Column) -> Column:
     """Keys of the first and last half, for a partner as long as, or longer by one than, the line."""
     n = F.size(w)
@@ -57,15 +65,16 @@ def half_keys(w: Column) -> Column:
         part = F.slice(w, F.lit(1), h) if side == 0 else F.slice(w, n - h + 1, h)
         return F.xxhash64(F.lit(side), h, part)
 
-    short, long = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
-    return F.array_distinct(F.array(key(short, 0), key(short, 1), key(long, 0), key(long, 1)))
+    long = F.floor(n / 2).cast("int")
+    both = lambda h: (key(h, 0), key(h, 1))
+    return F.when(n % 2 == 1, F.array(*both(long))).otherwise(F.array(*both(long - 1), *both(long)))  # (n - 1) // 2 and n // 2
 
 
 def distinct_lines(lines: DataFrame, min_words: int) -> DataFrame:
     """(k1, k2, first, n, halves): each different line once, at its earliest place."""
     k1, k2 = _hash2(F.col("w"))
     n = F.size("w")
-    keyed = lines.select("id", "th", "i", words(F.col("line")).alias("w")).select(
+    keyed = lines.select("id", "th", "i", line_words(F.col("line")).alias("w")).select(
         k1.alias("k1"), k2.alias("k2"), F.struct("id", "th", "i").alias("place"), n.alias("n"),
         F.when(n >= min_words, half_keys(F.col("w"))).alias("halves"),
     )
@@ -121,29 +130,29 @@ def prefix_xor(values: Column) -> Column:
     return let(run, with_run)
 
 
-def variant_hashes(w: Column) -> Column:
-    """(len, v1, v2, at) of the line itself (at = -1) and of all its one-word deletions.
+def deletion_hashes(w: Column, *seed: Column) -> Column:
+    """Hashes of all one-word deletions, then that of the whole line.
 
     A hash is the exclusive or of (word, place) hashes.  Without word i it is that of the
     words before i at their places and of the words behind it one place further left.
     """
+    own = F.transform(w, lambda x, i: F.xxhash64(*seed, x, i))
+    left = F.transform(w, lambda x, i: F.xxhash64(*seed, x, i - 1))
+    total = lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda t, x: t.bitwiseXOR(x))
 
-    def one(seed: list[Column]) -> Column:
-        """Hashes of all deletions, then that of the whole line."""
-        own = F.transform(w, lambda x, i: F.xxhash64(*seed, x, i))
-        left = F.transform(w, lambda x, i: F.xxhash64(*seed, x, i - 1))
-        total = lambda v: F.aggregate(v, F.lit(0).cast("long"), lambda t, x: t.bitwiseXOR(x))
+    def cut(o: Column, m: Column) -> Column:
+        change = F.zip_with(o, m, lambda x, y: x.bitwiseXOR(y))
+        without = let(total(m), lambda t: F.zip_with(let(change, prefix_xor), m, lambda before, x: before.bitwiseXOR(t).bitwiseXOR(x)))
+        return F.concat(without, F.array(total(o)))
 
-        def cut(o: Column, m: Column) -> Column:
-            change = F.zip_with(o, m, lambda x, y: x.bitwiseXOR(y))
-            without = let(total(m), lambda t: F.zip_with(let(change, prefix_xor), m, lambda before, x: before.bitwiseXOR(t).bitwiseXOR(x)))
-            return F.concat(without, F.array(total(o)))
+    return let(own, lambda o: let(left, lambda m: cut(o, m)))
 
-        return let(own, lambda o: let(left, lambda m: cut(o, m)))
 
+def variant_hashes(w: Column) -> Column:
+    """(len, v1, v2, at) of the line itself (at = -1) and of all its one-word deletions."""
     n = F.size(w)
     named = lambda v1: F.transform(v1, lambda x, i: F.struct(F.when(i < n, n - 1).otherwise(n).alias("len"), x.alias("v1"), F.when(i < n, i).otherwise(-1).alias("at")))
-    return F.zip_with(let(one([]), named), one([F.lit(1)]), lambda s, v2: F.struct(s["len"].alias("len"), s["v1"].alias("v1"), v2.alias("v2"), s["at"].alias("at")))
+    return F.zip_with(let(deletion_hashes(w), named), deletion_hashes(w, F.lit(1)), lambda s, v2: F.struct(s["len"].alias("len"), s["v1"].alias("v1"), v2.alias("v2"), s["at"].alias("at")))
 
 
 def variants(active: DataFrame) -> DataFrame:
@@ -152,8 +161,9 @@ def variants(active: DataFrame) -> DataFrame:
     What occurs once, nearly everything, is told by counts of single hashes, so that
     only those and not the variants with their lines are shuffled.
     """
+    single = F.explode(deletion_hashes(F.col("w"))).alias("v1")
+    again = Stored(active.select(single).groupBy("v1").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("v1")).frame
     each = active.select(F.struct("id", "th", "i").alias("ord"), F.explode(variant_hashes(F.col("w"))).alias("v")).select("v.*", "ord")
-    again = Stored(each.groupBy("v1").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("v1")).frame
     return each.join(F.broadcast(again) if again.count() <= BROADCAST_PLACES else again, "v1")
 
 
@@ -195,7 +205,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
         holding = docs.join(places, docs[doc_id].eqNullSafe(places["id"]) & (F.xxhash64(docs[text]) == places["th"]), "left_semi")
         again = occurrences(holding, doc_id, text)
         fetched = again.join(places, at(again, places), "left_semi")
-    active = Stored(fetched.dropDuplicates(["id", "th", "i"]).select("id", "th", "i", words(F.col("line")).alias("w"))).frame
+    active = Stored(fetched.dropDuplicates(["id", "th", "i"]).select("id", "th", "i", line_words(F.col("line")).alias("w"))).frame
     close = close_lines(active)
     active = Stored(active.join(close, at(active, close), "left_semi")).frame
     pairs = earliest_partners(Stored(variants(active)).frame)
