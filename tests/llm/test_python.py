@@ -7,6 +7,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm import helpers as H
@@ -198,6 +199,37 @@ def test_chat(spark):
     assert chat_format.format_conversations(df.limit(0)).count() == 0
 
 
+def test_chat_is_a_stream_of_bounded_batches(spark):
+    encoder = chat_format.load_encoder(chat_format.tokenizer_file())
+    longest = []
+
+    class Watched:
+        def encode(self, text, **more):
+            longest.append(len(text))
+            return encoder.encode(text, **more)
+
+    # One batch of Spark with many conversations, the last of them very long.
+    rows = [(c, "user" if t % 2 else "assistant", f"turn {t} of {c}") for c in range(2500) for t in range(2)]
+    rows += [(9999, "assistant" if t % 2 else "user", "words " * 200) for t in range(2000)]
+    given = pa.RecordBatch.from_pylist([dict(zip(("conv_id", "role", "text"), r, strict=True)) for r in rows])
+    out = list(chat_format.encode_turns(iter([given]), Watched(), 50_000))
+    assert max(longest) < 1300 and max(len(b) for b in out) <= chat_format.BATCH_ROWS
+    assert max(sum(map(len, b.column("formatted").to_pylist())) for b in out) <= chat_format.BATCH_CHARS + 52_000
+    pieces = [(r["piece"], len(r["formatted"])) for b in out for r in b.to_pylist() if r["conv_id"] == 9999]
+    assert len(pieces) > 40 and [p for p, _ in pieces] == list(range(len(pieces))) and max(n for _, n in pieces) < 52_000
+    # Pieces tell what whole conversations tell, and have the tokens of the whole text.
+    rows = [(c if c else None, t, "assistant" if t % 3 else None, f"</s>[INST] é🎉 {t} " * (t % 7)) for c in range(12) for t in range(40)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    whole = chat_format.format_conversations(df)
+    cut = chat_format.format_pieces(df, piece_chars=300)
+    assert cut.count() > 100
+    told = {tuple(r) for r in chat_format.digests(whole).collect()}
+    assert len(told) == 12 and told == {tuple(r) for r in chat_format.digests(cut).collect()}
+    for r in whole.collect():
+        at_once = encoder.encode(r.formatted, add_special_tokens=False)
+        assert at_once.ids == r.token_ids and at_once.offsets == list(zip(r.token_start, r.token_end, strict=True))
+
+
 def test_toxicity_held_out(spark):
     rng = random.Random(9)
     bad = ("zorgplat", "quixmuddle")

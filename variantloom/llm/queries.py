@@ -83,7 +83,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], rows.schema)
-    return chat_format.digests(chat_format.format_conversations(rows.unionByName(probe)))
+    return chat_format.digests(chat_format.format_pieces(rows.unionByName(probe)))
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
