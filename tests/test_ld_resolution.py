@@ -42,6 +42,25 @@ def test_pairs_from_blocks_are_those_from_whole_vectors(spark, size, monkeypatch
     assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
+def test_products_of_a_pair_stay_in_their_task(spark, monkeypatch):
+    units = ld_blocks.standardise_blocks(ld_blocks.sample_blocks(spark.createDataFrame(panel(), DOSAGES), 5), max_missing=0.2).cache()
+    edges = ld_blocks.ld_edges_blocked(units, min_r2=0.2)
+    plan = edges._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "InPandas" not in plan  # nothing but vectors is dealt out
+    # What leaves a pair of tiles comes in bounded batches, whatever their size.
+    monkeypatch.setattr(ld_blocks, "CELLS", 1000)
+    rng = np.random.default_rng(2)
+    values = rng.normal(size=(300, 4))
+    pair = ld_blocks._Pair(("EUR", "1", 0, 0, 0, 0))
+    pair.name(0, [f"v{k}" for k in range(300)], list(range(300)))
+    for block in (0, 1):
+        pair.multiply(0, block, 300, np.arange(300), values[:, 2 * block : 2 * block + 2].ravel())
+    out = list(pair.edges(0.0, None))
+    assert max(len(b) for b in out) <= 1000 and sum(len(b) for b in out) == 300 * 299 // 2
+    got = {(r["ID_A"], r["ID_B"]): r["R"] for b in out for r in b.to_pylist()}
+    assert all(a < b and abs(r - values[int(a[1:])] @ values[int(b[1:])]) < 1e-9 for (a, b), r in got.items())
+
+
 def test_single_calls_make_the_same_blocks(spark):
     rows = panel(12, 23)
     table = spark.createDataFrame(rows, DOSAGES)

@@ -5,25 +5,29 @@ samples, so no row holds all samples of a panel.  Frequencies and norms are aggr
 over the blocks of a variant.  Variants are ranked by position and cut into tiles of a
 size in bytes; two tiles are multiplied only where they have variants within the window,
 which their first and last positions tell before any vector moves.  A pair of tiles is
-one matrix product for each block; the products of a pair are summed by shuffles, 32 at a
-time, and what reaches the floor leaves the sum.
+one matrix product for each block: the blocks of a pair come to one task in order, which
+adds their products up as they come, so vectors are shuffled and not products, and a task
+holds one pair.  What reaches the floor leaves the sum in batches of bounded size.  Only
+where a pair has very many blocks do several tasks add them up, and their sums meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from variantloom.plans.ordered import prefix_scan
-from variantloom.session import checkpointed
+from variantloom.session import checkpointed, small_batches
 
 VARIANT = ["POPULATION", "CHR", "POS", "VARIANT_ID"]
 TILE_BYTES = 4 << 20
-SUM_WIDTH = 32  # products of one pair that meet in a group
+TILE_MOST = 2048  # variants of a tile: the products of a pair take 32 MB at the most
+SUM_WIDTH = 32  # blocks of one pair that a task adds up, at least
+CELLS = 1 << 17  # pairs of variants that are looked at together
 
 
 def sample_blocks(dosages: DataFrame, size: int = 4096) -> DataFrame:
@@ -103,64 +107,126 @@ def tile_pairs(placed: DataFrame, window_bp: int | None) -> DataFrame:
 
 PAIR = ["POPULATION", "CHR", "BIN_A", "TILE_A", "BIN_B", "TILE_B"]
 _PAIR_TYPES = "POPULATION string, CHR string, BIN_A bigint, TILE_A bigint, BIN_B bigint, TILE_B bigint"
-
-
-def _products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One matrix product for a pair of tiles in a block, as rows of the larger picture."""
-    for batch in batches:
-        grams = []
-        for slots_a, values_a, slots_b, values_b, n_a, n_b in zip(batch["SLOTS_A"], batch["VALUES_A"], batch["SLOTS_B"], batch["VALUES_B"], batch["N_A"], batch["N_B"]):
-            gram = np.zeros((n_a, n_b))
-            left = np.asarray(values_a, float).reshape(len(slots_a), -1)
-            right = np.asarray(values_b, float).reshape(len(slots_b), -1)
-            gram[np.ix_(slots_a, slots_b)] = left @ right.T
-            grams.append(gram.tobytes())
-        yield batch[[*PAIR, "BLOCK"]].assign(GRAM=grams)
-
-
-def _add(group: pd.DataFrame) -> pd.DataFrame:
-    total = np.sum([np.frombuffer(g) for g in group["GRAM"]], axis=0)
-    return group[[*PAIR, "BLOCK"]].head(1).assign(GRAM=[total.tobytes()])
-
-
-def _edges(min_r2: float, window_bp: int | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_EDGE_TYPES = "POPULATION string, ID_A string, ID_B string, R double"
+
+
+class _Pair:
+    """The names and the summed products of one pair of tiles, whose rows come one after the other."""
+
+    def __init__(self, key: tuple):
+        self.key, self.same = key, key[2:4] == key[4:6]
+        self.ids, self.positions = [[], []], [[], []]
+        self.block, self.left, self.gram = None, None, None
+
+    def name(self, side: int, ids: list, positions: list) -> None:
+        self.ids[side], self.positions[side] = ids, positions
+        if self.same:
+            self.ids[1], self.positions[1] = ids, positions
+
+    def multiply(self, side: int, block: int, n: int, slots: np.ndarray, values: np.ndarray) -> None:
+        """The first tile's vectors of a block are held until the second's come."""
+        given = n, slots, values.reshape(len(slots), -1)
+        if side == 0:
+            self.block, self.left = block, given
+        if (side == 1 or self.same) and self.left is not None and self.block == block:
+            (n_a, slots_a, left), (n_b, slots_b, right) = self.left, given
+            if self.gram is None:
+                self.gram = np.zeros((n_a, n_b))
+            if len(slots_a) == n_a and len(slots_b) == n_b:  # sorted, so each slot is at its place
+                self.gram += left @ right.T
+            else:
+                self.gram[np.ix_(slots_a, slots_b)] += left @ right.T
+
+    def add(self, gram: bytes) -> None:
+        part = np.frombuffer(gram)
+        if self.gram is None:
+            self.gram = np.zeros(part.shape)
+        self.gram += part.reshape(self.gram.shape)
+
+    def partial(self) -> Iterator[pa.RecordBatch]:
+        if self.gram is not None:
+            names = [*PAIR, "GRAM"]
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*self.key, self.gram.tobytes())], names)
+
+    def edges(self, min_r2: float, window_bp: int | None) -> Iterator[pa.RecordBatch]:
+        """What reaches the floor, a bounded number of cells at a time."""
+        n_a, n_b = map(len, self.ids)
+        if not (n_a and n_b):
+            return
+        gram = np.zeros((n_a, n_b)) if self.gram is None else self.gram.reshape(n_a, n_b)
+        names = pa.array([*self.ids[0], *self.ids[1]], pa.string())
+        rank = np.unique(np.asarray([*self.ids[0], *self.ids[1]], object), return_inverse=True)[1]
+        low, high = (np.asarray(x) for x in self.positions)
+        step = max(1, CELLS // n_b)
+        for top in range(0, n_a, step):
+            r = gram[top : top + step]
+            wanted = r * r >= min_r2
+            if window_bp is not None:
+                wanted &= np.abs(low[top : top + step, None] - high[None, :]) <= window_bp
+            if self.same:
+                wanted &= np.arange(top, top + len(r))[:, None] < np.arange(n_b)[None, :]
+            i, j = np.nonzero(wanted)
+            first, second = i + top, j + n_a
+            swap = rank[first] > rank[second]
+            ends = names.take(pa.array(np.where(swap, second, first))), names.take(pa.array(np.where(swap, first, second)))
+            population = pa.repeat(pa.scalar(self.key[0], pa.string()), len(i))
+            yield pa.RecordBatch.from_arrays([population, *ends, pa.array(r[i, j])], ["POPULATION", "ID_A", "ID_B", "R"])
+
+
+def _by_pair(give: Callable[[_Pair], Iterator[pa.RecordBatch]], parts: Sequence[str] = ()):
+    """Rows sorted by pair (and part), block and side as a stream: one pair is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pair = None, None
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                ids_a, ids_b = np.asarray(row.IDS_A), np.asarray(row.IDS_B)
-                r = np.frombuffer(row.GRAM).reshape(len(ids_a), len(ids_b))
-                wanted = r * r >= min_r2
-                if window_bp is not None:
-                    wanted &= np.abs(np.asarray(row.POSITIONS_A)[:, None] - np.asarray(row.POSITIONS_B)[None, :]) <= window_bp
-                if (row.BIN_A, row.TILE_A) == (row.BIN_B, row.TILE_B):
-                    wanted &= np.triu(np.ones(r.shape, bool), 1)
-                i, j = np.nonzero(wanted)
-                swap = ids_a[i] > ids_b[j]
-                yield pd.DataFrame(
-                    {"POPULATION": row.POPULATION, "ID_A": np.where(swap, ids_b[j], ids_a[i]), "ID_B": np.where(swap, ids_a[i], ids_b[j]), "R": r[i, j]}
-                )
+            keys = list(zip(*(batch.column(c).to_pylist() for c in (*PAIR, *parts)), strict=True))
+            blocks, sides, sizes = (batch.column(c).to_pylist() for c in ("BLOCK", "SIDE", "N"))
+            for k, key in enumerate(keys):
+                if key != at:
+                    if pair is not None:
+                        yield from give(pair)
+                    at, pair = key, _Pair(key[: len(PAIR)])
+                if batch.column("GRAM")[k].is_valid:
+                    pair.add(batch.column("GRAM")[k].as_buffer())
+                elif blocks[k] < 0:
+                    pair.name(sides[k], batch.column("IDS")[k].as_py(), batch.column("POSITIONS")[k].as_py())
+                else:
+                    slots, values = (batch.column(c)[k].values.to_numpy() for c in ("SLOTS", "VALUES"))
+                    pair.multiply(sides[k], blocks[k], sizes[k], slots, values)
+        if pair is not None:
+            yield from give(pair)
 
     return run
 
 
-def grams(units: DataFrame, placed: DataFrame, pairs: DataFrame, n_blocks: int) -> DataFrame:
-    """(pair, GRAM): the summed products of every pair of tiles."""
+def _pair_rows(units: DataFrame, placed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Everything a pair of tiles needs, as rows of bounded size: SIDE 0 for its first tile and 1 for its second.
+
+    BLOCK -1 has the names of a tile, the others its vectors in a block.  The two tiles of
+    a pair may be one, which then comes once.
+    """
     key = ["POPULATION", "CHR", "BIN", "TILE"]
+    named = placed.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("SLOT", "VARIANT_ID", "POS"))).alias("_V"))
+    names = named.select(
+        *key, F.lit(-1).alias("BLOCK"), F.size("_V").alias("N"), F.lit(None).cast("array<int>").alias("SLOTS"), F.lit(None).cast("array<double>").alias("VALUES"),
+        F.col("_V.VARIANT_ID").alias("IDS"), F.col("_V.POS").alias("POSITIONS"),
+    )
     packed = units.join(placed.select("POPULATION", "VARIANT_ID", "BIN", "TILE", "SLOT"), ["POPULATION", "VARIANT_ID"]).groupBy(*key, "BLOCK").agg(
         F.sort_array(F.collect_list(F.struct("SLOT", "UNIT"))).alias("_ROWS")
     )
     sizes = placed.groupBy(*key).agg(F.count("*").cast("int").alias("N"))
-    tiles = packed.join(sizes, key).select(*key, "BLOCK", "N", F.col("_ROWS.SLOT").alias("SLOTS"), F.flatten("_ROWS.UNIT").alias("VALUES"))
-    side = lambda s: tiles.select("POPULATION", "CHR", *[F.col(c).alias(f"{c}_{s}") for c in ("BIN", "TILE", "N", "SLOTS", "VALUES")], "BLOCK")
-    # A tile meets its partners in every block: both joins spread over tiles and blocks.
-    both = pairs.join(side("A"), ["POPULATION", "CHR", "BIN_A", "TILE_A"]).join(side("B"), ["POPULATION", "CHR", "BIN_B", "TILE_B", "BLOCK"])
-    partial = both.mapInPandas(_products, f"{_PAIR_TYPES}, BLOCK int, GRAM binary")
-    while n_blocks > 1:
-        # The blocks of a group become one, which has the group's number.
-        n_blocks = -(-n_blocks // SUM_WIDTH)
-        partial = partial.withColumn("BLOCK", F.expr(f"BLOCK div {SUM_WIDTH}").cast("int"))
-        partial = partial.groupBy(*PAIR, "BLOCK").applyInPandas(_add, f"{_PAIR_TYPES}, BLOCK int, GRAM binary")
-    return partial.drop("BLOCK")
+    vectors = packed.join(sizes, key).select(
+        *key, F.col("BLOCK").cast("int").alias("BLOCK"), "N", F.col("_ROWS.SLOT").alias("SLOTS"), F.flatten("_ROWS.UNIT").alias("VALUES"),
+        F.lit(None).cast("array<string>").alias("IDS"), F.lit(None).cast("array<bigint>").alias("POSITIONS"),
+    )
+    side = lambda s, n: pairs.select("POPULATION", "CHR", F.col(f"BIN_{s}").alias("BIN"), F.col(f"TILE_{s}").alias("TILE"), *PAIR[2:], F.lit(n).alias("SIDE"))
+    apart = (F.col("BIN_A") != F.col("BIN_B")) | (F.col("TILE_A") != F.col("TILE_B"))
+    roles = side("A", 0).unionByName(side("B", 1).filter(apart))
+    return vectors.unionByName(names).join(roles, key).withColumn("GRAM", F.lit(None).cast("binary")).drop("BIN", "TILE")
+
+
+def _met(rows: DataFrame, parts: Sequence[str] = ()) -> DataFrame:
+    return rows.repartition(*PAIR, *parts).sortWithinPartitions(*PAIR, *parts, "BLOCK", "SIDE")
 
 
 def ld_edges_blocked(units: DataFrame, min_r2: float = 0.1, window_bp: int | None = 1_000_000, tile_bytes: int = TILE_BYTES) -> DataFrame:
@@ -170,11 +236,14 @@ def ld_edges_blocked(units: DataFrame, min_r2: float = 0.1, window_bp: int | Non
     """
     facts = units.agg(F.max(F.size("UNIT")).alias("size"), F.max("BLOCK").alias("top")).first()
     if facts["size"] is None:
-        return units.sparkSession.createDataFrame([], "POPULATION string, ID_A string, ID_B string, R double")
-    tile = max(16, min(512, tile_bytes // (8 * facts["size"])))
+        return units.sparkSession.createDataFrame([], _EDGE_TYPES)
+    small_batches(units.sparkSession)
+    tile = max(16, min(TILE_MOST, tile_bytes // (8 * max(1, facts["size"]))))
     placed = position_tiles(units, window_bp, tile)
-    summed = grams(units, placed, tile_pairs(placed, window_bp), facts["top"] + 1)
-    names = placed.groupBy("POPULATION", "CHR", "BIN", "TILE").agg(F.sort_array(F.collect_list(F.struct("SLOT", "VARIANT_ID", "POS"))).alias("_V"))
-    side = lambda s: names.select("POPULATION", "CHR", F.col("BIN").alias(f"BIN_{s}"), F.col("TILE").alias(f"TILE_{s}"), F.col("_V.VARIANT_ID").alias(f"IDS_{s}"), F.col("_V.POS").alias(f"POSITIONS_{s}"))
-    named = summed.join(side("A"), ["POPULATION", "CHR", "BIN_A", "TILE_A"]).join(side("B"), ["POPULATION", "CHR", "BIN_B", "TILE_B"])
-    return named.mapInPandas(_edges(min_r2, window_bp), "POPULATION string, ID_A string, ID_B string, R double")
+    rows = _pair_rows(units, placed, checkpointed(tile_pairs(placed, window_bp)))
+    width = max(SUM_WIDTH, tile // max(1, facts["size"]))  # a sum is no larger than the vectors of its blocks
+    if facts["top"] + 1 > width:
+        named, vectors = rows.filter("BLOCK < 0"), rows.filter("BLOCK >= 0").withColumn("PART", F.expr(f"BLOCK div {width}"))
+        sums = _met(vectors, ["PART"]).mapInArrow(_by_pair(_Pair.partial, ["PART"]), f"{_PAIR_TYPES}, GRAM binary")
+        rows = named.unionByName(sums.withColumns({"BLOCK": F.lit(0), "SIDE": F.lit(0)}), allowMissingColumns=True)
+    return _met(rows).mapInArrow(_by_pair(lambda pair: pair.edges(min_r2, window_bp)), _EDGE_TYPES)
