@@ -109,6 +109,21 @@ def test_stabilise(spark):
         ld.stabilise(table.withColumn("R", F.lit(float("nan")))).collect()
 
 
+def test_stabilise_of_single_pairs_shuffles_nothing(spark):
+    rng = np.random.default_rng(9)
+    ids = [f"v{i:02d}" for i in range(25)]
+    units = ld.standardise(units_of(spark, rng.integers(0, 3, (25, 12)).astype(float), ids)).cache()
+    found = ld.ld_edges(units, min_r2=0.05, tile=4, spread=2)
+    edges = spark.createDataFrame(found.collect(), found.schema)
+    assert edges.count() == edges.select("ID_A", "ID_B").distinct().count() > 50
+    both = {tuple(r) for r in ld.stabilise(ld.both_ways(edges)).collect()}
+    once = ld.stabilise(edges, once=True)
+    assert both == {tuple(r) for r in once.collect()}
+    assert "Aggregate" not in once._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="non-finite"):
+        ld.stabilise(edges.withColumn("R", F.lit(float("nan"))), once=True).collect()
+
+
 def sequential_finemap(z, r, coverage=0.95, effects=10, v=0.2):
     residual, alphas = z.copy(), []
     for _ in range(min(effects, len(z))):
