@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -48,7 +49,7 @@ def test_products_of_a_pair_stay_in_their_task(spark, monkeypatch):
     plan = edges._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "InPandas" not in plan  # nothing but vectors is dealt out
     # What leaves a pair of tiles comes in bounded batches, whatever their size.
-    monkeypatch.setattr(ld_blocks, "CELLS", 1000)
+    monkeypatch.setattr(ld, "CELLS", 1000)
     rng = np.random.default_rng(2)
     values = rng.normal(size=(300, 4))
     pair = ld_blocks._Pair(("EUR", "1", 0, 0, 0, 0))
@@ -61,6 +62,31 @@ def test_products_of_a_pair_stay_in_their_task(spark, monkeypatch):
     assert all(a < b and abs(r - values[int(a[1:])] @ values[int(b[1:])]) < 1e-9 for (a, b), r in got.items())
 
 
+def test_two_tiles_meet_once_in_any_order(spark, monkeypatch):
+    monkeypatch.setattr(ld, "CELLS", 64)
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=(40, 6))
+
+    def side(s, members):
+        return {f"IDS_{s}": [f"v{k:02d}" for k in members], f"POSITIONS_{s}": list(members), f"VALUES_{s}": values[members].ravel().tolist()}
+
+    one, two = list(range(0, 40, 2)), list(range(1, 40, 2))
+    # A tile that is collected twice may come in two orders.
+    rows = [("same", one, one[::-1]), ("same", two[::-1], two), ("apart", one, two)]
+    given = pa.RecordBatch.from_pylist([{"POPULATION": "EUR", "KIND": k, **side("A", a), **side("B", b)} for k, a, b in rows])
+    out = list(ld._edge_kernel(0.0, None)(iter([given])))
+    got = [(r["ID_A"], r["ID_B"]) for b in out for r in b.to_pylist()]
+    assert max(len(b) for b in out) <= 64 and all(a < b for a, b in got) and len(got) == len(set(got)) == 40 * 39 // 2
+    assert all(abs(r["R"] - values[int(r["ID_A"][1:])] @ values[int(r["ID_B"][1:])]) < 1e-9 for b in out for r in b.to_pylist())
+    given = pa.RecordBatch.from_pylist([{"POPULATION": "EUR", "KIND": "index", **side("A", [3]), **side("B", two)}])
+    assert sum(len(b) for b in ld._edge_kernel(0.0, None)(iter([given]))) == len(two) - 1
+    # Pairs of tiles that Python sees: each once, in the bin and in the next one.
+    units = spark.createDataFrame([("EUR", "1", k * 100, f"v{k:02d}", values[k].tolist()) for k in range(40)], "POPULATION string, CHR string, POS bigint, VARIANT_ID string, UNIT array<double>")
+    for window in (None, 1000):
+        pairs = [(r["ID_A"], r["ID_B"]) for r in ld.ld_edges(units, min_r2=0.0, window_bp=window, tile=3, spread=2).collect()]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == {(f"v{a:02d}", f"v{b:02d}") for a in range(40) for b in range(a + 1, 40) if window is None or b - a <= 10}
+
+
 def test_single_calls_make_the_same_blocks(spark):
     rows = panel(12, 23)
     table = spark.createDataFrame(rows, DOSAGES)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from variantloom.operators.ld import edge_batches
 from variantloom.plans.ordered import prefix_scan
 from variantloom.session import checkpointed, small_batches
 
@@ -27,7 +28,6 @@ VARIANT = ["POPULATION", "CHR", "POS", "VARIANT_ID"]
 TILE_BYTES = 4 << 20
 TILE_MOST = 2048  # variants of a tile: the products of a pair take 32 MB at the most
 SUM_WIDTH = 32  # blocks of one pair that a task adds up, at least
-CELLS = 1 << 17  # pairs of variants that are looked at together
 
 
 def sample_blocks(dosages: DataFrame, size: int = 4096) -> DataFrame:
@@ -149,28 +149,11 @@ class _Pair:
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (*self.key, self.gram.tobytes())], names)
 
     def edges(self, min_r2: float, window_bp: int | None) -> Iterator[pa.RecordBatch]:
-        """What reaches the floor, a bounded number of cells at a time."""
-        n_a, n_b = map(len, self.ids)
-        if not (n_a and n_b):
-            return
-        gram = np.zeros((n_a, n_b)) if self.gram is None else self.gram.reshape(n_a, n_b)
-        names = pa.array([*self.ids[0], *self.ids[1]], pa.string())
-        rank = np.unique(np.asarray([*self.ids[0], *self.ids[1]], object), return_inverse=True)[1]
-        low, high = (np.asarray(x) for x in self.positions)
-        step = max(1, CELLS // n_b)
-        for top in range(0, n_a, step):
-            r = gram[top : top + step]
-            wanted = r * r >= min_r2
-            if window_bp is not None:
-                wanted &= np.abs(low[top : top + step, None] - high[None, :]) <= window_bp
-            if self.same:
-                wanted &= np.arange(top, top + len(r))[:, None] < np.arange(n_b)[None, :]
-            i, j = np.nonzero(wanted)
-            first, second = i + top, j + n_a
-            swap = rank[first] > rank[second]
-            ends = names.take(pa.array(np.where(swap, second, first))), names.take(pa.array(np.where(swap, first, second)))
-            population = pa.repeat(pa.scalar(self.key[0], pa.string()), len(i))
-            yield pa.RecordBatch.from_arrays([population, *ends, pa.array(r[i, j])], ["POPULATION", "ID_A", "ID_B", "R"])
+        """What reaches the floor."""
+        shape = len(self.ids[0]), len(self.ids[1])
+        if all(shape):
+            gram = np.zeros(shape) if self.gram is None else self.gram.reshape(shape)
+            yield from edge_batches(self.key[0], self.ids, self.positions, gram, min_r2, window_bp, "same" if self.same else "apart")
 
 
 def _by_pair(give: Callable[[_Pair], Iterator[pa.RecordBatch]], parts: Sequence[str] = ()):
